@@ -14,7 +14,7 @@ from ..functions.conform import prefix_names
 from ..functions.temporal import calendar_columns
 from ..specs import CALENDAR_END, CALENDAR_START, DATES_KEY, SIZE_BANDS, DimSpec
 from .joins import fits_broadcast, null_safe_condition
-from .keys import dense_key
+from .keys import GroupStats, dense_key, dense_key_with_stats
 
 ROWS = "_rows"   # member frequency kept next to each member (skew planning)
 
@@ -34,19 +34,27 @@ def _in_order(attrs: Sequence[str], cols: Sequence[str]) -> bool:
 
 
 def build_dims(staged: DataFrame, specs: Sequence[DimSpec], start: int = 0) -> dict[str, DataFrame]:
+    return build_dims_with_stats(staged, specs, start)[0]
+
+
+def build_dims_with_stats(staged: DataFrame, specs: Sequence[DimSpec],
+                          start: int = 0) -> tuple[dict[str, DataFrame], dict[str, GroupStats]]:
     """Build several member dimensions from one pass over ``staged``.
 
     One GROUPING SETS aggregation (Expand + partial/final hash aggregate) gives
     the members of every dimension with their row counts; map-side partial
     aggregation collapses hot members before the shuffle. One range-partitioned
     ``dense_key`` pass then numbers the members of all dimensions at once,
-    restarting per dimension. Each result has columns (key, *attrs, _rows).
+    restarting per dimension. Each result has columns (key, *attrs, _rows);
+    the stats give each dimension's member count and fact-row total.
     """
     specs = list(specs)
     cols = _union_attrs(specs)
     if any(not _in_order(s.attrs, cols) for s in specs):
         # attribute orders that disagree cannot share one sort: build apart
-        return {s.name: build_dims(staged, [s], start)[s.name] for s in specs}
+        parts = [build_dims_with_stats(staged, [s], start) for s in specs]
+        return ({s.name: p[0][s.name] for s, p in zip(specs, parts)},
+                {s.name: p[1][s.name] for s, p in zip(specs, parts)})
 
     by_attrs: dict[tuple[str, ...], int] = {}
     for s in specs:
@@ -66,12 +74,15 @@ def build_dims(staged: DataFrame, specs: Sequence[DimSpec], start: int = 0) -> d
         members = staged.groupingSets(sets, *cols).agg(
             F.count(F.lit(1)).alias(ROWS), F.grouping_id().cast("bigint").alias("_gid"))
         gids = by_attrs
-    keyed = dense_key(members, cols, "_key", start=start, group_col="_gid")
-    out = {}
+    keyed, gstats = dense_key_with_stats(members, cols, "_key", start=start, group_col="_gid",
+                                         weight_col=ROWS)
+    out, stats = {}, {}
     for s in specs:
-        out[s.name] = (keyed.filter(F.col("_gid") == gids[s.attrs])
+        g = gids[s.attrs]
+        out[s.name] = (keyed.filter(F.col("_gid") == g)
                        .select(F.col("_key").alias(s.key), *s.attrs, ROWS))
-    return out
+        stats[s.name] = gstats.get(g, GroupStats(0, 0))
+    return out, stats
 
 
 def build_dim(staged: DataFrame, spec: DimSpec, start: int = 0) -> DataFrame:

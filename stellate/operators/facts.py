@@ -30,7 +30,7 @@ def join_dates(fact: DataFrame, dates: DataFrame, source: str, key_out: str,
 
 
 def star_join(staged: DataFrame, spec: FactSpec, dims: Mapping[str, DataFrame], dates: DataFrame,
-              strategies: Mapping[str, str] | None = None) -> DataFrame:
+              strategies: Mapping[str, str] | None = None, stats: Mapping | None = None) -> DataFrame:
     """Join ``staged`` to the calendar once per role and to each member
     dimension of ``spec``; the per-dimension strategy comes from
     ``strategies``, then the spec's ``broadcast`` flag, then a size check."""
@@ -45,11 +45,11 @@ def star_join(staged: DataFrame, spec: FactSpec, dims: Mapping[str, DataFrame],
         if strat == "auto_shuffle":
             strat = "salted" if "_rows" in dims[ds.name].columns else "shuffle"
         f = null_safe_join(f, dims[ds.name], ds.attrs, ds.key, strategy=strat,
-                           salt_cols=list(spec.row_id) or None)
+                           salt_cols=list(spec.row_id) or None, stats=(stats or {}).get(ds.name))
     return f
 
 
 def build_fact(staged: DataFrame, spec: FactSpec, dims: Mapping[str, DataFrame], dates: DataFrame,
-               strategies: Mapping[str, str] | None = None) -> DataFrame:
-    joined = star_join(staged, spec, dims, dates, strategies)
+               strategies: Mapping[str, str] | None = None, stats: Mapping | None = None) -> DataFrame:
+    joined = star_join(staged, spec, dims, dates, strategies, stats)
     return joined.selectExpr(*[f"{expr} AS `{alias}`" for expr, alias in spec.select])

@@ -59,23 +59,31 @@ def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
 
 def null_safe_join(fact: DataFrame, dim: DataFrame, attrs: Sequence[str], key: str,
                    strategy: str = "auto", salt_cols: Sequence[str] | None = None,
-                   extra: Sequence[str] = ()) -> DataFrame:
+                   extra: Sequence[str] = (), stats=None) -> DataFrame:
     """Inner join of ``fact`` to ``dim`` on ``attrs`` with ``<=>``; adds
-    ``key`` (and ``extra`` dimension columns) to the fact row."""
+    ``key`` (and ``extra`` dimension columns) to the fact row. ``stats``
+    (member count, fact rows) from the dimension build replaces the size
+    check job when given."""
     rnames = [f"_r{i}" for i in range(len(attrs))]
     has_rows = "_rows" in dim.columns
     right = dim.select(F.col(key), *[F.col(c) for c in extra],
                        *[F.col(a).alias(r) for a, r in zip(attrs, rnames)],
                        *([F.col("_rows")] if has_rows else []))
     if strategy == "auto":
-        if fits_broadcast(right.drop("_rows") if has_rows else right):
+        plain = right.drop("_rows") if has_rows else right
+        if stats is not None:
+            fits = stats.members * row_width(plain) <= broadcast_bytes(plain)
+        else:
+            fits = fits_broadcast(plain)
+        if fits:
             strategy = "broadcast"
         else:
             strategy = "salted" if has_rows else "shuffle"
     if strategy == "salted" and not has_rows:
         strategy = "shuffle"
     if strategy == "salted":
-        return _salted_join(fact, right, attrs, rnames, salt_cols or fact.columns)
+        total = stats.weight if stats is not None and stats.weight is not None else None
+        return _salted_join(fact, right, attrs, rnames, salt_cols or fact.columns, total)
     if has_rows:
         right = right.drop("_rows")
     if strategy == "broadcast":
@@ -85,10 +93,11 @@ def null_safe_join(fact: DataFrame, dim: DataFrame, attrs: Sequence[str], key: s
 
 
 def _salted_join(fact: DataFrame, right: DataFrame, attrs: Sequence[str], rnames: Sequence[str],
-                 salt_cols: Sequence[str]) -> DataFrame:
+                 salt_cols: Sequence[str], total: int | None = None) -> DataFrame:
     spark = fact.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    total = right.agg(F.sum("_rows").alias("t")).first()["t"] or 0
+    if total is None:
+        total = right.agg(F.sum("_rows").alias("t")).first()["t"] or 0
     per_task = max(1, total // max(1, parts))
     # a member is hot when it alone fills more than an average task; at most
     # ``parts`` members can, and their copies add at most 2 x parts dim rows

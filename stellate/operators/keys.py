@@ -13,16 +13,18 @@ Plan:
   3. reliable checkpoint, so both passes below see the same rows even when
      executors are lost and tasks re-run;
   4. count rows per (partition, group) and note where each group starts in
-     the partition: at most partitions x groups rows;
-  5. running sum of those counts gives each partition's offset (a window over
-     the small count table);
-  6. broadcast that table (size bound = partitions x groups) and add.
+     the partition: at most partitions x groups rows, collected in one job;
+  5. running sums of those counts give each partition's offset;
+  6. broadcast the offsets (size bound = partitions x groups) and add.
+The same count job yields the size of every group (members and, with a
+weight column, fact rows), which later drives broadcast and salting choices.
 No step moves a whole dimension through one task or the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,8 +34,21 @@ from ..session import checkpoint_dir
 _POS_MASK = (1 << 33) - 1  # monotonically_increasing_id = partition << 33 | position
 
 
+@dataclass(frozen=True)
+class GroupStats:
+    members: int        # keyed rows in the group
+    weight: int | None  # sum of the weight column (e.g. fact rows per member)
+
+
 def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str, start: int = 0,
               group_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
+    return dense_key_with_stats(df, order_cols, key_name, start, group_col, num_partitions)[0]
+
+
+def dense_key_with_stats(df: DataFrame, order_cols: Sequence[str], key_name: str, start: int = 0,
+                         group_col: str | None = None, num_partitions: int | None = None,
+                         weight_col: str | None = None) -> tuple[DataFrame, dict]:
+    """``dense_key`` plus {group value: GroupStats} from the same count job."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -44,23 +59,35 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str, start: in
                 .withColumn("_mid", F.monotonically_increasing_id()))
     tagged = tagged.checkpoint(eager=True)
 
-    grp = [F.col(group_col).alias("_og")] if group_col else []
-    counts = (tagged.groupBy(F.shiftright(F.col("_mid"), 33).alias("_pid"), *grp)
-                    .agg(F.count(F.lit(1)).alias("_n"),
-                         F.min(F.col("_mid").bitwiseAND(F.lit(_POS_MASK))).alias("_p0")))
-    w = Window.orderBy("_pid")
-    if group_col:
-        w = Window.partitionBy("_og").orderBy("_pid")
-    w = w.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", *(["_og"] if group_col else []),
-                            (F.coalesce(F.sum("_n").over(w), F.lit(0)) - F.col("_p0")).alias("_off"))
+    grp = [F.col(group_col).alias("_og")] if group_col else [F.lit(0).cast("bigint").alias("_og")]
+    aggs = [F.count(F.lit(1)).alias("_n"), F.min(F.col("_mid").bitwiseAND(F.lit(_POS_MASK))).alias("_p0")]
+    if weight_col:
+        aggs.append(F.sum(weight_col).alias("_w"))
+    # bounded: one row per (partition, group)
+    counts = tagged.groupBy(F.shiftright(F.col("_mid"), 33).alias("_pid"), *grp).agg(*aggs).collect()
+
+    offsets, stats, running = [], {}, {}
+    for r in sorted(counts, key=lambda r: (r["_og"], r["_pid"])):
+        g = r["_og"]
+        before = running.get(g, 0)
+        offsets.append((int(r["_pid"]), g, before - int(r["_p0"]) + start))
+        running[g] = before + int(r["_n"])
+        w = int(r["_w"] or 0) if weight_col else None
+        prev = stats.get(g)
+        stats[g] = GroupStats(before + int(r["_n"]),
+                              None if w is None else (w + (prev.weight if prev else 0)))
+    og_type = df.schema[group_col].dataType.simpleString() if group_col else "bigint"
+    off_df = spark.createDataFrame(offsets, f"_pid bigint, _og {og_type}, _off bigint")
 
     join_on = F.shiftright(F.col("_mid"), 33) == F.col("_pid")
     if group_col:
         join_on = join_on & (F.col(group_col) == F.col("_og"))
-    key = (F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_POS_MASK)) + F.lit(start)).cast("bigint")
+    key = (F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_POS_MASK))).cast("bigint")
     out_cols = [key.alias(key_name)] + [F.col(c) for c in df.columns]
-    return tagged.join(F.broadcast(offsets), join_on, "inner").select(*out_cols)
+    out = tagged.join(F.broadcast(off_df), join_on, "inner").select(*out_cols)
+    if not group_col:
+        stats = {None: stats.get(0, GroupStats(0, 0 if weight_col else None))}
+    return out, stats
 
 
 def dense_key_single_task(df: DataFrame, order_cols: Sequence[str], key_name: str,

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.dims import build_dates, build_dims, dim_table, with_size_bands
+from ..operators.dims import build_dates, build_dims_with_stats, dim_table, with_size_bands
 from ..operators.facts import build_fact
 from ..specs import (CALENDAR_END, CALENDAR_START, FIRE_DIMS, FIRES_FACT, WEATHER_FACT,
                      WEATHER_LOWER_BOUND, WEATHER_TYPES)
@@ -20,6 +20,7 @@ class FireModel:
     dims: dict[str, DataFrame]     # keyed members, with the _rows planning column
     dates: DataFrame
     fact: DataFrame
+    stats: dict | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         out = {"dates": self.dates}
@@ -34,6 +35,7 @@ class WeatherModel:
     dims: dict[str, DataFrame]
     dates: DataFrame
     fact: DataFrame
+    stats: dict | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         return {"weather_types": dim_table(self.dims["weather_types"]), "weather_fact": self.fact}
@@ -44,7 +46,7 @@ def fire_model(spark: SparkSession, raw: DataFrame, dates: DataFrame | None = No
                start: str = CALENDAR_START, end: str = CALENDAR_END) -> FireModel:
     staged = stage_fires(raw)
     present = [d for d in FIRE_DIMS if all(a in staged.columns for a in d.attrs)]
-    dims = build_dims(staged, present)
+    dims, stats = build_dims_with_stats(staged, present)
     if "fire_sizes" in dims:
         dims["fire_sizes"] = with_size_bands(dims["fire_sizes"])
     dates = dates if dates is not None else build_dates(spark, start, end)
@@ -53,14 +55,14 @@ def fire_model(spark: SparkSession, raw: DataFrame, dates: DataFrame | None = No
         keys = {d.key for d in FIRE_DIMS if d not in present}
         spec = type(spec)(spec.name, spec.roles, tuple(present),
                           tuple(s for s in spec.select if s[0] not in keys), spec.partition_col, spec.row_id)
-    fact = build_fact(staged, spec, dims, dates, strategies)
-    return FireModel(staged, dims, dates, fact)
+    fact = build_fact(staged, spec, dims, dates, strategies, stats)
+    return FireModel(staged, dims, dates, fact, stats)
 
 
 def weather_model(spark: SparkSession, raw: DataFrame, lower_bound: str = WEATHER_LOWER_BOUND,
                   dates: DataFrame | None = None) -> WeatherModel:
     staged = stage_weather(raw, lower_bound)
-    dims = build_dims(staged, [WEATHER_TYPES])
+    dims, stats = build_dims_with_stats(staged, [WEATHER_TYPES])
     dates = dates if dates is not None else build_dates(spark)
-    fact = build_fact(staged, WEATHER_FACT, dims, dates)
-    return WeatherModel(staged, dims, dates, fact)
+    fact = build_fact(staged, WEATHER_FACT, dims, dates, stats=stats)
+    return WeatherModel(staged, dims, dates, fact, stats)

@@ -58,3 +58,30 @@ def with_weather(body: str, ctes: Sequence[str] = ()) -> str:
              f"max_temp, min_temp FROM ({FX_WEATHER_RAW_SQL}) r "
              f"WHERE CAST(date_str AS DATE) >= DATE '{FX_WEATHER_LOWER_BOUND}')"] + list(ctes)
     return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+def dates_cte(name: str = "dates", start: str | None = None, end: str | None = None,
+              bounds: str | None = None) -> str:
+    """The calendar dimension in DuckDB. With ``bounds`` (a SELECT giving
+    timestamps ``s`` and exclusive ``e``) the range comes from data."""
+    if bounds is None:
+        start, end = start or CALENDAR_START, end or CALENDAR_END
+        bounds = f"SELECT TIMESTAMP '{start}' AS s, TIMESTAMP '{end}' AS e"
+    attrs = """CAST(d AS DATE) AS date_actual, CAST(epoch(d) AS BIGINT) AS epoch, dayname(d) AS day_name,
+      CAST(dayofweek(d) + 1 AS INT) AS day_of_week, CAST(day(d) AS INT) AS day_of_month,
+      CAST(dayofyear(d) AS INT) AS day_of_year,
+      CAST(CAST(ceil((day(d) + dayofweek(date_trunc('month', d))) / 7.0) AS INT) AS VARCHAR) AS week_of_month,
+      CAST(weekofyear(d) AS INT) AS week_of_year, CAST(month(d) AS INT) AS month_actual,
+      monthname(d) AS month_name, strftime(d, '%b') AS month_name_abbreviated,
+      CAST(quarter(d) AS INT) AS quarter_actual,
+      CASE quarter(d) WHEN 1 THEN 'First' WHEN 2 THEN 'Second' WHEN 3 THEN 'Third' WHEN 4 THEN 'Fourth' END AS quarter_name,
+      CAST(year(d) AS INT) AS year_actual"""
+    nulls = """CAST(NULL AS DATE), CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS INT), CAST(NULL AS INT),
+      CAST(NULL AS INT), CAST(NULL AS VARCHAR), CAST(NULL AS INT), CAST(NULL AS INT), CAST(NULL AS VARCHAR),
+      CAST(NULL AS VARCHAR), CAST(NULL AS INT), CAST(NULL AS VARCHAR), CAST(NULL AS INT)"""
+    return f"""{name}_b AS ({bounds}),
+{name}_g AS (SELECT s, unnest(generate_series(s, e - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d FROM {name}_b),
+{name} AS (
+  SELECT CAST(datediff('day', s, d) + 1 AS BIGINT) AS date_dim_id, 'date' AS date_type, {attrs} FROM {name}_g
+  UNION ALL
+  SELECT CAST(datediff('day', s, e) + 1 AS BIGINT), 'unknown', {nulls} FROM {name}_b)"""

@@ -6,14 +6,31 @@ from them) in full; a LIMIT appears only where it is the feature (preview).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..specs import FIRE_DIMS
+from ..functions.conform import cast_columns, columns_of_type, fill_default, lower_names
+from ..functions.temporal import date_time, date_to_julian, julian_to_date
+from ..operators.dims import (build_dates, build_dim, date_sequence, dim_table, refresh_dim,
+                              role_play, with_size_bands)
+from ..operators.joins import null_safe_join
+from ..operators.keys import dense_key
+from ..operators.quality import (max_profile, null_key_report, null_profile, orphan_report,
+                                 row_count_report, schema_profile)
+from ..session import fresh_path
+from ..sources.readers import read_csv, read_table
+from ..specs import (DATES_KEY, FIRE_CAUSES, FIRE_DIMS, FIRE_NAMES, FIRE_SIZES, LOCATIONS,
+                     REPORTERS, WEATHER_TYPES, DimSpec)
 from . import oracles as O
-from .fixtures import raw_fires
-from .model import fire_model
+from .fixtures import FX_WEATHER_LOWER_BOUND, FX_WEATHER_RAW_SQL, raw_fires, raw_weather
+from .lake import publish, write_dim, write_fact, write_tables
+from .marts import (containment_efficiency, cube_mart, grouping_sets_mart, kmeans_cells,
+                    place_day_overlay)
+from .model import fire_model, weather_model
+from .stage import stage_fires, stage_weather
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,14 +45,21 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage_fires(raw_fires(spark, sf_dir))
+
+
+def _weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_weather(spark, sf_dir).drop("id", "station_name")
+
+
 # --------------------------------------------------------------------------
 # C6 / J6: the full wildfire star (2 calendar roles + 7 member dimensions)
 # --------------------------------------------------------------------------
-def _fact_star_oracle() -> str:
-    ctes = [O.dim_cte(d) for d in FIRE_DIMS]
+def _fact_star_body() -> str:
     joins = "\n".join(O.dim_join(d) for d in FIRE_DIMS)
     keys = ", ".join(f"{d.name}.{d.key} AS {d.key}" for d in FIRE_DIMS)
-    body = f"""
+    return f"""
 SELECT fx.objectid AS fire_id, fx.fpa_id AS fpa_id,
   {O.date_id('fx.disc_date')} AS discovery_date_id, {O.date_id('fx.cont_date')} AS cont_date_id,
   {keys},
@@ -47,9 +71,512 @@ SELECT fx.objectid AS fire_id, fx.fpa_id AS fpa_id,
 FROM fx
 {joins}
 WHERE {O.in_calendar('fx.disc_date')} AND {O.in_calendar('fx.cont_date')}"""
-    return O.with_fx(body, ctes)
 
 
-@query("fact_star", _fact_star_oracle())
+def _fire_ctes() -> list[str]:
+    return [O.dim_cte(d) for d in FIRE_DIMS]
+
+
+FACT_STAR_SQL = O.with_fx(_fact_star_body(), _fire_ctes())
+FACT_STAR_CTES = _fire_ctes() + [f"fires_fact AS ({_fact_star_body()})"]
+
+
+@query("fact_star", FACT_STAR_SQL)
 def fact_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fire_model(spark, raw_fires(spark, sf_dir)).fact
+
+
+# --------------------------------------------------------------------------
+# Joins J1-J5
+# --------------------------------------------------------------------------
+OWNER_DESCRS = DimSpec("owner_descrs", "owner_descr_id", ("owner_descr",))
+
+
+@query("join_nullsafe_1", O.with_fx(
+    f"SELECT fx.objectid AS objectid, fx.owner_descr AS owner_descr, owner_descrs.owner_descr_id AS owner_descr_id "
+    f"FROM fx {O.dim_join(OWNER_DESCRS)}", [O.dim_cte(OWNER_DESCRS)]))
+def join_nullsafe_1(spark, sf_dir):
+    staged = _staged(spark, sf_dir)
+    dim = build_dim(staged, OWNER_DESCRS)
+    return (null_safe_join(staged.select("objectid", "owner_descr"), dim, OWNER_DESCRS.attrs,
+                           OWNER_DESCRS.key, strategy="broadcast")
+            .select("objectid", "owner_descr", "owner_descr_id"))
+
+
+@query("join_nullsafe_n", O.with_fx(
+    f"SELECT fx.objectid AS objectid, reporters.reporter_id AS reporter_id, locations.location_id AS location_id "
+    f"FROM fx {O.dim_join(REPORTERS)} {O.dim_join(LOCATIONS)}", [O.dim_cte(REPORTERS), O.dim_cte(LOCATIONS)]))
+def join_nullsafe_n(spark, sf_dir):
+    staged = _staged(spark, sf_dir)
+    f = staged
+    for spec in (REPORTERS, LOCATIONS):
+        f = null_safe_join(f, build_dim(staged, spec), spec.attrs, spec.key)
+    return f.select("objectid", "reporter_id", "location_id")
+
+
+@query("join_broadcast", O.with_fx(
+    f"SELECT fx.objectid AS objectid, fire_causes.fire_cause_id AS fire_cause_id FROM fx {O.dim_join(FIRE_CAUSES)}",
+    [O.dim_cte(FIRE_CAUSES)]))
+def join_broadcast(spark, sf_dir):
+    staged = _staged(spark, sf_dir)
+    dim = build_dim(staged, FIRE_CAUSES)
+    return (null_safe_join(staged, dim, FIRE_CAUSES.attrs, FIRE_CAUSES.key, strategy="broadcast")
+            .select("objectid", "fire_cause_id"))
+
+
+@query("join_shuffle", O.with_fx(
+    f"SELECT fx.objectid AS objectid, fire_names.fire_name_id AS fire_name_id FROM fx {O.dim_join(FIRE_NAMES)}",
+    [O.dim_cte(FIRE_NAMES)]))
+def join_shuffle(spark, sf_dir):
+    """High-cardinality dimension: no broadcast; hot members are salted."""
+    staged = _staged(spark, sf_dir)
+    dim = build_dim(staged, FIRE_NAMES)
+    return (null_safe_join(staged, dim, FIRE_NAMES.attrs, FIRE_NAMES.key, strategy="salted",
+                           salt_cols=["objectid"])
+            .select("objectid", "fire_name_id"))
+
+
+@query("role_playing_dates", O.with_fx(
+    f"""SELECT fx.objectid AS objectid, dd.date_dim_id AS disc_date_dim_id, dd.day_name AS disc_day_name,
+      dd.quarter_name AS disc_quarter_name, cd.date_dim_id AS cont_date_dim_id, cd.month_name AS cont_month_name,
+      cd.date_type AS cont_date_type
+    FROM fx JOIN dates dd ON fx.disc_date IS NOT DISTINCT FROM dd.date_actual
+    JOIN dates cd ON fx.cont_date IS NOT DISTINCT FROM cd.date_actual""", [O.dates_cte()]))
+def role_playing_dates(spark, sf_dir):
+    staged = _staged(spark, sf_dir)
+    dates = build_dates(spark)
+    disc, cont = F.broadcast(role_play(dates, "disc_")), F.broadcast(role_play(dates, "cont_"))
+    f = staged.select("objectid", F.col("discovery_timestamp").cast("date").alias("d_day"),
+                      F.col("cont_timestamp").cast("date").alias("c_day"))
+    f = f.join(disc, F.col("d_day").eqNullSafe(F.col("disc_date_actual")), "inner")
+    f = f.join(cont, F.col("c_day").eqNullSafe(F.col("cont_date_actual")), "inner")
+    return f.select("objectid", "disc_date_dim_id", "disc_day_name", "disc_quarter_name",
+                    "cont_date_dim_id", "cont_month_name", "cont_date_type")
+
+
+# --------------------------------------------------------------------------
+# Aggregation / dimension building A1, C3, C4, W1, F4/F5
+# --------------------------------------------------------------------------
+@query("distinct_members", O.with_fx("SELECT DISTINCT state, fips_name, stat_cause_descr FROM fx"))
+def distinct_members(spark, sf_dir):
+    return _staged(spark, sf_dir).select("state", "fips_name", "stat_cause_descr").distinct()
+
+
+@query("dim_build", O.with_fx("SELECT * FROM fire_names", [O.dim_cte(FIRE_NAMES)]))
+def dim_build(spark, sf_dir):
+    return dim_table(build_dim(_staged(spark, sf_dir), FIRE_NAMES))
+
+
+@query("size_bands", O.with_fx(
+    f"SELECT fire_size_id, fire_size_class, {O.size_band_cols()} FROM fire_sizes", [O.dim_cte(FIRE_SIZES)]))
+def size_bands(spark, sf_dir):
+    return dim_table(with_size_bands(build_dim(_staged(spark, sf_dir), FIRE_SIZES)))
+
+
+@query("surrogate_key", """
+SELECT CAST(row_number() OVER (ORDER BY a NULLS FIRST, b NULLS FIRST, s NULLS FIRST) - 1 AS BIGINT) AS id, a, b, s
+FROM (SELECT DISTINCT nullif(p_brand, 'Brand#13') AS a, nullif(p_type, 'ECONOMY') AS b, p_size AS s FROM part) t""")
+def surrogate_key(spark, sf_dir):
+    part = read_table(spark, sf_dir, "part")
+    members = part.select(F.expr("nullif(p_brand, 'Brand#13')").alias("a"),
+                          F.expr("nullif(p_type, 'ECONOMY')").alias("b"),
+                          F.col("p_size").alias("s")).distinct()
+    return dense_key(members, ["a", "b", "s"], "id")
+
+
+@query("agg_max", O.with_fx("SELECT max(fire_name_id) AS max_fire_name_id FROM fire_names",
+                            [O.dim_cte(FIRE_NAMES)]))
+def agg_max(spark, sf_dir):
+    dim = build_dim(_staged(spark, sf_dir), FIRE_NAMES)
+    return dim.agg(F.max("fire_name_id").alias("max_fire_name_id"))
+
+
+@query("dim_refresh", """
+WITH m AS (SELECT DISTINCT o_orderpriority AS priority, CAST(year(o_orderdate) AS INT) AS yr FROM orders),
+old AS (SELECT CAST(row_number() OVER (ORDER BY priority NULLS FIRST, yr NULLS FIRST) - 1 AS BIGINT) AS member_id,
+          priority, yr FROM m WHERE yr <= 1997),
+fresh AS (SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.priority IS NOT DISTINCT FROM m.priority
+                                             AND old.yr IS NOT DISTINCT FROM m.yr))
+SELECT * FROM old
+UNION ALL
+SELECT CAST((SELECT max(member_id) FROM old) + row_number() OVER (ORDER BY priority NULLS FIRST, yr NULLS FIRST) AS BIGINT),
+       priority, yr FROM fresh""")
+def dim_refresh(spark, sf_dir):
+    """Type-1 refresh: members of 1995-1997 first, then all orders; old keys
+    never change and new members get keys after the old maximum."""
+    spec = DimSpec("priorities", "member_id", ("priority", "yr"))
+    orders = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("priority"), F.year("o_orderdate").cast("int").alias("yr"))
+    first = dim_table(build_dim(orders.filter(F.col("yr") <= 1997), spec))
+    return refresh_dim(first, orders, spec)
+
+
+# --------------------------------------------------------------------------
+# Staging C1, C2 and its parts P4, P5, P8-P14, F1, F3, X1-X4
+# --------------------------------------------------------------------------
+_TEXT = ("fpa_id", "stat_cause_descr", "owner_descr", "state", "fips_name", "fire_size_class",
+         "source_system_type", "source_system", "source_reporting_unit", "source_reporting_unit_name",
+         "nwcg_reporting_agency", "nwcg_reporting_unit_id", "nwcg_reporting_unit_name", "fire_name",
+         "ics_209_name", "fire_code", "mtbs_fire_name")
+
+
+@query("stage_fires", O.with_fx(f"""
+SELECT objectid, {', '.join(_TEXT)}, CAST(year(disc_date) AS INT) AS fire_year,
+  stat_cause_code, owner_code, CAST(fire_size AS DECIMAL(10,2)) AS fire_size,
+  CAST(latitude AS DECIMAL(11,8)) AS latitude, CAST(longitude AS DECIMAL(11,8)) AS longitude,
+  {O.stamp_text('disc_date', 'disc_time')} AS discovery_timestamp,
+  {O.stamp_text('cont_date', 'disc_time')} AS cont_timestamp
+FROM fx"""))
+def stage_fires_q(spark, sf_dir):
+    staged = _staged(spark, sf_dir)
+    return staged.withColumns({"discovery_timestamp": F.col("discovery_timestamp").cast("string"),
+                               "cont_timestamp": F.col("cont_timestamp").cast("string")})
+
+
+@query("fill_default", O.with_fx("""
+SELECT objectid, coalesce(disc_time, '0000') AS discovery_time,
+  coalesce(CASE WHEN cont_date IS NOT NULL THEN disc_time END, '0000') AS cont_time FROM fx"""))
+def fill_default_q(spark, sf_dir):
+    raw = fill_default(raw_fires(spark, sf_dir), "0000", ["DISCOVERY_TIME", "CONT_TIME"])
+    return raw.select(F.col("OBJECTID").alias("objectid"), F.col("DISCOVERY_TIME").alias("discovery_time"),
+                      F.col("CONT_TIME").alias("cont_time"))
+
+
+@query("rename_lower", O.with_fx(f"SELECT objectid, {', '.join(_TEXT)} FROM fx"))
+def rename_lower(spark, sf_dir):
+    low = lower_names(raw_fires(spark, sf_dir))
+    return low.select("objectid", *_TEXT)
+
+
+@query("stage_weather", O.with_weather("SELECT * FROM wx"))
+def stage_weather_q(spark, sf_dir):
+    return stage_weather(_weather_raw(spark, sf_dir), FX_WEATHER_LOWER_BOUND)
+
+
+@query("fact_events", O.with_weather(f"""
+SELECT wx.serialid AS weather_outlier_id, {O.date_id('wx.date_str')} AS weather_date_dim_id,
+  weather_types.weather_type_id AS weather_type_id, wx.longitude AS longitude, wx.latitude AS latitude,
+  wx.max_temp AS max_temp, wx.min_temp AS min_temp, CAST(year(wx.date_str) AS INT) AS year
+FROM wx {O.dim_join(WEATHER_TYPES, 'wx')}
+WHERE {O.in_calendar('wx.date_str')}""", [O.dim_cte(WEATHER_TYPES, 'wx')]))
+def fact_events(spark, sf_dir):
+    return weather_model(spark, _weather_raw(spark, sf_dir), FX_WEATHER_LOWER_BOUND).fact
+
+
+@query("julian_to_date", """
+SELECT o_orderkey, CAST(datediff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) + 2440587.5 AS DECIMAL(10,2)) AS jd,
+  CAST(o_orderdate AS DATE) AS d FROM orders""")
+def julian_to_date_q(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    jd = date_to_julian(F.col("o_orderdate").cast("date")).cast("decimal(10,2)")
+    return o.select("o_orderkey", jd.alias("jd")).select("o_orderkey", "jd", julian_to_date("jd").alias("d"))
+
+
+@query("date_time_concat", "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M') || ':00' AS ts FROM events")
+def date_time_concat(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events")
+    stamp = date_time(F.col("ts").cast("date"), F.date_format("ts", "HHmm"))
+    return e.select("event_id", stamp.cast("string").alias("ts"))
+
+
+@query("cast_narrow_int", """
+SELECT l_orderkey, l_linenumber, CAST(trunc(l_quantity) AS INT) AS quantity,
+  CAST(trunc(l_extendedprice) AS INT) AS extendedprice FROM lineitem""")
+def cast_narrow_int(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    wide = cast_columns(li, ["l_quantity", "l_extendedprice"], "decimal(38,18)")
+    out = cast_columns(wide, ["l_quantity", "l_extendedprice"], "int", safe=True)
+    return out.select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("quantity"),
+                      F.col("l_extendedprice").alias("extendedprice"))
+
+
+@query("cast_decimal", """
+SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(10,2)) AS extendedprice,
+  CAST(l_discount AS DECIMAL(11,8)) AS discount FROM lineitem""")
+def cast_decimal(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    wide = cast_columns(li, ["l_extendedprice", "l_discount"], "decimal(38,18)")
+    out = cast_columns(cast_columns(wide, ["l_extendedprice"], "decimal(10,2)", safe=True),
+                       ["l_discount"], "decimal(11,8)", safe=True)
+    return out.select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("extendedprice"),
+                      F.col("l_discount").alias("discount"))
+
+
+# --------------------------------------------------------------------------
+# Calendar C5, S4, X5-X16, U1
+# --------------------------------------------------------------------------
+_ORDER_YEARS = ("SELECT CAST(make_date(CAST(min(year(o_orderdate)) AS INT), 1, 1) AS TIMESTAMP) AS s, "
+                "CAST(make_date(CAST(max(year(o_orderdate)) AS INT) + 1, 1, 1) AS TIMESTAMP) AS e FROM orders")
+
+
+def _order_year_bounds(spark, sf_dir) -> tuple[str, str]:
+    r = read_table(spark, sf_dir, "orders").agg(F.min(F.year("o_orderdate")).alias("a"),
+                                                F.max(F.year("o_orderdate")).alias("b")).first()
+    return f"{r['a']:04d}-01-01", f"{r['b'] + 1:04d}-01-01"
+
+
+@query("dim_dates", "WITH " + O.dates_cte(bounds=_ORDER_YEARS) + " SELECT * FROM dates")
+def dim_dates(spark, sf_dir):
+    """Calendar over the whole years the orders span, plus the unknown member."""
+    start, end = _order_year_bounds(spark, sf_dir)
+    return build_dates(spark, start, end)
+
+
+@query("date_sequence", """
+WITH b AS (SELECT CAST(min(o_orderdate) AS DATE) AS s, CAST(max(o_orderdate) AS DATE) AS e FROM orders)
+SELECT CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM b""")
+def date_sequence_q(spark, sf_dir):
+    r = read_table(spark, sf_dir, "orders").agg(F.min("o_orderdate").cast("date").alias("a"),
+                                                F.max("o_orderdate").cast("date").alias("b")).first()
+    end = r["b"].toordinal() + 1
+    import datetime as dt
+    return date_sequence(spark, r["a"].isoformat(), dt.date.fromordinal(end).isoformat())
+
+
+# --------------------------------------------------------------------------
+# Profiling C9 (P15, A3, A5, O3) and quality C8 (A4, A6, A7, U2), previews O2
+# --------------------------------------------------------------------------
+_RAW_NULL_SOURCE = {  # raw column -> fixture condition that makes it NULL
+    "OBJECTID": "objectid IS NULL", "FIRE_YEAR": "disc_date IS NULL", "DISCOVERY_DATE": "disc_date IS NULL",
+    "DISCOVERY_DOY": "disc_date IS NULL", "DISCOVERY_TIME": "disc_time IS NULL", "CONT_DATE": "cont_date IS NULL",
+    "CONT_DOY": "cont_date IS NULL", "CONT_TIME": "(cont_date IS NULL OR disc_time IS NULL)",
+    "STAT_CAUSE_CODE": "stat_cause_code IS NULL", "OWNER_CODE": "owner_code IS NULL",
+    "FIRE_SIZE": "fire_size IS NULL", "LATITUDE": "latitude IS NULL", "LONGITUDE": "longitude IS NULL",
+}
+_RAW_NULL_SOURCE.update({c.upper(): f"{c} IS NULL" for c in _TEXT})
+
+
+@query("profile_nulls", O.with_fx(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {cond}) AS countna FROM fx"
+    for c, cond in _RAW_NULL_SOURCE.items())))
+def profile_nulls(spark, sf_dir):
+    return null_profile(raw_fires(spark, sf_dir))
+
+
+@query("profile_max", O.with_fx("""
+SELECT CAST(max(datediff('day', DATE '1970-01-01', disc_date)) + 2440587.5 AS DECIMAL(10,2)) AS discovery_date_max,
+  CAST(max(datediff('day', DATE '1970-01-01', cont_date)) + 2440587.5 AS DECIMAL(10,2)) AS cont_date_max,
+  CAST(max(fire_size) AS DECIMAL(10,2)) AS fire_size_max FROM fx"""))
+def profile_max(spark, sf_dir):
+    raw = cast_columns(raw_fires(spark, sf_dir), ["DISCOVERY_DATE", "CONT_DATE", "FIRE_SIZE"], "decimal(10,2)")
+    return max_profile(raw, ["DISCOVERY_DATE", "CONT_DATE", "FIRE_SIZE"])
+
+
+_STAGED_TYPES = ([("objectid", "bigint", "objectid IS NULL")]
+                 + [(c, "string", f"{c} IS NULL") for c in _TEXT]
+                 + [("fire_year", "int", "disc_date IS NULL"), ("discovery_timestamp", "timestamp_ntz", "disc_date IS NULL"),
+                    ("cont_timestamp", "timestamp_ntz", "cont_date IS NULL"), ("stat_cause_code", "int", "stat_cause_code IS NULL"),
+                    ("owner_code", "int", "owner_code IS NULL"), ("fire_size", "decimal(10,2)", "fire_size IS NULL"),
+                    ("latitude", "decimal(11,8)", "latitude IS NULL"), ("longitude", "decimal(11,8)", "longitude IS NULL")])
+
+
+@query("profile_schema", O.with_fx(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) FILTER (WHERE {cond}) AS countna FROM fx"
+    for c, t, cond in _STAGED_TYPES)))
+def profile_schema(spark, sf_dir):
+    return schema_profile(_staged(spark, sf_dir))
+
+
+_RAW_DECIMALS = ("FIRE_YEAR", "DISCOVERY_DATE", "DISCOVERY_DOY", "CONT_DATE", "CONT_DOY", "STAT_CAUSE_CODE",
+                 "OWNER_CODE", "FIRE_SIZE", "LATITUDE", "LONGITUDE")
+
+
+@query("profile_decimal_cols", O.with_fx(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE NOT ({_RAW_NULL_SOURCE[c]})) AS non_null FROM fx"
+    for c in _RAW_DECIMALS)))
+def profile_decimal_cols(spark, sf_dir):
+    """The raw frame's DECIMAL columns (found from the schema) with their
+    non-null counts, one aggregation for all of them."""
+    raw = raw_fires(spark, sf_dir)
+    cols = columns_of_type(raw)
+    agg = raw.agg(*[F.count(c).alias(c) for c in cols])
+    return agg.unpivot([], cols, "column_name", "non_null")
+
+
+def _all_tables(spark, sf_dir):
+    fm = fire_model(spark, raw_fires(spark, sf_dir))
+    wm = weather_model(spark, _weather_raw(spark, sf_dir), FX_WEATHER_LOWER_BOUND, dates=fm.dates)
+    tables = fm.tables()
+    tables.update(wm.tables())
+    return fm, wm, tables
+
+
+_KEYS = {"dates": DATES_KEY, **{d.name: d.key for d in FIRE_DIMS}, "weather_types": WEATHER_TYPES.key,
+         "fires_fact": "fire_id", "weather_fact": "weather_outlier_id"}
+_ALL_CTES = (FACT_STAR_CTES + [O.dates_cte(), O.dim_cte(WEATHER_TYPES, "wx")]
+             + [f"weather_fact AS (SELECT serialid AS weather_outlier_id FROM wx WHERE {O.in_calendar('date_str')})"])
+
+
+def _with_all(body: str) -> str:
+    return O.with_weather(body, [f"fx AS ({O.FX_FIRES_SQL})"] + _ALL_CTES)
+
+
+@query("dq_null_keys", _with_all(" UNION ".join(
+    f"SELECT '{t}' AS table_name, count(*) FILTER (WHERE {k} IS NULL) AS null_keys FROM {t}"
+    for t, k in _KEYS.items())))
+def dq_null_keys(spark, sf_dir):
+    _, _, tables = _all_tables(spark, sf_dir)
+    return null_key_report({t: (tables[t], k) for t, k in _KEYS.items()})
+
+
+@query("dq_row_counts", _with_all(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _KEYS)))
+def dq_row_counts(spark, sf_dir):
+    _, _, tables = _all_tables(spark, sf_dir)
+    return row_count_report({t: tables[t] for t in _KEYS})
+
+
+@query("dq_orphans", " UNION ALL ".join(
+    f"SELECT '{d.name}' AS dimension, CAST(0 AS BIGINT) AS orphans" for d in FIRE_DIMS)
+    + " UNION ALL SELECT 'dates_discovery', CAST(0 AS BIGINT) UNION ALL SELECT 'dates_containment', CAST(0 AS BIGINT)")
+def dq_orphans(spark, sf_dir):
+    """Every fact foreign key must resolve in its dimension (left-anti join
+    count per dimension); the expected answer is zero everywhere."""
+    fm = fire_model(spark, raw_fires(spark, sf_dir))
+    fks = {d.name: (dim_table(fm.dims[d.name]), d.key, d.key) for d in FIRE_DIMS}
+    fks["dates_discovery"] = (fm.dates, DATES_KEY, "discovery_date_id")
+    fks["dates_containment"] = (fm.dates, DATES_KEY, "cont_date_id")
+    return orphan_report(fm.fact, fks)
+
+
+@query("union_distinct", O.with_fx(
+    "SELECT fips_name AS name FROM fx UNION SELECT nwcg_reporting_unit_name AS name FROM fx"))
+def union_distinct(spark, sf_dir):
+    s = _staged(spark, sf_dir)
+    return (s.select(F.col("fips_name").alias("name"))
+             .union(s.select(F.col("nwcg_reporting_unit_name").alias("name"))).distinct())
+
+
+@query("preview_limit", O.with_fx(_fact_star_body() + " ORDER BY fire_id LIMIT 10", _fire_ctes()))
+def preview_limit(spark, sf_dir):
+    """Top 10 fact rows by key: a top-k (TakeOrderedAndProject), no full sort."""
+    return fire_model(spark, raw_fires(spark, sf_dir)).fact.orderBy("fire_id").limit(10)
+
+
+# --------------------------------------------------------------------------
+# Sources and sinks S2, S3, S6, K1-K8
+# --------------------------------------------------------------------------
+@query("src_csv", f"SELECT serialid, date_str, type, longitude, latitude, max_temp, min_temp FROM ({FX_WEATHER_RAW_SQL}) r")
+def src_csv(spark, sf_dir):
+    path = fresh_path(spark, "weather-csv")
+    raw_weather(spark, sf_dir).write.option("header", True).csv(path)
+    return read_csv(spark, path, drop=("id", "station_name"))
+
+
+@query("sink_dim_roundtrip", O.with_fx("SELECT * FROM locations", [O.dim_cte(LOCATIONS)]))
+def sink_dim_roundtrip(spark, sf_dir):
+    path = fresh_path(spark, "locations")
+    write_dim(dim_table(build_dim(_staged(spark, sf_dir), LOCATIONS)), path)
+    return spark.read.parquet(path)
+
+
+def _written_fact(spark, sf_dir) -> str:
+    path = fresh_path(spark, "fires_fact")
+    write_fact(fire_model(spark, raw_fires(spark, sf_dir)).fact, path)
+    return path
+
+
+@query("sink_fact_partitioned", FACT_STAR_SQL)
+def sink_fact_partitioned(spark, sf_dir):
+    return spark.read.parquet(_written_fact(spark, sf_dir))
+
+
+@query("scan_year_pruned", O.with_fx(f"SELECT * FROM ({_fact_star_body()}) f WHERE year = 1997", _fire_ctes()))
+def scan_year_pruned(spark, sf_dir):
+    """Reads only the year=1997 folder (PartitionFilters in the scan)."""
+    return spark.read.parquet(_written_fact(spark, sf_dir)).filter(F.col("year") == 1997)
+
+
+@query("catalog_publish", _with_all(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _KEYS)))
+def catalog_publish(spark, sf_dir):
+    """Write all 11 tables, publish them in a fresh database with DDL taken
+    from the written schemas (partitions repaired), count through the catalog."""
+    _, _, tables = _all_tables(spark, sf_dir)
+    root = fresh_path(spark, "lake")
+    paths = write_tables({t: tables[t] for t in _KEYS}, root)
+    db = "stellate_" + uuid.uuid4().hex[:10]
+    publish(spark, db, paths, root + "/_catalog")
+    return row_count_report({t: spark.table(f"`{db}`.`{t}`") for t in _KEYS})
+
+
+# --------------------------------------------------------------------------
+# Marts and analyses D1-D5
+# --------------------------------------------------------------------------
+_PRICE = "CAST(o_totalprice AS DECIMAL(12,2))"
+
+
+@query("mart_cube", f"""
+SELECT o_orderstatus, o_orderpriority, count(*) AS n_orders,
+  CAST(sum({_PRICE}) AS DECIMAL(18,2)) AS total_price,
+  CAST(grouping(o_orderstatus, o_orderpriority) AS INT) AS gid
+FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)""")
+def mart_cube(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    return cube_mart(o, ["o_orderstatus", "o_orderpriority"],
+                     {"n_orders": F.count(F.lit(1)),
+                      "total_price": F.sum(F.col("o_totalprice").cast("decimal(12,2)")).cast("decimal(18,2)")})
+
+
+@query("mart_grouping_sets", f"""
+SELECT CAST(year(o_orderdate) AS INT) AS yr, o_orderpriority, count(*) AS n_orders,
+  CAST(sum({_PRICE}) AS DECIMAL(18,2)) AS total_price,
+  CAST(grouping(CAST(year(o_orderdate) AS INT), o_orderpriority) AS INT) AS gid
+FROM orders GROUP BY GROUPING SETS ((CAST(year(o_orderdate) AS INT), o_orderpriority), (CAST(year(o_orderdate) AS INT)), ())""")
+def mart_grouping_sets(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders").withColumn("yr", F.year("o_orderdate").cast("int"))
+    return grouping_sets_mart(o, [["yr", "o_orderpriority"], ["yr"], []], ["yr", "o_orderpriority"],
+                              {"n_orders": F.count(F.lit(1)),
+                               "total_price": F.sum(F.col("o_totalprice").cast("decimal(12,2)")).cast("decimal(18,2)")})
+
+
+@query("containment_by_agency", """
+WITH first_ship AS (SELECT l_orderkey, min(l_shipdate) AS first_ts FROM lineitem GROUP BY l_orderkey),
+ev AS (SELECT n.n_name AS agency, date_diff('second', o.o_orderdate, f.first_ts) AS secs
+       FROM orders o JOIN first_ship f ON o.o_orderkey = f.l_orderkey
+       JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey)
+SELECT agency, count(*) AS n_events, round(avg(secs) / 3600.0, 2) AS avg_hours,
+  CAST(max(secs) / 3600 AS BIGINT) AS max_hours
+FROM ev GROUP BY agency""")
+def containment_by_agency(spark, sf_dir):
+    """Start = order date, containment = first ship date of its lines,
+    agency = the customer's nation."""
+    o = read_table(spark, sf_dir, "orders")
+    li = read_table(spark, sf_dir, "lineitem")
+    c = read_table(spark, sf_dir, "customer")
+    n = read_table(spark, sf_dir, "nation")
+    ev = o.join(c.select("c_custkey", "c_nationkey"), o.o_custkey == c.c_custkey, "inner")
+    return containment_efficiency(ev, li, "o_orderkey", "l_orderkey", "o_orderdate", "l_shipdate",
+                                  n, "c_nationkey", "n_name", "n_nationkey").select(
+        "agency", "n_events", "avg_hours", "max_hours")
+
+
+@query("geo_day_overlay", """
+WITH a AS (SELECT c.c_nationkey AS place, CAST(o.o_orderdate AS DATE) AS day, count(*) AS a_n
+           FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2),
+b AS (SELECT s.s_nationkey AS place, CAST(l.l_shipdate AS DATE) AS day, count(*) AS b_n
+      FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey GROUP BY 1, 2)
+SELECT a.place, count(*) AS shared_days, sum(a_n) AS a_total, sum(b_n) AS b_total,
+  round(corr(CAST(a_n AS DOUBLE), CAST(b_n AS DOUBLE)), 6) AS corr_ab
+FROM a JOIN b ON a.place = b.place AND a.day = b.day GROUP BY a.place""")
+def geo_day_overlay(spark, sf_dir):
+    """Fires (customer nation, order day) over weather outliers (supplier
+    nation, ship day): shared place-days and their correlation."""
+    o = read_table(spark, sf_dir, "orders")
+    c = read_table(spark, sf_dir, "customer")
+    li = read_table(spark, sf_dir, "lineitem")
+    s = read_table(spark, sf_dir, "supplier")
+    a = o.join(c, o.o_custkey == c.c_custkey).select(F.col("c_nationkey").alias("place"),
+                                                     F.col("o_orderdate").cast("date").alias("day"))
+    b = li.join(s, li.l_suppkey == s.s_suppkey).select(F.col("s_nationkey").alias("place"),
+                                                       F.col("l_shipdate").cast("date").alias("day"))
+    return place_day_overlay(a, b, "place", "day")
+
+
+@query("kmeans_cells")
+def kmeans_cells_q(spark, sf_dir):
+    """Rows-only: cluster every embedding by its first two elements."""
+    e = read_table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.element_at("embedding", 1).cast("double").alias("x"),
+        F.element_at("embedding", 2).cast("double").alias("y"))
+    return kmeans_cells(e, "x", "y", k=4, id_col="vec_id")
