@@ -71,7 +71,7 @@ _WIDE = "decimal(38,18)"
 
 
 def fx_fires(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_views(spark, sf_dir, FIRE_TABLES)
+    register_views(spark, sf_dir, FIRE_TABLES, spread_keys={"orders": ("o_orderkey",)})
     return spark.sql(FX_FIRES_SQL)
 
 
@@ -99,5 +99,5 @@ def raw_fires(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_views(spark, sf_dir, ("events",))
+    register_views(spark, sf_dir, ("events",), spread_keys={"events": ("event_id",)})
     return spark.sql(FX_WEATHER_RAW_SQL)

@@ -11,14 +11,48 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+_HANDLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    """Parquet table ``root/name.parquet``. The lazy handle (file listing and
+    footer schema) is reused within a session; no data is cached."""
+    path = f"{root.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _HANDLES.get(key)
+    if df is None:
+        df = _HANDLES[key] = spark.read.parquet(path)
+    return df
+
+
+def spread(df: DataFrame, keys: Iterable[str] = (), min_partitions: int | None = None) -> DataFrame:
+    """Split an under-partitioned scan across the cores.
+
+    A file scan has one split per file block / row group; a table stored as a
+    single row group is read by one task and every narrow operator after it
+    (a fully broadcast star join has no shuffle) stays on that one core. When
+    the scan has fewer splits than the default parallelism, hash-repartition
+    it on ``keys`` (deterministic on retry). On a cluster-sized input the scan
+    already has more splits than cores and nothing is added. Call it on a
+    plain scan: its split count is known without running anything.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    keys = list(keys)
+    return df.repartition(want, *keys) if keys else df.repartition(want)
 
 
-def register_views(spark: SparkSession, root: str, names: Iterable[str] = TABLES) -> None:
-    """Temp views over the Parquet tables so that shared SQL text runs as is."""
+def register_views(spark: SparkSession, root: str, names: Iterable[str] = TABLES,
+                   spread_keys: dict[str, tuple[str, ...]] | None = None) -> None:
+    """Temp views over the Parquet tables so that shared SQL text runs as is;
+    tables named in ``spread_keys`` are spread over the cores first."""
+    spread_keys = spread_keys or {}
     for n in names:
-        read_table(spark, root, n).createOrReplaceTempView(n)
+        df = read_table(spark, root, n)
+        if n in spread_keys:
+            df = spread(df, spread_keys[n])
+        df.createOrReplaceTempView(n)
 
 
 def read_csv(spark: SparkSession, path: str, columns: Iterable[str] | None = None,

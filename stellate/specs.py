@@ -52,8 +52,7 @@ SOURCES = DimSpec("sources", "source_id",
 REPORTERS = DimSpec("reporters", "reporter_id",
                     ("nwcg_reporting_agency", "nwcg_reporting_unit_id", "nwcg_reporting_unit_name"))
 FIRE_NAMES = DimSpec("fire_names", "fire_name_id",
-                     ("fire_name", "ics_209_name", "fire_code", "mtbs_fire_name"),
-                     broadcast=False)
+                     ("fire_name", "ics_209_name", "fire_code", "mtbs_fire_name"))
 FIRE_CAUSES = DimSpec("fire_causes", "fire_cause_id", ("stat_cause_code", "stat_cause_descr"))
 FIRE_SIZES = DimSpec("fire_sizes", "fire_size_id", ("fire_size_class",))
 OWNERS = DimSpec("owners", "owner_id", ("owner_code", "owner_descr"))
