@@ -53,3 +53,16 @@ def build_fact(staged: DataFrame, spec: FactSpec, dims: Mapping[str, DataFrame],
                strategies: Mapping[str, str] | None = None, stats: Mapping | None = None) -> DataFrame:
     joined = star_join(staged, spec, dims, dates, strategies, stats)
     return joined.selectExpr(*[f"{expr} AS `{alias}`" for expr, alias in spec.select])
+
+
+def calendar_misses(staged: DataFrame, spec: FactSpec, start: str, end: str) -> DataFrame:
+    """Rows the inner calendar joins drop: some role date is set but outside
+    [start, end). The reference dropped them silently; callers report the
+    count (a filter, no join)."""
+    lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
+    cond = None
+    for role in spec.roles:
+        d = F.col(role.source).cast("date")
+        miss = d.isNotNull() & ((d < lo) | (d >= hi))
+        cond = miss if cond is None else (cond | miss)
+    return staged.filter(cond)

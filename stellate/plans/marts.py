@@ -63,11 +63,14 @@ def place_day_overlay(a: DataFrame, b: DataFrame, place: str, day: str) -> DataF
     da = a.groupBy(place, day).agg(F.count(F.lit(1)).alias("a_n"))
     db = b.groupBy(place, day).agg(F.count(F.lit(1)).alias("b_n"))
     both = da.join(db, [place, day], "inner")
+    a_n, b_n = F.col("a_n").cast("double"), F.col("b_n").cast("double")
+    # Pearson correlation; NULL (not an ANSI divide-by-zero) when a series is constant
+    corr = F.try_divide(F.covar_pop(a_n, b_n), F.stddev_pop(a_n) * F.stddev_pop(b_n))
     return both.groupBy(place).agg(
         F.count(F.lit(1)).alias("shared_days"),
         F.sum("a_n").alias("a_total"),
         F.sum("b_n").alias("b_total"),
-        F.round(F.corr(F.col("a_n").cast("double"), F.col("b_n").cast("double")), 6).alias("corr_ab"))
+        F.round(corr, 6).alias("corr_ab"))
 
 
 def kmeans_cells(df: DataFrame, x: str, y: str, k: int = 4, seed: int = 42, id_col: str = "id") -> DataFrame:
