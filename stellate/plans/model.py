@@ -41,10 +41,12 @@ class WeatherModel:
         return {"weather_types": dim_table(self.dims["weather_types"]), "weather_fact": self.fact}
 
 
-def fire_model(spark: SparkSession, raw: DataFrame, dates: DataFrame | None = None,
+def fire_model(spark: SparkSession, raw: DataFrame | None, dates: DataFrame | None = None,
                strategies: dict[str, str] | None = None,
-               start: str = CALENDAR_START, end: str = CALENDAR_END) -> FireModel:
-    staged = stage_fires(raw)
+               start: str = CALENDAR_START, end: str = CALENDAR_END,
+               staged: DataFrame | None = None) -> FireModel:
+    """Staged frame (from ``raw`` unless given) -> dimensions -> fact."""
+    staged = staged if staged is not None else stage_fires(raw)
     present = [d for d in FIRE_DIMS if all(a in staged.columns for a in d.attrs)]
     dims, stats = build_dims_with_stats(staged, present)
     if "fire_sizes" in dims:
@@ -59,9 +61,9 @@ def fire_model(spark: SparkSession, raw: DataFrame, dates: DataFrame | None = No
     return FireModel(staged, dims, dates, fact, stats)
 
 
-def weather_model(spark: SparkSession, raw: DataFrame, lower_bound: str = WEATHER_LOWER_BOUND,
-                  dates: DataFrame | None = None) -> WeatherModel:
-    staged = stage_weather(raw, lower_bound)
+def weather_model(spark: SparkSession, raw: DataFrame | None, lower_bound: str = WEATHER_LOWER_BOUND,
+                  dates: DataFrame | None = None, staged: DataFrame | None = None) -> WeatherModel:
+    staged = staged if staged is not None else stage_weather(raw, lower_bound)
     dims, stats = build_dims_with_stats(staged, [WEATHER_TYPES])
     dates = dates if dates is not None else build_dates(spark)
     fact = build_fact(staged, WEATHER_FACT, dims, dates, stats=stats)
