@@ -150,13 +150,13 @@ def role_play(dim: DataFrame, prefix: str) -> DataFrame:
     return prefix_names(dim, prefix)
 
 
-def refresh_dim(existing: DataFrame, staged: DataFrame, spec: DimSpec) -> DataFrame:
-    """Type-1 refresh: keep every existing (key, attrs) row unchanged and give
-    members not seen before new dense keys after the current maximum.
+def new_members(existing: DataFrame, staged: DataFrame, spec: DimSpec) -> DataFrame:
+    """Members of ``staged`` that ``existing`` lacks, keyed after its maximum.
 
     New members come from a GROUP BY (partial aggregation) and a null-safe
     anti join against the existing members, broadcast only when the existing
-    dimension fits a checked size bound.
+    dimension fits a checked size bound. Re-running with the output already
+    appended finds nothing new, so an append of the result is idempotent.
     """
     cur = dim_table(existing).select(spec.key, *spec.attrs)
     members = staged.groupBy(*spec.attrs).agg(F.count(F.lit(1)).alias(ROWS))
@@ -167,5 +167,11 @@ def refresh_dim(existing: DataFrame, staged: DataFrame, spec: DimSpec) -> DataFr
     new = members.join(ref, cond, "left_anti")
     top = cur.agg(F.max(spec.key).alias("m")).first()["m"]
     start = 0 if top is None else int(top) + 1
-    keyed = dense_key(new, list(spec.attrs), spec.key, start=start)
-    return cur.unionByName(keyed.select(spec.key, *spec.attrs))
+    return dense_key(new, list(spec.attrs), spec.key, start=start).select(spec.key, *spec.attrs)
+
+
+def refresh_dim(existing: DataFrame, staged: DataFrame, spec: DimSpec) -> DataFrame:
+    """Type-1 refresh: every existing (key, attrs) row unchanged, members not
+    seen before appended with new dense keys after the current maximum."""
+    cur = dim_table(existing).select(spec.key, *spec.attrs)
+    return cur.unionByName(new_members(existing, staged, spec))

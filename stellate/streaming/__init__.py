@@ -1 +1,3 @@
+from .refresh import apply_fire_batch, start_fire_refresh
 
+__all__ = ["apply_fire_batch", "start_fire_refresh"]
