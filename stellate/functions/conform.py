@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType
 
 
+def cast_sql(col: str, to: str, safe: bool = False) -> str:
+    return f"{'try_cast' if safe else 'CAST'}(`{col}` AS {to})"
+
+
 def cast_columns(df: DataFrame, cols: Iterable[str], to: str, safe: bool = False) -> DataFrame:
     """Cast ``cols`` to type ``to`` in one projection. Decimal/double -> int
     truncates toward zero; decimal narrowing rounds HALF_UP. ``safe`` uses
     try_cast so that dirty values become NULL instead of failing the job."""
-    present = [c for c in cols if c in df.columns]
-    return df.withColumns({c: (F.col(c).try_cast(to) if safe else F.col(c).cast(to)) for c in present})
+    wanted = set(cols)
+    return df.selectExpr(*[f"{cast_sql(c, to, safe)} AS `{c}`" if c in wanted else f"`{c}`"
+                           for c in df.columns])
 
 
 def fill_default(df: DataFrame, value, cols: Iterable[str]) -> DataFrame:

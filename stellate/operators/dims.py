@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.conform import prefix_names
-from ..functions.temporal import calendar_columns
+from ..functions.temporal import CALENDAR_TYPES, calendar_sql
 from ..specs import CALENDAR_END, CALENDAR_START, DATES_KEY, SIZE_BANDS, DimSpec
 from .joins import fits_broadcast, null_safe_condition
 from .keys import GroupStats, dense_key, dense_key_with_stats
@@ -66,21 +66,20 @@ def build_dims_with_stats(staged: DataFrame, specs: Sequence[DimSpec],
             by_attrs[s.attrs] = gid
 
     if len(by_attrs) == 1:
-        members = (staged.groupBy(*cols).agg(F.count(F.lit(1)).alias(ROWS))
-                   .withColumn("_gid", F.lit(0).cast("bigint")))
+        members = staged.groupBy(*cols).agg(F.expr(f"count(1) AS {ROWS}"), F.expr("CAST(0 AS BIGINT) AS _gid"))
         gids = {a: 0 for a in by_attrs}
     else:
         sets = [[F.col(a) for a in attrs] for attrs in by_attrs]
         members = staged.groupingSets(sets, *cols).agg(
-            F.count(F.lit(1)).alias(ROWS), F.grouping_id().cast("bigint").alias("_gid"))
+            F.expr(f"count(1) AS {ROWS}"), F.expr("CAST(grouping_id() AS BIGINT) AS _gid"))
         gids = by_attrs
     keyed, gstats = dense_key_with_stats(members, cols, "_key", start=start, group_col="_gid",
-                                         weight_col=ROWS)
+                                         weight_col=ROWS, materialize=True)
     out, stats = {}, {}
     for s in specs:
         g = gids[s.attrs]
-        out[s.name] = (keyed.filter(F.col("_gid") == g)
-                       .select(F.col("_key").alias(s.key), *s.attrs, ROWS))
+        out[s.name] = keyed.filter(f"_gid = {g}").selectExpr(f"_key AS `{s.key}`", *[f"`{a}`" for a in s.attrs],
+                                                              ROWS)
         stats[s.name] = gstats.get(g, GroupStats(0, 0))
     return out, stats
 
@@ -98,22 +97,14 @@ def dim_table(keyed: DataFrame) -> DataFrame:
 def with_size_bands(dim: DataFrame, class_col: str = "fire_size_class") -> DataFrame:
     """Add lower_bound / upper_bound (DOUBLE) looked up by class letter; a
     class outside the table gets NULL bounds."""
-    c = F.col(class_col)
-    lower = upper = None
-    for cls, lo, hi in SIZE_BANDS:
-        lo_v = F.lit(lo).cast("double")
-        hi_v = F.lit(hi).cast("double")
-        lower = F.when(c == cls, lo_v) if lower is None else lower.when(c == cls, lo_v)
-        upper = F.when(c == cls, hi_v) if upper is None else upper.when(c == cls, hi_v)
-    return dim.withColumns({"lower_bound": lower, "upper_bound": upper})
+    c = f"`{class_col}`"
+    lower = " ".join(f"WHEN {c} = '{cls}' THEN CAST({lo} AS DOUBLE)" for cls, lo, _ in SIZE_BANDS)
+    upper = " ".join(f"WHEN {c} = '{cls}' THEN CAST({'NULL' if hi is None else hi} AS DOUBLE)"
+                     for cls, _, hi in SIZE_BANDS)
+    return dim.selectExpr("*", f"CASE {lower} END AS lower_bound", f"CASE {upper} END AS upper_bound")
 
 
-_CAL_TYPES = {
-    "date_actual": "date", "epoch": "bigint", "day_name": "string", "day_of_week": "int",
-    "day_of_month": "int", "day_of_year": "int", "week_of_month": "string", "week_of_year": "int",
-    "month_actual": "int", "month_name": "string", "month_name_abbreviated": "string",
-    "quarter_actual": "int", "quarter_name": "string", "year_actual": "int",
-}
+_CAL_TYPES = CALENDAR_TYPES
 
 
 def calendar_size(start: str = CALENDAR_START, end: str = CALENDAR_END) -> int:
@@ -126,7 +117,7 @@ def date_sequence(spark: SparkSession, start: str = CALENDAR_START, end: str = C
     ``spark.range`` (no driver-side list)."""
     n = calendar_size(start, end)
     ids = spark.range(0, n, numPartitions=num_partitions) if num_partitions else spark.range(0, n)
-    return ids.select(F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("date"))
+    return ids.selectExpr(f"date_add(DATE'{start}', CAST(id AS INT)) AS date")
 
 
 def build_dates(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END,
@@ -135,13 +126,12 @@ def build_dates(spark: SparkSession, start: str = CALENDAR_START, end: str = CAL
     an ``unknown`` member with key max+1 and NULL attributes so that NULL dates
     still join through ``<=>``."""
     n = calendar_size(start, end)
-    days = spark.range(0, n)
-    d = F.date_add(F.lit(start).cast("date"), F.col("id").cast("int"))
-    cal = calendar_columns(d)
-    dates = days.select((F.col("id") + 1).cast("bigint").alias(key), F.lit("date").alias("date_type"),
-                        *[cal[c].cast(t).alias(c) for c, t in _CAL_TYPES.items()])
-    unknown = spark.range(1).select(F.lit(n + 1).cast("bigint").alias(key), F.lit("unknown").alias("date_type"),
-                                    *[F.lit(None).cast(t).alias(c) for c, t in _CAL_TYPES.items()])
+    days = spark.range(0, n).selectExpr("id", f"date_add(DATE'{start}', CAST(id AS INT)) AS d")
+    cal = calendar_sql("d")
+    dates = days.selectExpr(f"CAST(id + 1 AS BIGINT) AS {key}", "'date' AS date_type",
+                            *[f"CAST({cal[c]} AS {t}) AS {c}" for c, t in _CAL_TYPES.items()])
+    unknown = spark.range(1).selectExpr(f"CAST({n + 1} AS BIGINT) AS {key}", "'unknown' AS date_type",
+                                        *[f"CAST(NULL AS {t}) AS {c}" for c, t in _CAL_TYPES.items()])
     return dates.unionByName(unknown)
 
 

@@ -13,7 +13,7 @@ from .joins import null_safe_join
 
 
 def join_dates(fact: DataFrame, dates: DataFrame, source: str, key_out: str,
-               prefix: str = "") -> DataFrame:
+               prefix: str = "", keep: bool = False) -> DataFrame:
     """Add the calendar key of ``source`` (a date or timestamp column).
 
     The calendar has one row per day of a fixed range plus the unknown member,
@@ -22,22 +22,21 @@ def join_dates(fact: DataFrame, dates: DataFrame, source: str, key_out: str,
     nothing and the row is dropped (``dropped_by_calendar`` counts those).
     """
     rd = f"_{prefix}rd"
-    cal = F.broadcast(dates.select(F.col(DATES_KEY).alias(key_out), F.col("date_actual").alias(rd)))
-    day = F.col(source).cast("date")
-    return (fact.withColumn(f"_{prefix}day", day)
-                .join(cal, F.col(f"_{prefix}day").eqNullSafe(F.col(rd)), "inner")
-                .drop(rd, f"_{prefix}day"))
+    cal = F.broadcast(dates.selectExpr(f"{DATES_KEY} AS `{key_out}`", f"date_actual AS `{rd}`"))
+    out = fact.join(cal, F.expr(f"CAST(`{source}` AS DATE) <=> `{rd}`"), "inner")
+    return out if keep else out.drop(rd)
 
 
 def star_join(staged: DataFrame, spec: FactSpec, dims: Mapping[str, DataFrame], dates: DataFrame,
               strategies: Mapping[str, str] | None = None, stats: Mapping | None = None) -> DataFrame:
     """Join ``staged`` to the calendar once per role and to each member
     dimension of ``spec``; the per-dimension strategy comes from
-    ``strategies``, then the spec's ``broadcast`` flag, then a size check."""
+    ``strategies``, then the spec's ``broadcast`` flag, then a size check.
+    Helper columns of the joins stay until the caller's final projection."""
     strategies = dict(strategies or {})
     f = staged
     for role in spec.roles:
-        f = join_dates(f, dates, role.source, role.key_out, role.prefix)
+        f = join_dates(f, dates, role.source, role.key_out, role.prefix, keep=True)
     for ds in spec.dims:
         strat = strategies.get(ds.name)
         if strat is None:
@@ -45,7 +44,8 @@ def star_join(staged: DataFrame, spec: FactSpec, dims: Mapping[str, DataFrame],
         if strat == "auto_shuffle":
             strat = "salted" if "_rows" in dims[ds.name].columns else "shuffle"
         f = null_safe_join(f, dims[ds.name], ds.attrs, ds.key, strategy=strat,
-                           salt_cols=list(spec.row_id) or None, stats=(stats or {}).get(ds.name))
+                           salt_cols=list(spec.row_id) or None, stats=(stats or {}).get(ds.name),
+                           keep_right=True)
     return f
 
 

@@ -59,16 +59,18 @@ def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
 
 def null_safe_join(fact: DataFrame, dim: DataFrame, attrs: Sequence[str], key: str,
                    strategy: str = "auto", salt_cols: Sequence[str] | None = None,
-                   extra: Sequence[str] = (), stats=None) -> DataFrame:
+                   extra: Sequence[str] = (), stats=None, keep_right: bool = False) -> DataFrame:
     """Inner join of ``fact`` to ``dim`` on ``attrs`` with ``<=>``; adds
     ``key`` (and ``extra`` dimension columns) to the fact row. ``stats``
     (member count, fact rows) from the dimension build replaces the size
-    check job when given."""
-    rnames = [f"_r{i}" for i in range(len(attrs))]
+    check job when given. ``keep_right`` leaves the dimension's renamed
+    attribute columns in place for a caller that projects once at the end
+    (fewer plan nodes in a long star join)."""
+    rnames = [f"_{key}_r{i}" for i in range(len(attrs))]
     has_rows = "_rows" in dim.columns
-    right = dim.select(F.col(key), *[F.col(c) for c in extra],
-                       *[F.col(a).alias(r) for a, r in zip(attrs, rnames)],
-                       *([F.col("_rows")] if has_rows else []))
+    right = dim.selectExpr(f"`{key}`", *[f"`{c}`" for c in extra],
+                           *[f"`{a}` AS `{r}`" for a, r in zip(attrs, rnames)],
+                           *(["_rows"] if has_rows else []))
     if strategy == "auto":
         plain = right.drop("_rows") if has_rows else right
         if stats is not None:
@@ -88,8 +90,9 @@ def null_safe_join(fact: DataFrame, dim: DataFrame, attrs: Sequence[str], key: s
         right = right.drop("_rows")
     if strategy == "broadcast":
         right = F.broadcast(right)
-    cond = null_safe_condition(fact, right, attrs, rnames)
-    return fact.join(right, cond, "inner").drop(*rnames)
+    cond = F.expr(" AND ".join(f"`{a}` <=> `{r}`" for a, r in zip(attrs, rnames)))
+    out = fact.join(right, cond, "inner")
+    return out if keep_right else out.drop(*rnames)
 
 
 def _salted_join(fact: DataFrame, right: DataFrame, attrs: Sequence[str], rnames: Sequence[str],

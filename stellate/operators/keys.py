@@ -47,8 +47,10 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str, start: in
 
 def dense_key_with_stats(df: DataFrame, order_cols: Sequence[str], key_name: str, start: int = 0,
                          group_col: str | None = None, num_partitions: int | None = None,
-                         weight_col: str | None = None) -> tuple[DataFrame, dict]:
-    """``dense_key`` plus {group value: GroupStats} from the same count job."""
+                         weight_col: str | None = None, materialize: bool = False) -> tuple[DataFrame, dict]:
+    """``dense_key`` plus {group value: GroupStats} from the same count job.
+    ``materialize`` checkpoints the keyed rows too, for results that feed many
+    joins: each reader then scans them instead of repeating the offset join."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -56,15 +58,16 @@ def dense_key_with_stats(df: DataFrame, order_cols: Sequence[str], key_name: str
     order = [F.col(c).asc_nulls_first() for c in sort_cols]
     tagged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)
-                .withColumn("_mid", F.monotonically_increasing_id()))
+                .selectExpr("*", "monotonically_increasing_id() AS _mid"))
     tagged = tagged.checkpoint(eager=True)
 
-    grp = [F.col(group_col).alias("_og")] if group_col else [F.lit(0).cast("bigint").alias("_og")]
-    aggs = [F.count(F.lit(1)).alias("_n"), F.min(F.col("_mid").bitwiseAND(F.lit(_POS_MASK))).alias("_p0")]
-    if weight_col:
-        aggs.append(F.sum(weight_col).alias("_w"))
+    pos = f"(_mid & {_POS_MASK})"
+    grp = f"`{group_col}`" if group_col else "CAST(0 AS BIGINT)"
+    aggs = ["count(1) AS _n", f"min({pos}) AS _p0"] + ([f"sum(`{weight_col}`) AS _w"] if weight_col else [])
     # bounded: one row per (partition, group)
-    counts = tagged.groupBy(F.shiftright(F.col("_mid"), 33).alias("_pid"), *grp).agg(*aggs).collect()
+    counts = (tagged.selectExpr("shiftright(_mid, 33) AS _pid", f"{grp} AS _og", "_mid",
+                                *([f"`{weight_col}`"] if weight_col else []))
+                    .groupBy("_pid", "_og").agg(*[F.expr(a) for a in aggs]).collect())
 
     offsets, stats, running = [], {}, {}
     for r in sorted(counts, key=lambda r: (r["_og"], r["_pid"])):
@@ -79,12 +82,11 @@ def dense_key_with_stats(df: DataFrame, order_cols: Sequence[str], key_name: str
     og_type = df.schema[group_col].dataType.simpleString() if group_col else "bigint"
     off_df = spark.createDataFrame(offsets, f"_pid bigint, _og {og_type}, _off bigint")
 
-    join_on = F.shiftright(F.col("_mid"), 33) == F.col("_pid")
-    if group_col:
-        join_on = join_on & (F.col(group_col) == F.col("_og"))
-    key = (F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_POS_MASK))).cast("bigint")
-    out_cols = [key.alias(key_name)] + [F.col(c) for c in df.columns]
-    out = tagged.join(F.broadcast(off_df), join_on, "inner").select(*out_cols)
+    cond = "shiftright(_mid, 33) = _pid" + (f" AND `{group_col}` = _og" if group_col else "")
+    out = (tagged.join(F.broadcast(off_df), F.expr(cond), "inner")
+                 .selectExpr(f"CAST(_off + {pos} AS BIGINT) AS `{key_name}`", *[f"`{c}`" for c in df.columns]))
+    if materialize:
+        out = out.checkpoint(eager=True)
     if not group_col:
         stats = {None: stats.get(0, GroupStats(0, 0 if weight_col else None))}
     return out, stats

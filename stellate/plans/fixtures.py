@@ -10,9 +10,8 @@ runs the real staging/modelling code on them.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..functions.temporal import date_to_julian
+from ..functions.temporal import date_to_julian_sql
 from ..sources.readers import register_views
 
 FX_FIRES_SQL = """
@@ -79,23 +78,21 @@ def raw_fires(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixture re-encoded like the JDBC source: upper-case names, wide
     decimals, Julian dates, HHMM text."""
     fx = fx_fires(spark, sf_dir)
-    cols = [F.col("objectid").alias("OBJECTID")]
-    cols += [F.col(c).alias(c.upper()) for c in _RAW_TEXT]
-    cols += [
-        F.year("disc_date").cast(_WIDE).alias("FIRE_YEAR"),
-        date_to_julian("disc_date").alias("DISCOVERY_DATE"),
-        F.dayofyear("disc_date").cast(_WIDE).alias("DISCOVERY_DOY"),
-        F.col("disc_time").alias("DISCOVERY_TIME"),
-        date_to_julian("cont_date").alias("CONT_DATE"),
-        F.dayofyear("cont_date").cast(_WIDE).alias("CONT_DOY"),
-        F.when(F.col("cont_date").isNotNull(), F.col("disc_time")).alias("CONT_TIME"),
-        F.col("stat_cause_code").cast(_WIDE).alias("STAT_CAUSE_CODE"),
-        F.col("owner_code").cast(_WIDE).alias("OWNER_CODE"),
-        F.col("fire_size").cast(_WIDE).alias("FIRE_SIZE"),
-        F.col("latitude").cast(_WIDE).alias("LATITUDE"),
-        F.col("longitude").cast(_WIDE).alias("LONGITUDE"),
+    cols = ["objectid AS OBJECTID"] + [f"{c} AS {c.upper()}" for c in _RAW_TEXT] + [
+        f"CAST(year(disc_date) AS {_WIDE}) AS FIRE_YEAR",
+        f"{date_to_julian_sql('disc_date')} AS DISCOVERY_DATE",
+        f"CAST(dayofyear(disc_date) AS {_WIDE}) AS DISCOVERY_DOY",
+        "disc_time AS DISCOVERY_TIME",
+        f"{date_to_julian_sql('cont_date')} AS CONT_DATE",
+        f"CAST(dayofyear(cont_date) AS {_WIDE}) AS CONT_DOY",
+        "CASE WHEN cont_date IS NOT NULL THEN disc_time END AS CONT_TIME",
+        f"CAST(stat_cause_code AS {_WIDE}) AS STAT_CAUSE_CODE",
+        f"CAST(owner_code AS {_WIDE}) AS OWNER_CODE",
+        f"CAST(fire_size AS {_WIDE}) AS FIRE_SIZE",
+        f"CAST(latitude AS {_WIDE}) AS LATITUDE",
+        f"CAST(longitude AS {_WIDE}) AS LONGITUDE",
     ]
-    return fx.select(*cols)
+    return fx.selectExpr(*cols)
 
 
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,10 +4,9 @@ modelling. Pure projections and one filter; Catalyst fuses them with the scan.""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..functions.conform import cast_columns, fill_default, lower_names
-from ..functions.temporal import date_time, julian_to_date
+from ..functions.conform import cast_sql
+from ..functions.temporal import date_time_sql, julian_to_date_sql
 from ..specs import (COORD_DECIMAL, FIRE_COORD_COLS, FIRE_DATETIME_PREFIXES, FIRE_DROP_COLS,
                      FIRE_INT_COLS, FIRE_MONEY_COLS, FIRE_TIME_COLS, FIRE_TIME_FILL, MONEY_DECIMAL,
                      WEATHER_DATE_COL, WEATHER_LOWER_BOUND)
@@ -17,14 +16,19 @@ def stage_fires(raw: DataFrame) -> DataFrame:
     """Narrow decimals (try_cast: overflow or junk -> NULL, as the legacy
     non-ANSI cast did), fill missing HHMM times with 0000, turn each Julian
     date + HHMM time into a TIMESTAMP_NTZ, lower-case names, drop the parts."""
-    df = cast_columns(raw, FIRE_INT_COLS, "int", safe=True)
-    df = cast_columns(df, FIRE_MONEY_COLS, MONEY_DECIMAL, safe=True)
-    df = cast_columns(df, FIRE_COORD_COLS, COORD_DECIMAL, safe=True)
-    df = fill_default(df, FIRE_TIME_FILL, FIRE_TIME_COLS)
-    stamps = {f"{p}_TIMESTAMP": date_time(julian_to_date(f"{p}_DATE"), F.col(f"{p}_TIME"))
-              for p in FIRE_DATETIME_PREFIXES if f"{p}_DATE" in df.columns and f"{p}_TIME" in df.columns}
-    df = df.withColumns(stamps)
-    return lower_names(df).drop(*FIRE_DROP_COLS)
+    # one projection (one call to the JVM): typed, filled, combined, renamed, pruned
+    kinds = {**{c: ("INT", True) for c in FIRE_INT_COLS}, **{c: (MONEY_DECIMAL, True) for c in FIRE_MONEY_COLS},
+             **{c: (COORD_DECIMAL, True) for c in FIRE_COORD_COLS}}
+    typed = {c: (cast_sql(c, *kinds[c]) if c in kinds else f"`{c}`") for c in raw.columns}
+    for c in FIRE_TIME_COLS:
+        if c in typed:
+            typed[c] = f"coalesce({typed[c]}, '{FIRE_TIME_FILL}')"
+    out = [f"{e} AS `{c.lower()}`" for c, e in typed.items() if c.lower() not in FIRE_DROP_COLS]
+    for p in FIRE_DATETIME_PREFIXES:
+        if f"{p}_DATE" in typed and f"{p}_TIME" in typed:
+            day = julian_to_date_sql(typed[f"{p}_DATE"])
+            out.append(f"{date_time_sql(day, typed[f'{p}_TIME'])} AS `{p.lower()}_timestamp`")
+    return raw.selectExpr(*out)
 
 
 def stage_weather(raw: DataFrame, lower_bound: str = WEATHER_LOWER_BOUND,
@@ -32,5 +36,6 @@ def stage_weather(raw: DataFrame, lower_bound: str = WEATHER_LOWER_BOUND,
     """Text date -> DATE (bad text -> NULL) and keep dates on/after the bound;
     NULL dates drop out. The filter is on a typed column, so on Parquet input
     it reaches the scan."""
-    return (raw.withColumn(date_col, F.col(date_col).try_cast("date"))
-               .filter(F.col(date_col) >= F.lit(lower_bound).cast("date")))
+    typed = raw.selectExpr(*[f"try_cast(`{c}` AS DATE) AS `{c}`" if c == date_col else f"`{c}`"
+                             for c in raw.columns])
+    return typed.filter(f"`{date_col}` >= DATE'{lower_bound}'")
