@@ -3,7 +3,8 @@
 Strategy per dimension:
   * ``broadcast`` when the dimension passes a checked size bound (rows x
     estimated row width under ``stellate.broadcast.maxBytes``) - no shuffle of
-    the fact at all;
+    the fact at all. Asking for ``broadcast`` is a hint: beyond the bound the
+    join falls back to the salted shuffle join;
   * ``salted`` when it does not: members whose fact rows exceed an average
     shuffle partition are hot; their fact rows get a deterministic salt in
     [0, s) and the dimension row is copied s times, so one hot member (even a
@@ -71,7 +72,8 @@ def null_safe_join(fact: DataFrame, dim: DataFrame, attrs: Sequence[str], key: s
     right = dim.selectExpr(f"`{key}`", *[f"`{c}`" for c in extra],
                            *[f"`{a}` AS `{r}`" for a, r in zip(attrs, rnames)],
                            *(["_rows"] if has_rows else []))
-    if strategy == "auto":
+    if strategy in ("auto", "broadcast"):
+        # a broadcast request is honoured only within the checked size bound
         plain = right.drop("_rows") if has_rows else right
         if stats is not None:
             fits = stats.members * row_width(plain) <= broadcast_bytes(plain)

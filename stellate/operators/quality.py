@@ -42,15 +42,16 @@ def duplicate_key_report(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFra
 
 def orphan_report(fact: DataFrame, fks: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:
     """(dimension, orphans): fact rows whose foreign key finds no dimension
-    row. One left-anti join per dimension on the key (dimension side
-    projected to its key only)."""
+    row. The fact side is first reduced to one row per key value with its
+    row count (partial aggregation, so a key holding a third of the fact
+    costs one map-side row per task), then anti-joined with the keys."""
     parts = []
     for name, (dim, dim_key, fact_key) in fks.items():
-        keys = dim.select(F.col(dim_key).alias("_k"))
-        cnt = (fact.select(F.col(fact_key).alias("_f"))
-                   .join(keys, F.col("_f").eqNullSafe(F.col("_k")), "left_anti")
-                   .agg(F.count(F.lit(1)).alias("orphans")))
-        parts.append(cnt.select(F.lit(name).alias("dimension"), "orphans"))
+        keys = dim.selectExpr(f"`{dim_key}` AS _k")
+        per_key = fact.groupBy(F.col(fact_key).alias("_f")).agg(F.expr("count(1) AS _n"))
+        cnt = (per_key.join(keys, F.expr("_f <=> _k"), "left_anti")
+                      .agg(F.expr("CAST(coalesce(sum(_n), 0) AS BIGINT) AS orphans")))
+        parts.append(cnt.selectExpr(f"'{name}' AS dimension", "orphans"))
     return _union(parts)
 
 

@@ -18,7 +18,7 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Parquet table ``root/name.parquet``. The lazy handle (file listing and
     footer schema) is reused within a session; no data is cached."""
     path = f"{root.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (id(getattr(spark, "_jsparkSession", spark)), path)
     df = _HANDLES.get(key)
     if df is None:
         df = _HANDLES[key] = spark.read.parquet(path)
@@ -36,8 +36,12 @@ def spread(df: DataFrame, keys: Iterable[str] = (), min_partitions: int | None =
     already has more splits than cores and nothing is added. Call it on a
     plain scan: its split count is known without running anything.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a remote session): leave as is
+        return df
+    if have >= want:
         return df
     keys = list(keys)
     return df.repartition(want, *keys) if keys else df.repartition(want)
