@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..specs import DATES_KEY, FactSpec
-from .joins import null_safe_join
+from .joins import broadcast_bytes, broadcast_total_bytes, estimated_bytes, null_safe_join
 
 
 def join_dates(fact: DataFrame, dates: DataFrame, source: str, key_out: str,
@@ -34,17 +34,28 @@ def star_join(staged: DataFrame, spec: FactSpec, dims: Mapping[str, DataFrame],
     ``strategies``, then the spec's ``broadcast`` flag, then a size check.
     Helper columns of the joins stay until the caller's final projection."""
     strategies = dict(strategies or {})
+    stats = stats or {}
     f = staged
     for role in spec.roles:
         f = join_dates(f, dates, role.source, role.key_out, role.prefix, keep=True)
+    # every broadcast dimension is held by every executor at once: keep their
+    # sum under a budget; dimensions past it take the salted shuffle join
+    budget = broadcast_total_bytes(staged)
     for ds in spec.dims:
         strat = strategies.get(ds.name)
         if strat is None:
             strat = "auto" if ds.broadcast is None else ("broadcast" if ds.broadcast else "auto_shuffle")
+        if strat in ("auto", "broadcast"):
+            size = estimated_bytes(dims[ds.name], ds.attrs, ds.key, stats.get(ds.name))
+            if size is not None and size <= broadcast_bytes(staged):
+                if size > budget:
+                    strat = "auto_shuffle"
+                else:
+                    budget -= size
         if strat == "auto_shuffle":
             strat = "salted" if "_rows" in dims[ds.name].columns else "shuffle"
         f = null_safe_join(f, dims[ds.name], ds.attrs, ds.key, strategy=strat,
-                           salt_cols=list(spec.row_id) or None, stats=(stats or {}).get(ds.name),
+                           salt_cols=list(spec.row_id) or None, stats=stats.get(ds.name),
                            keep_right=True)
     return f
 
@@ -66,3 +77,17 @@ def calendar_misses(staged: DataFrame, spec: FactSpec, start: str, end: str) ->
         miss = d.isNotNull() & ((d < lo) | (d >= hi))
         cond = miss if cond is None else (cond | miss)
     return staged.filter(cond)
+
+
+def role_date_report(staged: DataFrame, spec: FactSpec, start: str, end: str) -> DataFrame:
+    """(fact, role, dropped, unknown) per calendar role in one aggregation:
+    ``dropped`` rows have a date outside [start, end) and fall out of the
+    inner join; ``unknown`` rows have no date and get the unknown member."""
+    aggs = []
+    for r in spec.roles:
+        d = f"CAST(`{r.source}` AS DATE)"
+        aggs.append(f"count_if({d} IS NOT NULL AND ({d} < DATE'{start}' OR {d} >= DATE'{end}')) AS `{r.key_out}__d`")
+        aggs.append(f"count_if({d} IS NULL) AS `{r.key_out}__u`")
+    one = staged.agg(*[F.expr(a) for a in aggs])
+    triples = ", ".join(f"'{r.key_out}', `{r.key_out}__d`, `{r.key_out}__u`" for r in spec.roles)
+    return one.selectExpr(f"'{spec.name}' AS fact", f"stack({len(spec.roles)}, {triples}) AS (role, dropped, unknown)")

@@ -25,7 +25,8 @@ from pyspark.sql.types import (BooleanType, ByteType, DateType, DecimalType, Dou
                                FloatType, IntegerType, LongType, ShortType, TimestampNTZType,
                                TimestampType)
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024          # one dimension
+DEFAULT_BROADCAST_TOTAL_BYTES = 256 * 1024 * 1024   # all dimensions of one star join
 _WIDTH = {BooleanType: 1, ByteType: 1, ShortType: 2, IntegerType: 4, LongType: 8, FloatType: 4,
           DoubleType: 8, DateType: 4, TimestampType: 8, TimestampNTZType: 8, DecimalType: 16}
 
@@ -51,6 +52,23 @@ def broadcast_bytes(df: DataFrame) -> int:
     return int(v) if v else DEFAULT_BROADCAST_BYTES
 
 
+def broadcast_total_bytes(df: DataFrame) -> int:
+    try:
+        v = df.sparkSession.conf.get("stellate.broadcast.totalBytes", None)
+    except Exception:
+        v = None
+    return int(v) if v else DEFAULT_BROADCAST_TOTAL_BYTES
+
+
+def estimated_bytes(dim: DataFrame, attrs: Sequence[str], key: str, stats=None) -> int | None:
+    """Estimated broadcast size of the join side (key + attributes), or None
+    when no member count is known without a job."""
+    if stats is None:
+        return None
+    side = dim.select(key, *attrs)
+    return stats.members * row_width(side)
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
     """Checked size bound: counts at most max_rows + 1 rows (the job stops
     early), so the answer is exact without scanning a big input."""

@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.dims import build_dates, dim_table
-from ..operators.facts import calendar_misses
+from ..operators.facts import calendar_misses, role_date_report
 from ..operators.quality import (duplicate_key_report, null_key_report, orphan_report,
                                  row_count_report)
 from ..specs import (CALENDAR_END, CALENDAR_START, DATES_KEY, FIRE_DIMS, FIRES_FACT,
@@ -75,6 +75,8 @@ def build_lake(spark: SparkSession, raw_fires: DataFrame, raw_weather: DataFrame
             "dates": (lake["dates"], DATES_KEY, "weather_date_dim_id")}),
         "fires_dropped": calendar_misses(fm.staged, FIRES_FACT, CALENDAR_START, CALENDAR_END),
         "weather_dropped": calendar_misses(wm.staged, WEATHER_FACT, CALENDAR_START, CALENDAR_END),
+        "calendar_roles": role_date_report(fm.staged, FIRES_FACT, CALENDAR_START, CALENDAR_END).unionByName(
+            role_date_report(wm.staged, WEATHER_FACT, CALENDAR_START, CALENDAR_END)),
     }
     return LakeBuild(root, paths, database, reports)
 

@@ -16,14 +16,15 @@ from ..functions.conform import cast_columns, columns_of_type, fill_default, low
 from ..functions.temporal import date_time, date_to_julian, julian_to_date
 from ..operators.dims import (build_dates, build_dim, date_sequence, dim_table, refresh_dim,
                               role_play, with_size_bands)
+from ..operators.facts import role_date_report
 from ..operators.joins import null_safe_join
 from ..operators.keys import dense_key
 from ..operators.quality import (max_profile, null_key_report, null_profile, orphan_report,
                                  row_count_report, schema_profile)
 from ..session import fresh_path
 from ..sources.readers import read_csv, read_table
-from ..specs import (DATES_KEY, FIRE_CAUSES, FIRE_DIMS, FIRE_NAMES, FIRE_SIZES, LOCATIONS,
-                     REPORTERS, WEATHER_TYPES, DimSpec)
+from ..specs import (CALENDAR_END, CALENDAR_START, DATES_KEY, FIRE_CAUSES, FIRE_DIMS, FIRE_NAMES,
+                     FIRE_SIZES, FIRES_FACT, LOCATIONS, REPORTERS, WEATHER_FACT, WEATHER_TYPES, DimSpec)
 from . import oracles as O
 from .fixtures import FX_WEATHER_LOWER_BOUND, FX_WEATHER_RAW_SQL, raw_fires, raw_weather
 from .lake import publish, write_dim, write_fact, write_tables
@@ -439,6 +440,24 @@ def dq_orphans(spark, sf_dir):
     return orphan_report(fm.fact, fks)
 
 
+@query("dq_dropped_rows", _with_all(f"""
+SELECT 'fires_fact' AS fact, 'discovery_date_id' AS role,
+  count(*) FILTER (WHERE disc_date IS NOT NULL AND NOT {O.in_calendar('disc_date')}) AS dropped,
+  count(*) FILTER (WHERE disc_date IS NULL) AS unknown FROM fx
+UNION ALL
+SELECT 'fires_fact', 'cont_date_id', count(*) FILTER (WHERE cont_date IS NOT NULL AND NOT {O.in_calendar('cont_date')}),
+  count(*) FILTER (WHERE cont_date IS NULL) FROM fx
+UNION ALL
+SELECT 'weather_fact', 'weather_date_dim_id', count(*) FILTER (WHERE NOT {O.in_calendar('date_str')}),
+  count(*) FILTER (WHERE date_str IS NULL) FROM wx"""))
+def dq_dropped_rows(spark, sf_dir):
+    """Per fact and calendar role: rows the inner calendar join drops (date
+    outside the calendar) and rows keyed to the unknown date (no date)."""
+    fm, wm, _ = _all_tables(spark, sf_dir)
+    return (role_date_report(fm.staged, FIRES_FACT, CALENDAR_START, CALENDAR_END)
+            .unionByName(role_date_report(wm.staged, WEATHER_FACT, CALENDAR_START, CALENDAR_END)))
+
+
 @query("union_distinct", O.with_fx(
     "SELECT fips_name AS name FROM fx UNION SELECT nwcg_reporting_unit_name AS name FROM fx"))
 def union_distinct(spark, sf_dir):

@@ -115,3 +115,26 @@ def test_stage_weather_bounds(spark):
     assert sorted(r["serialid"] for r in out.collect()) == ["2", "5"]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Filter" in plan
+
+
+def test_broadcast_budget_moves_dims_to_shuffle(spark):
+    from stellate.operators.dims import build_dates
+    from stellate.operators.facts import build_fact
+    from stellate.specs import FactSpec, RoleSpec
+    rows = [(i, f"a{i % 5}", f"b{i % 300}", "2001-02-03") for i in range(900)]
+    staged = spark.createDataFrame(rows, "id long, a string, b string, d string")
+    da, db = DimSpec("da", "a_id", ("a",)), DimSpec("db", "b_id", ("b",))
+    spec = FactSpec("f", (RoleSpec("d_", "d", "d_id"),), (da, db),
+                    (("id", "id"), ("a_id", "a_id"), ("b_id", "b_id"), ("d_id", "d_id")), row_id=("id",))
+    dims, stats = build_dims_with_stats(staged, [da, db])
+    dates = build_dates(spark)
+    want = {tuple(r) for r in build_fact(staged, spec, dims, dates, stats=stats).collect()}
+    spark.conf.set("stellate.broadcast.totalBytes", "2000")   # fits da only
+    try:
+        f = build_fact(staged, spec, dims, dates, stats=stats)
+        plan = f._jdf.queryExecution().executedPlan().toString()
+        got = {tuple(r) for r in f.collect()}
+    finally:
+        spark.conf.unset("stellate.broadcast.totalBytes")
+    assert got == want and len(got) == 900
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
