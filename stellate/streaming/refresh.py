@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -32,15 +33,17 @@ from ..specs import DATES_TABLE, FIRE_DIMS, FIRE_SIZES, FIRES_FACT, DimSpec
 BATCH_COL = "batch_id"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _read_parquet_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:   # no such folder yet (first batch)
+        return None
 
 
 def _read_dim(spark: SparkSession, path: str, spec: DimSpec, staged: DataFrame) -> DataFrame:
-    if _exists(spark, path):
-        return spark.read.parquet(path)
+    df = _read_parquet_or_none(spark, path)
+    if df is not None:
+        return df
     fields = [StructField(spec.key, LongType())] + [staged.schema[a] for a in spec.attrs]
     return spark.createDataFrame([], StructType(fields))
 
@@ -59,9 +62,10 @@ def apply_fire_batch(batch: DataFrame, batch_id: int, root: str) -> None:
         fresh.write.mode("append").parquet(path)
         dims[spec.name] = spark.read.parquet(path)
     dates_path = f"{root}/{DATES_TABLE}"
-    if not _exists(spark, dates_path):
+    dates = _read_parquet_or_none(spark, dates_path)
+    if dates is None:
         write_dim(build_dates(spark), dates_path)
-    dates = spark.read.parquet(dates_path)
+        dates = spark.read.parquet(dates_path)
     spec = FIRES_FACT
     if len(present) != len(FIRE_DIMS):
         missing = {d.key for d in FIRE_DIMS if d not in present}
