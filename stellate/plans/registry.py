@@ -575,7 +575,7 @@ WITH a AS (SELECT c.c_nationkey AS place, CAST(o.o_orderdate AS DATE) AS day, co
            FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2),
 b AS (SELECT s.s_nationkey AS place, CAST(l.l_shipdate AS DATE) AS day, count(*) AS b_n
       FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey GROUP BY 1, 2)
-SELECT a.place, count(*) AS shared_days, sum(a_n) AS a_total, sum(b_n) AS b_total,
+SELECT a.place, count(*) AS shared_days, CAST(sum(a_n) AS BIGINT) AS a_total, CAST(sum(b_n) AS BIGINT) AS b_total,
   CASE WHEN stddev_pop(a_n) = 0 OR stddev_pop(b_n) = 0 THEN NULL
        ELSE round(corr(CAST(a_n AS DOUBLE), CAST(b_n AS DOUBLE)), 6) END AS corr_ab
 FROM a JOIN b ON a.place = b.place AND a.day = b.day GROUP BY a.place""")

@@ -31,9 +31,16 @@ def _norm(v):
     return v
 
 
+_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
+         "float": "FLOAT", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMOKE)
+    rel = con.sql(E.oracle_sql()[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: _DUCK.get(t, t.upper()) for c, t in df.dtypes} == duck_types
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
