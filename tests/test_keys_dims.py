@@ -87,3 +87,15 @@ def test_refresh_keeps_old_keys_and_appends(spark):
     assert {(a, b) for _, a, b in added} == {("a", 5), (None, None)}
     # NULLs first: (None, None) sorts before ("a", 5)
     assert dict(((a, b), k) for k, a, b in added)[(None, None)] == 3
+
+
+def test_empty_inputs(spark):
+    empty = spark.createDataFrame([], "a string, b int")
+    spec = DimSpec("m", "k", ("a", "b"))
+    dims, stats = build_dims_with_stats(empty, [spec, DimSpec("n", "j", ("b",))])
+    assert dims["m"].count() == 0 and stats["m"].members == 0
+    assert dense_key(empty, ["a", "b"], "k").count() == 0
+    first = dim_table(build_dim(spark.createDataFrame([("x", 1)], "a string, b int"), spec))
+    same = refresh_dim(first, spark.createDataFrame([("x", 1)], "a string, b int"), spec)
+    assert [tuple(r) for r in same.collect()] == [(0, "x", 1)]
+    assert refresh_dim(first, empty, spec).count() == 1
