@@ -22,9 +22,15 @@ def write_dim(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def fact_for_write(df: DataFrame, partition_col: str = "year") -> DataFrame:
+    """The fact as it goes to the writer: a rebalance on the partition column
+    (AQE splits hot years, merges small ones)."""
+    return df.hint("rebalance", F.col(partition_col))
+
+
 def write_fact(df: DataFrame, path: str, partition_col: str = "year",
                max_records_per_file: int = 5_000_000) -> None:
-    (df.hint("rebalance", F.col(partition_col))
+    (fact_for_write(df, partition_col)
        .write.mode("overwrite")
        .option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(partition_col)

@@ -47,3 +47,9 @@ def test_dimensions_come_from_one_expand(spark):
         F.expr("count(1) AS n"))
     plan = _plan(members)
     assert plan.count("Expand") == 1 and plan.count("FileScan parquet") <= 4   # fixture tables, read once
+
+
+def test_fact_write_rebalances_on_year(spark):
+    from stellate.plans.lake import fact_for_write
+    df = fact_for_write(E.queries()["fact_star"](spark, SF_SMOKE))
+    assert re.search(r"RebalancePartitions \[year", df._jdf.queryExecution().optimizedPlan().toString())
