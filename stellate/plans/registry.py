@@ -6,6 +6,7 @@ from them) in full; a LIMIT appears only where it is the feature (preview).
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -329,9 +330,8 @@ SELECT CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), I
 def date_sequence_q(spark, sf_dir):
     r = read_table(spark, sf_dir, "orders").agg(F.min("o_orderdate").cast("date").alias("a"),
                                                 F.max("o_orderdate").cast("date").alias("b")).first()
-    end = r["b"].toordinal() + 1
-    import datetime as dt
-    return date_sequence(spark, r["a"].isoformat(), dt.date.fromordinal(end).isoformat())
+    end = r["b"] + dt.timedelta(days=1)          # the sequence end is exclusive
+    return date_sequence(spark, r["a"].isoformat(), end.isoformat())
 
 
 # --------------------------------------------------------------------------
