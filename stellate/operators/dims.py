@@ -80,7 +80,7 @@ def build_dims_with_stats(staged: DataFrame, specs: Sequence[DimSpec],
         g = gids[s.attrs]
         out[s.name] = keyed.filter(f"_gid = {g}").selectExpr(f"_key AS `{s.key}`", *[f"`{a}`" for a in s.attrs],
                                                               ROWS)
-        stats[s.name] = gstats.get(g, GroupStats(0, 0))
+        stats[s.name] = gstats.get(g, GroupStats(0, 0, 0))
     return out, stats
 
 

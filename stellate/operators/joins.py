@@ -22,8 +22,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, ByteType, DateType, DecimalType, DoubleType,
-                               FloatType, IntegerType, LongType, ShortType, TimestampNTZType,
-                               TimestampType)
+                               FloatType, IntegerType, LongType, ShortType, StringType,
+                               TimestampNTZType, TimestampType)
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024          # one dimension
 DEFAULT_BROADCAST_TOTAL_BYTES = 256 * 1024 * 1024   # all dimensions of one star join
@@ -60,13 +60,23 @@ def broadcast_total_bytes(df: DataFrame) -> int:
     return int(v) if v else DEFAULT_BROADCAST_TOTAL_BYTES
 
 
+def side_bytes(side: DataFrame, stats) -> int:
+    """Size of a join side from the dimension build's stats: measured text
+    bytes plus fixed widths (and 8 bytes of offset per text field) per row;
+    without measured text, the width estimate of ``row_width``."""
+    if getattr(stats, "text_bytes", None) is None:
+        return stats.members * row_width(side)
+    fixed = 16 + sum(8 if isinstance(f.dataType, StringType) else _WIDTH.get(type(f.dataType), 32)
+                     for f in side.schema.fields)
+    return stats.members * fixed + stats.text_bytes
+
+
 def estimated_bytes(dim: DataFrame, attrs: Sequence[str], key: str, stats=None) -> int | None:
-    """Estimated broadcast size of the join side (key + attributes), or None
-    when no member count is known without a job."""
+    """Broadcast size of the join side (key + attributes), or None when no
+    member count is known without a job."""
     if stats is None:
         return None
-    side = dim.select(key, *attrs)
-    return stats.members * row_width(side)
+    return side_bytes(dim.select(key, *attrs), stats)
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
@@ -94,7 +104,7 @@ def null_safe_join(fact: DataFrame, dim: DataFrame, attrs: Sequence[str], key: s
         # a broadcast request is honoured only within the checked size bound
         plain = right.drop("_rows") if has_rows else right
         if stats is not None:
-            fits = stats.members * row_width(plain) <= broadcast_bytes(plain)
+            fits = side_bytes(plain, stats) <= broadcast_bytes(plain)
         else:
             fits = fits_broadcast(plain)
         if fits:

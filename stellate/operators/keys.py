@@ -36,8 +36,9 @@ _POS_MASK = (1 << 33) - 1  # monotonically_increasing_id = partition << 33 | pos
 
 @dataclass(frozen=True)
 class GroupStats:
-    members: int        # keyed rows in the group
-    weight: int | None  # sum of the weight column (e.g. fact rows per member)
+    members: int                   # keyed rows in the group
+    weight: int | None             # sum of the weight column (e.g. fact rows per member)
+    text_bytes: int | None = None  # UTF-8 bytes of the group's text attributes
 
 
 def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str, start: int = 0,
@@ -63,9 +64,14 @@ def dense_key_with_stats(df: DataFrame, order_cols: Sequence[str], key_name: str
 
     pos = f"(_mid & {_POS_MASK})"
     grp = f"`{group_col}`" if group_col else "CAST(0 AS BIGINT)"
-    aggs = ["count(1) AS _n", f"min({pos}) AS _p0"] + ([f"sum(`{weight_col}`) AS _w"] if weight_col else [])
-    # bounded: one row per (partition, group)
+    texts = [c for c in order_cols if df.schema[c].dataType.simpleString() == "string"]
+    text_len = " + ".join(f"coalesce(octet_length(`{c}`), 0)" for c in texts) or "0"
+    aggs = (["count(1) AS _n", f"min({pos}) AS _p0", "sum(_tb) AS _t"]
+            + ([f"sum(`{weight_col}`) AS _w"] if weight_col else []))
+    # bounded: one row per (partition, group); the same job measures the text
+    # size, so broadcast decisions rest on real bytes, not a guess
     counts = (tagged.selectExpr("shiftright(_mid, 33) AS _pid", f"{grp} AS _og", "_mid",
+                                f"CAST({text_len} AS BIGINT) AS _tb",
                                 *([f"`{weight_col}`"] if weight_col else []))
                     .groupBy("_pid", "_og").agg(*[F.expr(a) for a in aggs]).collect())
 
@@ -78,7 +84,8 @@ def dense_key_with_stats(df: DataFrame, order_cols: Sequence[str], key_name: str
         w = int(r["_w"] or 0) if weight_col else None
         prev = stats.get(g)
         stats[g] = GroupStats(before + int(r["_n"]),
-                              None if w is None else (w + (prev.weight if prev else 0)))
+                              None if w is None else (w + (prev.weight if prev else 0)),
+                              int(r["_t"] or 0) + (prev.text_bytes if prev else 0))
     og_type = df.schema[group_col].dataType.simpleString() if group_col else "bigint"
     off_df = spark.createDataFrame(offsets, f"_pid bigint, _og {og_type}, _off bigint")
 
@@ -88,7 +95,7 @@ def dense_key_with_stats(df: DataFrame, order_cols: Sequence[str], key_name: str
     if materialize:
         out = out.checkpoint(eager=True)
     if not group_col:
-        stats = {None: stats.get(0, GroupStats(0, 0 if weight_col else None))}
+        stats = {None: stats.get(0, GroupStats(0, 0 if weight_col else None, 0))}
     return out, stats
 
 

@@ -99,3 +99,10 @@ def test_empty_inputs(spark):
     same = refresh_dim(first, spark.createDataFrame([("x", 1)], "a string, b int"), spec)
     assert [tuple(r) for r in same.collect()] == [(0, "x", 1)]
     assert refresh_dim(first, empty, spec).count() == 1
+
+
+def test_stats_measure_text_bytes(spark):
+    staged = spark.createDataFrame([("ab", 1), ("é", 2), (None, 3), ("ab", 4)], "s string, n int")
+    dims, stats = build_dims_with_stats(staged, [DimSpec("ds", "k", ("s",)), DimSpec("dn", "j", ("n",))])
+    assert stats["ds"].members == 3 and stats["ds"].text_bytes == 2 + 2   # 'ab' + 'é' (2 UTF-8 bytes)
+    assert stats["dn"].members == 4 and stats["dn"].text_bytes == 0
