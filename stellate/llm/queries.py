@@ -12,6 +12,8 @@ from .common import package_on_workers, read
 from .decontaminate import find_contamination
 from .fingerprints import document_fingerprints
 from .shards import shard_documents
+from .simhash import near_duplicates
+from .suffix_dedup import remove_repeats
 from .token_files import token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +37,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return run
 
 
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents")).drop("spans", "kept")
+
+
 @query
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("hits", "items")
@@ -55,6 +62,11 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read(spark, sf_dir, "documents"), tokenizer())
 
 
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 @query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints(read(spark, sf_dir, "documents"))
