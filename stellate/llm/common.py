@@ -108,3 +108,39 @@ def unused_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+_powers: dict[int, np.ndarray] = {}
+_BYTE_BASE = 0x9E3779B97F4A7C15
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """Powers of an odd number modulo 2^64, kept and grown by doubling."""
+    got = _powers.get(base)
+    if got is None:
+        got = np.ones(1, np.uint64)
+    while len(got) < n:
+        got = np.concatenate([got, got * np.uint64(pow(base, len(got), 2**64))])
+    _powers[base] = got
+    return got[:n]
+
+
+def byte_runs(kinds: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the runs of equal nonzero kind; none crosses a cut."""
+    edge = np.zeros(len(kinds) + 1, bool)
+    edge[1:-1] = kinds[1:] != kinds[:-1]
+    edge[cuts] = edge[0] = True
+    edges = np.flatnonzero(edge)
+    begin, end = edges[:-1], edges[1:]
+    used = kinds[begin] != 0 if len(begin) else np.zeros(0, bool)
+    return begin[used], end[used]
+
+
+def run_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte runs [begin, end), equal for equal runs."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_BYTE_BASE, len(data)), out=sums[1:])
+    value = (sums[end] - sums[begin]) * powers(pow(_BYTE_BASE, -1, 2**64), len(data) + 1)[begin]
+    value ^= value >> np.uint64(29)
+    value *= np.uint64(0xBF58476D1CE4E5B9)
+    return value ^ value >> np.uint64(32)

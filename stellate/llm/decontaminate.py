@@ -21,30 +21,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from .common import stored, text_slices, unused_name, utf8
+from .common import byte_runs, powers, run_hashes, stored, text_slices, unused_name, utf8
 
 WINDOW = 13
 BROADCAST_BYTES = 32 << 20
 SHARE = 20   # contaminated: SHARE times the hit words reach the number of words
-_MULTIPLIER = 0x9E3779B97F4A7C15 | 1
-_WORD_MULTIPLIER = 0xD6E8FEB86659FD93
+_WORD_BASE = 0xD6E8FEB86659FD93
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 _IS_WORD = np.zeros(256, bool)
 _IS_WORD[0x30:0x3A] = _IS_WORD[0x61:0x7B] = _IS_WORD[0x80:] = True
 
-_powers = {}
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    """Powers of an odd number modulo 2^64."""
-    got = _powers.get(base, np.ones(1, np.uint64))
-    while len(got) < n:
-        got = np.concatenate([got, got * np.uint64(pow(base, len(got), 2**64))])
-    _powers[base] = got
-    return got[:n]
-
 
 class WordTexts:
     """Words of several texts in one byte array: where each begins and ends,
@@ -52,20 +40,9 @@ class WordTexts:
 
     def __init__(self, data: np.ndarray, cuts: np.ndarray):
         self.bytes = _LOWER[data]
-        inside = _IS_WORD[self.bytes]
-        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-        edges = np.unique(np.concatenate([edges, cuts[:-1], cuts[1:]]))   # no word goes on in the next text
-        edges = edges[(edges >= 0) & (edges <= len(inside))]
-        begins = edges[:-1][inside[edges[:-1]]] if len(edges) > 1 else np.zeros(0, np.int64)
-        self.begin = begins
-        self.end = edges[np.searchsorted(edges, begins) + 1] if len(begins) else begins
-        self.first = np.searchsorted(begins, cuts)
-        sums = np.zeros(len(self.bytes) + 1, np.uint64)
-        np.cumsum((self.bytes.astype(np.uint64) + np.uint64(1)) * _power(_MULTIPLIER, len(self.bytes)), out=sums[1:])
-        inverse = _power(pow(_MULTIPLIER, -1, 2**64), len(self.bytes) + 1)
-        value = (sums[self.end] - sums[self.begin]) * inverse[self.begin]
-        value ^= value >> np.uint64(29)
-        self.hash = value * np.uint64(0xBF58476D1CE4E5B9)
+        self.begin, self.end = byte_runs(_IS_WORD[self.bytes], cuts)
+        self.first = np.searchsorted(self.begin, cuts)
+        self.hash = run_hashes(self.bytes, self.begin, self.end)
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """First word and hash of every window of ``size`` words in a text."""
@@ -73,11 +50,11 @@ class WordTexts:
         if n < size:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(self.hash * _power(_WORD_MULTIPLIER, n), out=sums[1:])
+        np.cumsum(self.hash * powers(_WORD_BASE, n), out=sums[1:])
         at = np.arange(n - size + 1)
         text = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
         at = at[text[at] == text[at + size - 1]]
-        return at, (sums[at + size] - sums[at]) * _power(pow(_WORD_MULTIPLIER, -1, 2**64), n)[at]
+        return at, (sums[at + size] - sums[at]) * powers(pow(_WORD_BASE, -1, 2**64), n)[at]
 
     def phrase(self, at: int, size: int) -> bytes:
         """Bytes of ``size`` words from word ``at``, with a space between."""

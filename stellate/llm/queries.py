@@ -11,6 +11,7 @@ from .bpe import encode_decode
 from .common import package_on_workers, read
 from .decontaminate import find_contamination
 from .fingerprints import document_fingerprints
+from .quality import score_documents
 from .shards import shard_documents
 from .simhash import near_duplicates
 from .suffix_dedup import remove_repeats
@@ -67,6 +68,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints(read(spark, sf_dir, "documents"))
