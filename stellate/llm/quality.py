@@ -5,7 +5,7 @@ of the index vectors of its neighbours over the whole corpus. Words are
 hashed into ``WORDS`` buckets, so the vectors are a table of fixed size,
 summed per task and then in two steps, and small enough to broadcast whatever
 the corpus. A document is pooled to the mean and the spread of its words'
-vectors. A network of two layers in numpy is trained on a bounded sample of
+vectors and the mean likeness of neighbouring words. A network of two layers in numpy is trained on a bounded sample of
 labelled documents; a temperature fitted on rows kept from the training
 calibrates its probabilities.
 """
@@ -24,6 +24,7 @@ from .common import byte_runs, partitions, run_hashes, stored, text_slices, unus
 
 WORDS = 8192            # buckets of words, a power of two
 SIZE = 48               # length of a vector
+WIDTH = 2 * SIZE + 1     # of a pooled document
 NONZERO = 4             # entries of an index vector that are not zero
 REACH = 2               # neighbours on each side
 SAMPLE = 20_000         # labelled documents that are trained on at most
@@ -108,16 +109,20 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 
 
 def pooled(words: np.ndarray, first: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Mean and spread of the word vectors of each text; zero without words."""
-    out = np.zeros((len(first) - 1, 2 * SIZE))
+    """Mean and spread of the word vectors of each text, and the mean cosine
+    of neighbours; zero without words."""
+    out = np.zeros((len(first) - 1, WIDTH))
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
     for at in range(0, len(words), 1 << 17):
         own, of = vectors[words[at:at + (1 << 17)]], text[at:at + (1 << 17)]
         new = np.concatenate([[0], np.flatnonzero(of[1:] != of[:-1]) + 1])
         out[of[new], :SIZE] += np.add.reduceat(own, new, axis=0)
-        out[of[new], SIZE:] += np.add.reduceat(own * own, new, axis=0)
+        out[of[new], SIZE:-1] += np.add.reduceat(own * own, new, axis=0)
+        near = np.flatnonzero(text[at + 1:at + len(own) + 1] == of[:len(text) - at - 1])
+        likeness = np.einsum("ij,ij->i", own[near], vectors[words[at + near + 1]])
+        out[:, -1] += np.bincount(of[near], likeness, len(out))
     out /= np.maximum(1, np.diff(first))[:, None]
-    out[:, SIZE:] = np.sqrt(np.maximum(0, out[:, SIZE:] - out[:, :SIZE] ** 2))
+    out[:, SIZE:-1] = np.sqrt(np.maximum(0, out[:, SIZE:-1] - out[:, :SIZE] ** 2))
     return out
 
 
@@ -159,8 +164,8 @@ class Network:
 
 def _constant(rate: float) -> Network:
     rate = min(max(rate, 1e-3), 1 - 1e-3)
-    return Network(np.zeros(2 * SIZE), np.ones(2 * SIZE),
-                   (np.zeros((2 * SIZE, 1)), np.zeros(1), np.zeros(1), np.log(rate / (1 - rate))), 1.0)
+    return Network(np.zeros(WIDTH), np.ones(WIDTH),
+                   (np.zeros((WIDTH, 1)), np.zeros(1), np.zeros(1), np.log(rate / (1 - rate))), 1.0)
 
 
 def train(x: np.ndarray, y: np.ndarray, seed: int = 3) -> Network:
@@ -216,7 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     own = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
     rows = _with_features(own, vectors, None, "features").select("doc_id", "label", "features").orderBy("doc_id").collect()
-    x = np.array([r.features for r in rows], np.float64).reshape(-1, 2 * SIZE)
+    x = np.array([r.features for r in rows], np.float64).reshape(-1, WIDTH)
     return vectors, train(x, np.array([r.label for r in rows]))
 
 
