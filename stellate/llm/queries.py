@@ -11,11 +11,13 @@ from .bpe import encode_decode
 from .common import package_on_workers, read
 from .decontaminate import find_contamination
 from .fingerprints import document_fingerprints
+from .line_runs import LINE_REPORT_SQL, line_report
 from .quality import score_documents
 from .shards import shard_documents
 from .simhash import near_duplicates
 from .suffix_dedup import remove_repeats
 from .token_files import token_files
+from .token_rollup import token_totals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,6 +70,20 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+@query
+def op7_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op7_line_runs"] = LINE_REPORT_SQL
+
+
+@query
+def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_totals(read(spark, sf_dir, "documents"), {
+        n.split(".")[0]: tokenizer(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.tiktoken")})
+
+
 @query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
