@@ -74,7 +74,7 @@ def build_dims_with_stats(staged: DataFrame, specs: Sequence[DimSpec],
             F.expr(f"count(1) AS {ROWS}"), F.expr("CAST(grouping_id() AS BIGINT) AS _gid"))
         gids = by_attrs
     keyed, gstats = dense_key_with_stats(members, cols, "_key", start=start, group_col="_gid",
-                                         weight_col=ROWS, materialize=True)
+                                         weight_col=ROWS, materialize=len(by_attrs) > 1)
     out, stats = {}, {}
     for s in specs:
         g = gids[s.attrs]
@@ -144,8 +144,8 @@ def new_members(existing: DataFrame, staged: DataFrame, spec: DimSpec) -> DataFr
     """Members of ``staged`` that ``existing`` lacks, keyed after its maximum.
 
     New members come from a GROUP BY (partial aggregation) and a null-safe
-    anti join against the existing members, broadcast only when the existing
-    dimension fits a checked size bound. Re-running with the output already
+    anti join against the existing members, broadcast only when their measured
+    size is within the bound. Re-running with the output already
     appended finds nothing new, so an append of the result is idempotent.
     """
     cur = dim_table(existing).select(spec.key, *spec.attrs)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..specs import DATES_KEY, FactSpec
-from .joins import broadcast_bytes, broadcast_total_bytes, estimated_bytes, null_safe_join
+from .joins import broadcast_bytes, broadcast_total_bytes, measure, null_safe_join, side_bytes
 
 
 def join_dates(fact: DataFrame, dates: DataFrame, source: str, key_out: str,
@@ -44,18 +44,16 @@ def star_join(staged: DataFrame, spec: FactSpec, dims: Mapping[str, DataFrame],
     for ds in spec.dims:
         strat = strategies.get(ds.name)
         if strat is None:
-            strat = "auto" if ds.broadcast is None else ("broadcast" if ds.broadcast else "auto_shuffle")
+            strat = "auto" if ds.broadcast is None or ds.broadcast else "salted"
+        own = stats.get(ds.name)
         if strat in ("auto", "broadcast"):
-            size = estimated_bytes(dims[ds.name], ds.attrs, ds.key, stats.get(ds.name))
-            if size is not None and size <= broadcast_bytes(staged):
-                if size > budget:
-                    strat = "auto_shuffle"
-                else:
-                    budget -= size
-        if strat == "auto_shuffle":
-            strat = "salted" if "_rows" in dims[ds.name].columns else "shuffle"
+            side = dims[ds.name].select(ds.key, *ds.attrs)
+            own = own or measure(side)   # a dimension read back has no stats yet
+            size = side_bytes(side, own)
+            strat = "broadcast" if size <= min(budget, broadcast_bytes(staged)) else "salted"
+            budget -= size if strat == "broadcast" else 0
         f = null_safe_join(f, dims[ds.name], ds.attrs, ds.key, strategy=strat,
-                           salt_cols=list(spec.row_id) or None, stats=stats.get(ds.name),
+                           salt_cols=list(spec.row_id) or None, stats=own,
                            keep_right=True)
     return f
 

@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, fresh_path
 
 _POS_MASK = (1 << 33) - 1  # monotonically_increasing_id = partition << 33 | position
 
@@ -50,8 +50,10 @@ def dense_key_with_stats(df: DataFrame, order_cols: Sequence[str], key_name: str
                          group_col: str | None = None, num_partitions: int | None = None,
                          weight_col: str | None = None, materialize: bool = False) -> tuple[DataFrame, dict]:
     """``dense_key`` plus {group value: GroupStats} from the same count job.
-    ``materialize`` checkpoints the keyed rows too, for results that feed many
-    joins: each reader then scans them instead of repeating the offset join."""
+    ``materialize`` writes the keyed rows as Parquet, partitioned by group,
+    for results that feed many joins: a reader of one group then scans that
+    group's files and its columns only. Rows of a group lie together in the
+    range partitions, so there are few files."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -93,7 +95,9 @@ def dense_key_with_stats(df: DataFrame, order_cols: Sequence[str], key_name: str
     out = (tagged.join(F.broadcast(off_df), F.expr(cond), "inner")
                  .selectExpr(f"CAST(_off + {pos} AS BIGINT) AS `{key_name}`", *[f"`{c}`" for c in df.columns]))
     if materialize:
-        out = out.checkpoint(eager=True)
+        path = fresh_path(spark, "keyed")
+        (out.write.partitionBy(group_col) if group_col else out.write).parquet(path)
+        out = spark.read.schema(out.schema).parquet(path)
     if not group_col:
         stats = {None: stats.get(0, GroupStats(0, 0 if weight_col else None, 0))}
     return out, stats

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
@@ -42,17 +41,21 @@ def duplicate_key_report(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFra
 
 def orphan_report(fact: DataFrame, fks: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:
     """(dimension, orphans): fact rows whose foreign key finds no dimension
-    row. The fact side is first reduced to one row per key value with its
-    row count (partial aggregation, so a key holding a third of the fact
-    costs one map-side row per task), then anti-joined with the keys."""
-    parts = []
-    for name, (dim, dim_key, fact_key) in fks.items():
-        keys = dim.selectExpr(f"`{dim_key}` AS _k")
-        per_key = fact.groupBy(F.col(fact_key).alias("_f")).agg(F.expr("count(1) AS _n"))
-        cnt = (per_key.join(keys, F.expr("_f <=> _k"), "left_anti")
-                      .agg(F.expr("CAST(coalesce(sum(_n), 0) AS BIGINT) AS orphans")))
-        parts.append(cnt.selectExpr(f"'{name}' AS dimension", "orphans"))
-    return _union(parts)
+    row, all keys in one read of the fact. A fact row gives one (key column,
+    value) pair a dimension; pairs are counted with partial aggregation, so a
+    value that holds a third of the fact costs one row per task, and the
+    counts meet the dimensions' keys in one join."""
+    spark = fact.sparkSession
+    pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("dimension"), F.col(fk).cast("bigint").alias("_f"))
+                                for name, (_, _, fk) in fks.items()]))
+    found = (fact.select(pairs.alias("_p")).select("_p.*")
+             .groupBy("dimension", "_f").agg(F.count(F.lit(1)).alias("_n")))
+    keys = _union([dim.select(F.lit(name).alias("_d"), F.col(key).cast("bigint").alias("_k"))
+                   for name, (dim, key, _) in fks.items()]).distinct()
+    lost = found.join(keys, F.expr("dimension = _d AND _f <=> _k"), "left_anti")
+    names = spark.createDataFrame([(name,) for name in fks], "dimension string")
+    return (names.join(lost, "dimension", "left").groupBy("dimension")
+            .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphans")))
 
 
 def null_profile(df: DataFrame) -> DataFrame:

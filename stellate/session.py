@@ -39,6 +39,7 @@ def build_session(master: str | None = None, app: str = "stellate",
     conf = dict(SESSION_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -50,12 +51,11 @@ def build_session(master: str | None = None, app: str = "stellate",
 
 
 def apply_session_conf(spark: SparkSession) -> None:
-    """Apply the runtime-settable part of SESSION_CONF to an existing session."""
+    """Apply the runtime-settable part of SESSION_CONF to a session of our
+    own. A caller's session is left as it is: no operator needs these."""
     for k, v in SESSION_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static conf on a foreign session: leave it
-            pass
 
 
 def _is_local(spark: SparkSession) -> bool:
@@ -99,9 +99,30 @@ def lake_root(spark: SparkSession) -> str:
     return checkpoint_dir(spark).rstrip("/") + "/stellate-lake"
 
 
+_made: list[str] = []   # folders that this process has named with fresh_path
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, unused folder under the lake root (one per run)."""
-    return f"{lake_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unused folder under the lake root, noted for ``clean_run``."""
+    path = f"{lake_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete one folder through the file system that Spark uses for it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clean_run(spark: SparkSession) -> int:
+    """Delete the intermediate folders that this process made with
+    ``fresh_path`` (nothing else), once their results are no longer read.
+    Returns how many there were. Checkpoints go when they are no longer
+    referenced, where the session was built by ``build_session``."""
+    n = sum(delete_folder(spark, path) for path in _made)
+    _made.clear()
+    return n
 
 
 def local_path(path: str) -> str:

@@ -11,52 +11,15 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-_HANDLES: dict[tuple[int, str], DataFrame] = {}
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Parquet table ``root/name.parquet`` with the files it has now."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Parquet table ``root/name.parquet``. The lazy handle (file listing and
-    footer schema) is reused within a session; no data is cached."""
-    path = f"{root.rstrip('/')}/{name}.parquet"
-    key = (id(getattr(spark, "_jsparkSession", spark)), path)
-    df = _HANDLES.get(key)
-    if df is None:
-        df = _HANDLES[key] = spark.read.parquet(path)
-    return df
-
-
-def spread(df: DataFrame, keys: Iterable[str] = (), min_partitions: int | None = None) -> DataFrame:
-    """Split an under-partitioned scan across the cores.
-
-    A file scan has one split per file block / row group; a table stored as a
-    single row group is read by one task and every narrow operator after it
-    (a fully broadcast star join has no shuffle) stays on that one core. When
-    the scan has fewer splits than the default parallelism, hash-repartition
-    it on ``keys`` (deterministic on retry). On a cluster-sized input the scan
-    already has more splits than cores and nothing is added. Call it on a
-    plain scan: its split count is known without running anything.
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (e.g. a remote session): leave as is
-        return df
-    if have >= want:
-        return df
-    keys = list(keys)
-    return df.repartition(want, *keys) if keys else df.repartition(want)
-
-
-def register_views(spark: SparkSession, root: str, names: Iterable[str] = TABLES,
-                   spread_keys: dict[str, tuple[str, ...]] | None = None) -> None:
-    """Temp views over the Parquet tables so that shared SQL text runs as is;
-    tables named in ``spread_keys`` are spread over the cores first."""
-    spread_keys = spread_keys or {}
-    for n in names:
-        df = read_table(spark, root, n)
-        if n in spread_keys:
-            df = spread(df, spread_keys[n])
-        df.createOrReplaceTempView(n)
+def run_sql(spark: SparkSession, template: str, root: str, names: Iterable[str]) -> DataFrame:
+    """A query text with ``{table}`` in place of table names, over the Parquet
+    tables. No temp view of the caller's is touched."""
+    return spark.sql(template, **{n: read_table(spark, root, n) for n in names})
 
 
 def read_csv(spark: SparkSession, path: str, columns: Iterable[str] | None = None,
@@ -93,9 +56,14 @@ def read_jdbc(spark: SparkSession, url: str, table: str, *, driver: str | None =
     opts = {"url": url, "dbtable": table, "fetchsize": str(fetchsize)}
     if driver:
         opts["driver"] = driver
-    if partition_column is not None and partitions > 1:
-        if lower is None or upper is None:
-            raise ValueError("partitioned JDBC read needs lower and upper bounds")
+    if partition_column is not None:
+        if lower is None or upper is None or partitions < 2:
+            raise ValueError("partitioned JDBC read needs lower and upper bounds and at least 2 partitions")
         opts.update(jdbc_bounds_options(partition_column, lower, upper, partitions))
     opts.update(properties or {})
     return spark.read.format("jdbc").options(**opts).load()
+
+
+def select_query(table: str, columns: Iterable[str], alias: str = "source") -> str:
+    """A subquery for ``read_jdbc`` that reads only the named columns."""
+    return f"(SELECT {', '.join(columns)} FROM {table}) {alias}"
