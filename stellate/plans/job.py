@@ -1,11 +1,11 @@
 """The whole batch job: raw sources -> staged -> dimensions -> facts ->
 Parquet lake -> catalog -> quality reports.
 
-Order matters for consistency: dimension keys are computed once from a
-reliable checkpoint (see ``operators.keys``), the dimensions are written,
-and the facts are joined against those same materialized keys, so stored
-dimension keys and fact foreign keys always agree (the reference recomputed
-each dimension twice with an order that did not fix ties).
+A new lake gets its dimensions numbered in one pass and its facts joined to
+those same keys. A lake that exists keeps every key it has: unseen members
+are appended, the facts are joined to the stored dimensions, and the years of
+the given extract replace those years; other years and their keys stay. So an
+extract must hold whole years; ``streaming.refresh`` adds single rows.
 """
 
 from __future__ import annotations
@@ -15,13 +15,18 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.dims import build_dates, dim_table
-from ..operators.facts import calendar_misses, role_date_report
+from ..operators.facts import build_fact, calendar_misses, role_date_report
 from ..operators.quality import (duplicate_key_report, null_key_report, orphan_report,
                                  row_count_report)
-from ..specs import (CALENDAR_END, CALENDAR_START, DATES_KEY, FIRE_DIMS, FIRES_FACT,
-                     WEATHER_FACT, WEATHER_LOWER_BOUND, WEATHER_TYPES)
-from .lake import publish, write_tables
+from ..specs import (CALENDAR_END, CALENDAR_START, DATES_KEY, DATES_TABLE, FIRE_DIMS, FIRES_FACT,
+                     WEATHER_FACT, WEATHER_LOWER_BOUND, WEATHER_TYPES, FactSpec, fact_column, without_missing_dims)
+from .lake import publish, refresh_dates, refresh_dimensions, stored_table, write_fact, write_tables
 from .model import fire_model, weather_model
+from .stage import stage_fires, stage_weather
+
+KEYS = {DATES_TABLE: DATES_KEY, **{d.name: d.key for d in FIRE_DIMS}, WEATHER_TYPES.name: WEATHER_TYPES.key,
+        FIRES_FACT.name: fact_column(FIRES_FACT, FIRES_FACT.row_id[0]),
+        WEATHER_FACT.name: fact_column(WEATHER_FACT, WEATHER_FACT.row_id[0])}
 
 
 @dataclass
@@ -32,53 +37,71 @@ class LakeBuild:
     reports: dict[str, DataFrame] = field(default_factory=dict)
 
 
+def foreign_keys(spec: FactSpec, lake: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, str, str]]:
+    """For ``orphan_report``: each dimension and calendar role of a fact."""
+    fks = {d.name: (lake[d.name], d.key, d.key) for d in spec.dims}
+    fks.update({f"{DATES_TABLE}_{r.key_out}": (lake[DATES_TABLE], DATES_KEY, r.key_out) for r in spec.roles})
+    return fks
+
+
+def _write_new(spark: SparkSession, fires: DataFrame, weather: DataFrame, root: str) -> None:
+    dates = build_dates(spark, CALENDAR_START, CALENDAR_END)
+    fm = fire_model(spark, None, dates=dates, staged=fires)
+    wm = weather_model(spark, None, dates=dates, staged=weather)
+    write_tables({**fm.tables(), **wm.tables()}, root)
+
+
+def _write_more(spark: SparkSession, fires: DataFrame, weather: DataFrame, root: str) -> None:
+    dates = refresh_dates(spark, root)
+    for staged, spec in ((fires, FIRES_FACT), (weather, WEATHER_FACT)):
+        spec = without_missing_dims(spec, staged.columns)
+        dims = refresh_dimensions(spark, staged, spec.dims, root)
+        write_fact(build_fact(staged, spec, dims, dates), f"{root}/{spec.name}", spec.partition_col)
+
+
+def lake_reports(fires: DataFrame, weather: DataFrame, lake: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Quality reports on the stored tables, and on the staged rows that the
+    calendar drops."""
+    fire_spec = without_missing_dims(FIRES_FACT, fires.columns)
+    return {
+        "null_keys": null_key_report({t: (lake[t], KEYS[t]) for t in lake}),
+        "row_counts": row_count_report(lake),
+        "duplicate_keys": duplicate_key_report({t: (lake[t], KEYS[t]) for t in lake}),
+        "fire_orphans": orphan_report(lake[FIRES_FACT.name], foreign_keys(fire_spec, lake)),
+        "weather_orphans": orphan_report(lake[WEATHER_FACT.name], foreign_keys(WEATHER_FACT, lake)),
+        "fires_dropped": calendar_misses(fires, FIRES_FACT, CALENDAR_START, CALENDAR_END),
+        "weather_dropped": calendar_misses(weather, WEATHER_FACT, CALENDAR_START, CALENDAR_END),
+        "calendar_roles": role_date_report(fires, FIRES_FACT, CALENDAR_START, CALENDAR_END).unionByName(
+            role_date_report(weather, WEATHER_FACT, CALENDAR_START, CALENDAR_END)),
+    }
+
+
 def build_lake(spark: SparkSession, raw_fires: DataFrame, raw_weather: DataFrame, root: str,
                database: str | None = None, weather_lower_bound: str = WEATHER_LOWER_BOUND,
                stage_root: str | None = None) -> LakeBuild:
-    """Build and persist the 11-table star under ``root``.
+    """Build the 11-table star under ``root``, or bring the star that is there
+    up to date.
 
-    ``stage_root``: when the raw source is expensive to read twice (JDBC,
-    CSV), the staged frames are written there once as Parquet and both the
-    dimension pass and the fact pass read the typed, pruned copy.
+    ``stage_root``: where the raw source is expensive to read again or may
+    change between reads (JDBC, CSV), the staged frames are written there
+    once as Parquet; every later pass reads that typed, pruned copy.
     """
+    fires, weather = stage_fires(raw_fires), stage_weather(raw_weather, weather_lower_bound)
     if stage_root:
-        from .stage import stage_fires, stage_weather
-        stage_fires(raw_fires).write.mode("overwrite").parquet(f"{stage_root}/fires")
-        stage_weather(raw_weather, weather_lower_bound).write.mode("overwrite").parquet(f"{stage_root}/weather")
-        fm = fire_model(spark, None, staged=spark.read.parquet(f"{stage_root}/fires"))
-        wm = weather_model(spark, None, weather_lower_bound, dates=fm.dates,
-                           staged=spark.read.parquet(f"{stage_root}/weather"))
+        fires.write.mode("overwrite").parquet(f"{stage_root}/fires")
+        weather.write.mode("overwrite").parquet(f"{stage_root}/weather")
+        fires, weather = spark.read.parquet(f"{stage_root}/fires"), spark.read.parquet(f"{stage_root}/weather")
+    present = [d for d in without_missing_dims(FIRES_FACT, fires.columns).dims]
+    names = [DATES_TABLE, *(d.name for d in present), FIRES_FACT.name, WEATHER_TYPES.name, WEATHER_FACT.name]
+    if all(stored_table(spark, f"{root}/{n}") is None for n in names):
+        _write_new(spark, fires, weather, root)
     else:
-        dates = build_dates(spark, CALENDAR_START, CALENDAR_END)
-        fm = fire_model(spark, raw_fires, dates=dates)
-        wm = weather_model(spark, raw_weather, weather_lower_bound, dates=dates)
-    tables = fm.tables()
-    tables.update(wm.tables())
-    paths = write_tables(tables, root)
+        _write_more(spark, fires, weather, root)
+    paths = {n: f"{root}/{n}" for n in names}
     if database:
         publish(spark, database, paths, f"{root}/_catalog")
     lake = {name: spark.read.parquet(p) for name, p in paths.items()}
-    keys = {"dates": DATES_KEY, **{d.name: d.key for d in FIRE_DIMS},
-            WEATHER_TYPES.name: WEATHER_TYPES.key, "fires_fact": "fire_id",
-            "weather_fact": "weather_outlier_id"}
-    fire_fks = {d.name: (lake[d.name], d.key, d.key) for d in FIRE_DIMS}
-    fire_fks["dates_discovery"] = (lake["dates"], DATES_KEY, "discovery_date_id")
-    fire_fks["dates_containment"] = (lake["dates"], DATES_KEY, "cont_date_id")
-    reports = {
-        "null_keys": null_key_report({t: (lake[t], k) for t, k in keys.items()}),
-        "row_counts": row_count_report(lake),
-        "duplicate_keys": duplicate_key_report({t: (lake[t], k) for t, k in keys.items()
-                                                if not t.endswith("fact")}),
-        "fire_orphans": orphan_report(lake["fires_fact"], fire_fks),
-        "weather_orphans": orphan_report(lake["weather_fact"], {
-            WEATHER_TYPES.name: (lake[WEATHER_TYPES.name], WEATHER_TYPES.key, WEATHER_TYPES.key),
-            "dates": (lake["dates"], DATES_KEY, "weather_date_dim_id")}),
-        "fires_dropped": calendar_misses(fm.staged, FIRES_FACT, CALENDAR_START, CALENDAR_END),
-        "weather_dropped": calendar_misses(wm.staged, WEATHER_FACT, CALENDAR_START, CALENDAR_END),
-        "calendar_roles": role_date_report(fm.staged, FIRES_FACT, CALENDAR_START, CALENDAR_END).unionByName(
-            role_date_report(wm.staged, WEATHER_FACT, CALENDAR_START, CALENDAR_END)),
-    }
-    return LakeBuild(root, paths, database, reports)
+    return LakeBuild(root, paths, database, lake_reports(fires, weather, lake))
 
 
-__all__ = ["LakeBuild", "build_lake", "dim_table"]
+__all__ = ["KEYS", "LakeBuild", "build_lake", "dim_table", "foreign_keys", "lake_reports"]

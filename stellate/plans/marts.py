@@ -1,16 +1,18 @@
 """Marts and analyses the lake is meant to serve: cube / grouping-set marts,
-containment efficiency per agency, place-and-day overlay with correlation,
-k-means cells. Ordinary aggregations and joins; every group-by aggregates
+containment efficiency per agency, overlay of the two facts on coordinates and
+days with correlation, k-means cells. Ordinary aggregations and joins; every group-by aggregates
 partially on the map side before its shuffle, so hot groups shrink first."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import fits_broadcast
+from ..specs import DATES_KEY, REPORTERS
 
 
 def cube_mart(df: DataFrame, dims: Sequence[str], measures: dict) -> DataFrame:
@@ -25,60 +27,90 @@ def grouping_sets_mart(df: DataFrame, sets: Sequence[Sequence[str]], cols: Seque
         *[e.alias(n) for n, e in measures.items()], F.grouping_id().cast("int").alias("gid"))
 
 
-def maybe_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast only behind the checked size bound; otherwise leave the
-    choice to the planner/AQE (sort-merge with skew splitting)."""
-    return F.broadcast(df) if fits_broadcast(df) else df
+def containment_efficiency(fires: DataFrame, reporters: DataFrame) -> DataFrame:
+    """Per responsible agency: fires, fires whose discovery or containment
+    time is unknown, and average hours and most seconds from one to the other.
 
-
-def containment_efficiency(events: DataFrame, closes: DataFrame, event_key: str, close_key: str,
-                           start_ts: str, close_ts: str, agency: DataFrame, agency_key: str,
-                           agency_name: str, agency_table_key: str | None = None) -> DataFrame:
-    """Per agency: number of events and average / max hours from the start
-    timestamp to the first closing timestamp.
-
-    ``closes`` is aggregated to its first timestamp per event before the join
-    (partial aggregation), so the join sees one row per event on both sides.
+    ``fires`` is the fact with its two stored timestamps. It is reduced to a
+    row per reporter before the join (partial aggregation), so neither a hot
+    agency nor a large fact is shuffled.
     """
-    first = closes.groupBy(F.col(close_key).alias("_ek")).agg(F.min(close_ts).alias("_first"))
-    secs = F.timestamp_diff("SECOND", F.col(start_ts), F.col("_first"))
-    per_event = (events.join(first, F.col(event_key) == F.col("_ek"), "inner")
-                       .select(F.col(agency_key).alias("_ak"), secs.alias("_secs")))
-    per_event = per_event.join(maybe_broadcast(agency.select(F.col(agency_table_key or agency_key).alias("_a"),
-                                                            F.col(agency_name).alias("agency"))),
-                               F.col("_ak") == F.col("_a"), "inner")
-    return per_event.groupBy("agency").agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.round(F.avg("_secs") / F.lit(3600.0), 2).alias("avg_hours"),
-        (F.max("_secs") / F.lit(3600)).cast("bigint").alias("max_hours"))
-
-
-def place_day_overlay(a: DataFrame, b: DataFrame, place: str, day: str) -> DataFrame:
-    """Join two daily series on (place, day) and summarise per place: shared
-    days, totals and the correlation of the two daily counts.
-
-    Both sides are first reduced to one row per (place, day) with partial
-    aggregation, so a hot place or day costs a few map-side rows only.
+    found, held = F.col("discovery_timestamp").cast("timestamp_ntz"), F.col("cont_timestamp").cast("timestamp_ntz")
+    secs = F.timestamp_diff("SECOND", found, held)
+    per_reporter = fires.select(REPORTERS.key, secs.alias("_secs")).groupBy(REPORTERS.key).agg(
+        F.count(F.lit(1)).alias("_n"), F.count("_secs").alias("_known"), F.sum("_secs").alias("_sum"), F.max("_secs").alias("_max"))
+    return (per_reporter.join(reporters.select(REPORTERS.key, F.col("nwcg_reporting_agency").alias("agency")), REPORTERS.key)
+            .groupBy("agency").agg(
+                F.sum("_n").alias("n_events"), F.sum(F.col("_n") - F.col("_known")).alias("n_unknown"),
+                F.round(F.try_divide(F.sum("_sum"), F.sum("_known")) / F.lit(3600.0), 2).alias("avg_hours"),
+                F.max("_max").alias("max_seconds")))
+
+
+def _cell(column: str, size: int) -> Column:
+    """Grid cell of a coordinate, stored as number or text; NULL if neither."""
+    return F.floor(F.col(column).try_cast("double") / F.lit(size)).cast("bigint")
+
+
+def cells_by_day(fact: DataFrame, day_key: str, size: int, count: str) -> DataFrame:
+    """Rows per (latitude cell, longitude cell, day key)."""
+    cells = fact.select(_cell("latitude", size).alias("lat_cell"), _cell("longitude", size).alias("lon_cell"),
+                        F.col(day_key).alias("_day"))
+    return (cells.where("lat_cell IS NOT NULL AND lon_cell IS NOT NULL")
+            .groupBy("lat_cell", "lon_cell", "_day").agg(F.count(F.lit(1)).alias(count)))
+
+
+def coordinate_overlay(fires: DataFrame, weather: DataFrame, dates: DataFrame, size: int = 10) -> DataFrame:
+    """Fires over weather outliers by place and day: both facts on a grid of
+    ``size`` degrees, per cell the days both have, their totals and the
+    correlation of the daily counts. Rows of the unknown date are left out.
+
+    Each side is reduced to a row per cell and day before the join (partial
+    aggregation), so a hot place or day costs a few map-side rows only; the
+    calendar, of bounded size, is broadcast.
     """
-    da = a.groupBy(place, day).agg(F.count(F.lit(1)).alias("a_n"))
-    db = b.groupBy(place, day).agg(F.count(F.lit(1)).alias("b_n"))
-    both = da.join(db, [place, day], "inner")
+    known = F.broadcast(dates.where("date_type = 'date'").select(F.col(DATES_KEY).alias("_day")))
+    a = cells_by_day(fires, "discovery_date_id", size, "a_n").join(known, "_day", "left_semi")
+    both = a.join(cells_by_day(weather, "weather_date_dim_id", size, "b_n"), ["lat_cell", "lon_cell", "_day"])
     a_n, b_n = F.col("a_n").cast("double"), F.col("b_n").cast("double")
     # Pearson correlation; NULL (not an ANSI divide-by-zero) when a series is constant
     corr = F.try_divide(F.covar_pop(a_n, b_n), F.stddev_pop(a_n) * F.stddev_pop(b_n))
-    return both.groupBy(place).agg(
-        F.count(F.lit(1)).alias("shared_days"),
-        F.sum("a_n").alias("a_total"),
-        F.sum("b_n").alias("b_total"),
+    return both.groupBy("lat_cell", "lon_cell").agg(
+        F.count(F.lit(1)).alias("shared_days"), F.sum("a_n").alias("a_total"), F.sum("b_n").alias("b_total"),
         F.round(corr, 6).alias("corr_ab"))
 
 
-def kmeans_cells(df: DataFrame, x: str, y: str, k: int = 4, seed: int = 42, id_col: str = "id") -> DataFrame:
-    """K-means over two coordinates with Spark ML (distributed Lloyd iterations);
-    returns (id, x, y, cell)."""
+@dataclass
+class Cells:
+    points: DataFrame                     # the input's columns and ``cell``
+    centres: list[tuple[float, ...]]      # of each cell, k of them at most
+    iterations: int
+    converged: bool                       # False: stopped at max_iter
+
+
+def kmeans_cells(df: DataFrame, columns: Sequence[str] = ("latitude", "longitude"), k: int = 4,
+                 max_iter: int = 100, seed: int = 42) -> Cells:
+    """K-means of the rows' coordinates with Spark ML (distributed Lloyd
+    iterations over persisted vectors); rows without coordinates are left out."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
-    pts = VectorAssembler(inputCols=[x, y], outputCol="_features").transform(df.select(id_col, x, y))
-    model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="cell", maxIter=20).fit(pts)
-    return model.transform(pts).select(id_col, x, y, F.col("cell").cast("int").alias("cell"))
+    known = df.select("*", *[F.col(c).try_cast("double").alias(f"_x{i}") for i, c in enumerate(columns)]).dropna(
+        subset=[f"_x{i}" for i in range(len(columns))])
+    points = VectorAssembler(inputCols=[f"_x{i}" for i in range(len(columns))], outputCol="_features").transform(known)
+    model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="cell", maxIter=max_iter).fit(points)
+    n = model.summary.numIter
+    return Cells(model.transform(points).select(*df.columns, F.col("cell").cast("int").alias("cell")),
+                 [tuple(map(float, c)) for c in model.clusterCenters()], n, n < max_iter)
+
+
+def cell_check(cells: Cells, columns: Sequence[str] = ("latitude", "longitude")) -> DataFrame:
+    """One row: points, cells, points that another centre is nearer to than
+    their own, and whether the iteration converged."""
+    def distance(centre: Sequence[float]) -> Column:
+        return reduce(lambda a, b: a + b, [(F.col(c).cast("double") - F.lit(x)) ** 2 for c, x in zip(columns, centre)])
+
+    distances = F.array(*[distance(c) for c in cells.centres])
+    # a tie, up to rounding, belongs to either
+    wrong = F.element_at(distances, F.col("cell") + 1) > F.array_min(distances) + 1e-6
+    return cells.points.agg(F.count("cell").alias("n_points"), F.countDistinct("cell").alias("n_cells"),
+                            F.count_if(wrong).alias("n_misplaced")).withColumn("converged", F.lit(cells.converged))

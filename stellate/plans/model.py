@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.dims import build_dates, build_dims_with_stats, dim_table, with_size_bands
 from ..operators.facts import build_fact
-from ..specs import (CALENDAR_END, CALENDAR_START, FIRE_DIMS, FIRES_FACT, WEATHER_FACT,
-                     WEATHER_LOWER_BOUND, WEATHER_TYPES)
+from ..specs import (CALENDAR_END, CALENDAR_START, FIRES_FACT, WEATHER_FACT, WEATHER_LOWER_BOUND,
+                     WEATHER_TYPES, without_missing_dims)
 from .stage import stage_fires, stage_weather
 
 
@@ -47,16 +47,11 @@ def fire_model(spark: SparkSession, raw: DataFrame | None, dates: DataFrame | No
                staged: DataFrame | None = None) -> FireModel:
     """Staged frame (from ``raw`` unless given) -> dimensions -> fact."""
     staged = staged if staged is not None else stage_fires(raw)
-    present = [d for d in FIRE_DIMS if all(a in staged.columns for a in d.attrs)]
-    dims, stats = build_dims_with_stats(staged, present)
+    spec = without_missing_dims(FIRES_FACT, staged.columns)
+    dims, stats = build_dims_with_stats(staged, spec.dims)
     if "fire_sizes" in dims:
         dims["fire_sizes"] = with_size_bands(dims["fire_sizes"])
     dates = dates if dates is not None else build_dates(spark, start, end)
-    spec = FIRES_FACT
-    if len(present) != len(FIRE_DIMS):
-        keys = {d.key for d in FIRE_DIMS if d not in present}
-        spec = type(spec)(spec.name, spec.roles, tuple(present),
-                          tuple(s for s in spec.select if s[0] not in keys), spec.partition_col, spec.row_id)
     fact = build_fact(staged, spec, dims, dates, strategies, stats)
     return FireModel(staged, dims, dates, fact, stats)
 

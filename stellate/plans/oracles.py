@@ -36,10 +36,11 @@ def in_calendar(col: str) -> str:
     return f"({col} IS NULL OR ({col} >= DATE '{CALENDAR_START}' AND {col} < DATE '{CALENDAR_END}'))"
 
 
-def stamp_text(date_col: str, time_col: str) -> str:
+def stamp_text(day: str, time_col: str) -> str:
+    """Timestamp text of a surviving date and its time."""
     t = f"coalesce({time_col}, '0000')"
-    return (f"CASE WHEN {date_col} IS NULL THEN NULL ELSE strftime({date_col}, '%Y-%m-%d') || ' ' || "
-            f"substr({t}, 1, 2) || ':' || substr({t}, 3, 2) || ':00' END")
+    return (f"CASE WHEN {day} IS NULL THEN NULL ELSE strftime({day}, '%Y-%m-%d') || ' ' || "
+            f"CASE WHEN length({t}) = 4 THEN substr({t}, 1, 2) || ':' || substr({t}, 3, 2) ELSE lpad({t}, 2, '0') || ':00' END || ':00' END")
 
 
 def size_band_cols(col: str = "fire_size_class") -> str:
@@ -54,9 +55,9 @@ def with_fx(body: str, ctes: Sequence[str] = ()) -> str:
 
 
 def with_weather(body: str, ctes: Sequence[str] = ()) -> str:
-    parts = [f"wx AS (SELECT serialid, CAST(date_str AS DATE) AS date_str, type, longitude, latitude, "
+    parts = [f"wx AS (SELECT serialid, TRY_CAST(date_str AS DATE) AS date_str, type, longitude, latitude, "
              f"max_temp, min_temp FROM ({FX_WEATHER_RAW_SQL}) r "
-             f"WHERE CAST(date_str AS DATE) >= DATE '{FX_WEATHER_LOWER_BOUND}')"] + list(ctes)
+             f"WHERE TRY_CAST(date_str AS DATE) >= DATE '{FX_WEATHER_LOWER_BOUND}')"] + list(ctes)
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 

@@ -43,8 +43,9 @@ class FactSpec:
 
 # ---------------------------------------------------------------------------
 # Fixed values of the wildfire / weather model: table names, key names and
-# attribute lists of each dimension, the staging column lists, the calendar
-# range and the fire size bands. They must equal the reference model.
+# attribute lists of each dimension, the source and staging column lists, the
+# calendar range, the quarter names, the fire size bands, and the role prefixes
+# and output columns of the two facts. They must equal the reference model.
 # ---------------------------------------------------------------------------
 SOURCES = DimSpec("sources", "source_id",
                   ("source_system_type", "source_system", "source_reporting_unit",
@@ -66,6 +67,15 @@ CALENDAR_END = "2040-01-01"          # exclusive
 
 FIRE_DIMS = (SOURCES, REPORTERS, FIRE_NAMES, FIRE_CAUSES, FIRE_SIZES, OWNERS, LOCATIONS)
 
+# Columns read from the wildfire source; others stay there.
+FIRE_SOURCE_COLS = (
+    "OBJECTID", "FOD_ID", "FPA_ID", "SOURCE_SYSTEM_TYPE", "SOURCE_SYSTEM", "NWCG_REPORTING_AGENCY",
+    "NWCG_REPORTING_UNIT_ID", "NWCG_REPORTING_UNIT_NAME", "SOURCE_REPORTING_UNIT", "SOURCE_REPORTING_UNIT_NAME",
+    "LOCAL_FIRE_REPORT_ID", "LOCAL_INCIDENT_ID", "FIRE_CODE", "FIRE_NAME", "ICS_209_INCIDENT_NUMBER", "ICS_209_NAME",
+    "MTBS_ID", "MTBS_FIRE_NAME", "COMPLEX_NAME", "FIRE_YEAR", "DISCOVERY_DATE", "DISCOVERY_DOY", "DISCOVERY_TIME",
+    "STAT_CAUSE_CODE", "STAT_CAUSE_DESCR", "CONT_DATE", "CONT_DOY", "CONT_TIME", "FIRE_SIZE", "FIRE_SIZE_CLASS",
+    "LATITUDE", "LONGITUDE", "OWNER_CODE", "OWNER_DESCR", "STATE", "COUNTY", "FIPS_CODE", "FIPS_NAME")
+
 # Raw wildfire staging: decimal columns narrowed to INT, to DECIMAL(10,2) and to
 # coordinates DECIMAL(11,8); time columns filled with "0000"; Julian date and
 # HHMM time pairs combined to timestamps; day-of-year and the date/time parts dropped.
@@ -124,3 +134,16 @@ WEATHER_FACT = FactSpec(
             ("CAST(year(date_str) AS INT)", "year")),
     row_id=("serialid",),
 )
+
+
+def fact_column(spec: FactSpec, staged: str) -> str:
+    """Name in the fact of a staged column."""
+    return next(alias for expr, alias in spec.select if expr == staged)
+
+
+def without_missing_dims(spec: FactSpec, columns) -> FactSpec:
+    """The fact without the dimensions whose attributes the source lacks."""
+    dims = tuple(d for d in spec.dims if set(d.attrs) <= set(columns))
+    gone = {d.key for d in spec.dims} - {d.key for d in dims}
+    return FactSpec(spec.name, spec.roles, dims, tuple(s for s in spec.select if s[0] not in gone),
+                    spec.partition_col, spec.row_id)

@@ -1,3 +1,3 @@
-from .refresh import apply_fire_batch, start_fire_refresh
+from .refresh import FIRES, WEATHER, Feed, apply_batch, start_fire_refresh, start_refresh, start_weather_refresh
 
-__all__ = ["apply_fire_batch", "start_fire_refresh"]
+__all__ = ["FIRES", "WEATHER", "Feed", "apply_batch", "start_fire_refresh", "start_refresh", "start_weather_refresh"]

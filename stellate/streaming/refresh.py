@@ -1,91 +1,75 @@
-"""Event-driven refresh of the lake with Structured Streaming.
+"""Event-driven refresh of a lake with Structured Streaming.
 
-New raw wildfire records arriving as files in a folder are applied one
-micro-batch at a time through ``foreachBatch``:
+New raw records arriving as files in a folder are applied one micro-batch at a
+time through ``foreachBatch``, to the same tables that the batch job writes:
 
   * each member dimension gets the batch's unseen members appended with keys
-    after its current maximum (type 1: existing keys never change). The new
-    members are found with an anti join, so re-running a batch after a
-    failure appends nothing twice;
-  * the batch's fact rows are written into ``year=/batch_id=`` partitions with
-    dynamic partition overwrite, so a retried batch replaces its own output.
-
-The stream's progress (offsets) lives in a checkpoint folder that must be
-shared storage on a cluster (``spark.checkpoint.dir`` by default).
+    after its largest (existing keys never change);
+  * the batch's facts take the place of stored facts of the same row id, and
+    all others stay, whatever years they share.
+
+Both steps give the same tables when repeated, so neither a retried batch nor
+a stream started anew, with its batch ids from 0 again, loses or doubles a
+row. One stream at a time may write a fact. Progress lives in a checkpoint
+folder on shared storage (``spark.checkpoint.dir`` by default).
 """
 
 from __future__ import annotations
 
-import os
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from ..operators.dims import build_dates, new_members, with_size_bands
 from ..operators.facts import build_fact
-from ..plans.lake import write_dim
-from ..plans.stage import stage_fires
+from ..plans.lake import merge_fact, refresh_dates, refresh_dimensions
+from ..plans.stage import stage_fires, stage_weather
 from ..session import checkpoint_dir
-from ..specs import DATES_TABLE, FIRE_DIMS, FIRE_SIZES, FIRES_FACT, DimSpec
+from ..specs import FIRES_FACT, WEATHER_FACT, FactSpec, fact_column, without_missing_dims
 
-BATCH_COL = "batch_id"
 
+@dataclass(frozen=True)
+class Feed:
+    """A raw source and the fact that it feeds."""
 
-def _read_parquet_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:   # no such folder yet (first batch)
-        return None
+    name: str
+    stage: Callable[[DataFrame], DataFrame]
+    fact: FactSpec
 
 
-def _read_dim(spark: SparkSession, path: str, spec: DimSpec, staged: DataFrame) -> DataFrame:
-    df = _read_parquet_or_none(spark, path)
-    if df is not None:
-        return df
-    fields = [StructField(spec.key, LongType())] + [staged.schema[a] for a in spec.attrs]
-    return spark.createDataFrame([], StructType(fields))
+FIRES = Feed("fire-refresh", stage_fires, FIRES_FACT)
+WEATHER = Feed("weather-refresh", stage_weather, WEATHER_FACT)
 
 
-def apply_fire_batch(batch: DataFrame, batch_id: int, root: str) -> None:
-    """One micro-batch of raw wildfire rows -> refreshed dims + fact rows."""
+def apply_batch(batch: DataFrame, root: str, feed: Feed) -> None:
+    """Raw rows of one batch -> refreshed dimensions and merged facts. Of rows
+    that repeat a row id inside the batch all are kept, as in the source."""
     spark = batch.sparkSession
-    staged = stage_fires(batch)
-    present = [d for d in FIRE_DIMS if all(a in staged.columns for a in d.attrs)]
-    dims = {}
-    for spec in present:
-        path = f"{root}/{spec.name}"
-        fresh = new_members(_read_dim(spark, path, spec, staged), staged, spec)
-        if spec.name == FIRE_SIZES.name:
-            fresh = with_size_bands(fresh)
-        fresh.write.mode("append").parquet(path)
-        dims[spec.name] = spark.read.parquet(path)
-    dates_path = f"{root}/{DATES_TABLE}"
-    dates = _read_parquet_or_none(spark, dates_path)
-    if dates is None:
-        write_dim(build_dates(spark), dates_path)
-        dates = spark.read.parquet(dates_path)
-    spec = FIRES_FACT
-    if len(present) != len(FIRE_DIMS):
-        missing = {d.key for d in FIRE_DIMS if d not in present}
-        spec = type(spec)(spec.name, spec.roles, tuple(present),
-                          tuple(s for s in spec.select if s[0] not in missing), spec.partition_col, spec.row_id)
-    fact = build_fact(staged, spec, dims, dates).withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
-    (fact.write.mode("overwrite").partitionBy(spec.partition_col, BATCH_COL)
-         .parquet(f"{root}/{spec.name}"))
-
-
-def start_fire_refresh(spark: SparkSession, source_dir: str, schema: StructType, root: str,
-                       checkpoint_location: str | None = None, available_now: bool = True,
-                       max_files_per_trigger: int | None = None):
-    """Start the refresh stream over Parquet files landing in ``source_dir``."""
+    staged = feed.stage(batch)
+    spec = without_missing_dims(feed.fact, staged.columns)
+    dims = refresh_dimensions(spark, staged, spec.dims, root)
+    fact = build_fact(staged, spec, dims, refresh_dates(spark, root))
+    merge_fact(fact, f"{root}/{spec.name}", fact_column(spec, spec.row_id[0]), spec.partition_col)
+
+
+def start_refresh(spark: SparkSession, feed: Feed, source_dir: str, schema: StructType, root: str,
+                  checkpoint_location: str | None = None, available_now: bool = True,
+                  max_files_per_trigger: int | None = None):
+    """Start a feed's stream over Parquet files landing in ``source_dir``."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(source_dir)
-    location = checkpoint_location or os.path.join(checkpoint_dir(spark), "streams", "fire-refresh")
-    writer = (stream.writeStream.foreachBatch(lambda df, bid: apply_fire_batch(df, bid, root))
+    location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/streams/{feed.name}"
+    writer = (reader.parquet(source_dir).writeStream.foreachBatch(lambda df, _: apply_batch(df, root, feed))
                     .option("checkpointLocation", location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def start_fire_refresh(spark: SparkSession, source_dir: str, schema: StructType, root: str, **options):
+    return start_refresh(spark, FIRES, source_dir, schema, root, **options)
+
+
+def start_weather_refresh(spark: SparkSession, source_dir: str, schema: StructType, root: str, **options):
+    return start_refresh(spark, WEATHER, source_dir, schema, root, **options)

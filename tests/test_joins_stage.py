@@ -1,10 +1,11 @@
+import contextlib
 import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from stellate.operators.dims import build_dim, build_dims_with_stats
-from stellate.operators.joins import fits_broadcast, null_safe_join
+from stellate.operators.joins import fits_broadcast, null_safe_join, side_bytes
 from stellate.plans.stage import stage_fires, stage_weather
 from stellate.specs import DimSpec
 
@@ -42,10 +43,22 @@ def test_null_safe_join_strategies_agree(spark):
 
 
 def test_salted_join_spreads_the_hot_member(spark):
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
+    with _shuffled_joins(spark):
         _check_spread(spark)
+
+
+@contextlib.contextmanager
+def _shuffled_joins(spark):
+    """Neither merged partitions nor joins that turn to broadcasts at runtime."""
+    fixed = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for k, v in fixed.items():
+        spark.conf.set(k, v)
+    try:
+        yield
     finally:
+        for k in fixed:
+            spark.conf.unset(k)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
@@ -76,6 +89,40 @@ def test_size_check_refuses_broadcast(spark):
         spark.conf.unset("stellate.broadcast.maxBytes")
 
 
+def test_wide_text_is_measured_and_refused(spark):
+    """2,000 rows of 4 KB are 8 MB, whatever a guess by type would say."""
+    wide = spark.range(2000).selectExpr("id", "repeat('x', 4096) AS name")
+    assert side_bytes(wide) > 2000 * 4096
+    spark.conf.set("stellate.broadcast.maxBytes", str(1 << 20))
+    try:
+        assert not fits_broadcast(wide) and fits_broadcast(wide.select("id"))
+        dim = wide.selectExpr("id AS k", "concat(name, id) AS name")
+        fact = dim.selectExpr("name", "k AS id").union(dim.limit(1).selectExpr("name", "k AS id"))
+        out = null_safe_join(fact, dim, ("name",), "k", strategy="broadcast")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        assert out.count() == 2001
+    finally:
+        spark.conf.unset("stellate.broadcast.maxBytes")
+
+
+def test_dimension_without_counts_is_salted(spark):
+    """A dimension read back has no member counts: they are taken from the
+    fact, and the hot member's rows still spread."""
+    fact = _skewed_fact(spark)
+    dim = build_dim(fact, SPEC).drop("_rows")
+    spark.conf.set("stellate.broadcast.maxBytes", "64")
+    try:
+        with _shuffled_joins(spark):
+            out = null_safe_join(fact, dim, SPEC.attrs, SPEC.key, salt_cols=["id"])
+            parts = out.filter(F.col("id") % 3 == 0).select(F.spark_partition_id().alias("p")).distinct().count()
+            got = _pairs(out)
+    finally:
+        spark.conf.unset("stellate.broadcast.maxBytes")
+    assert parts > 1 and len(got) == 3000
+    assert got == _pairs(null_safe_join(fact, dim, SPEC.attrs, SPEC.key, strategy="shuffle"))
+
+
 def _raw(spark, rows):
     schema = ("OBJECTID long, FIRE_YEAR decimal(38,18), DISCOVERY_DATE decimal(38,18), DISCOVERY_DOY decimal(38,18), "
               "DISCOVERY_TIME string, CONT_DATE decimal(38,18), CONT_DOY decimal(38,18), CONT_TIME string, "

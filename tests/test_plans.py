@@ -21,7 +21,7 @@ def test_star_join_is_one_broadcast_pipeline(spark):
 
 def test_aggregations_combine_map_side(spark):
     plan = _plan(E.queries()["containment_by_agency"](spark, SF_SMOKE))
-    assert "partial_min" in plan and "partial_count" in plan
+    assert "partial_max" in plan and "partial_count" in plan
     plan = _plan(E.queries()["geo_day_overlay"](spark, SF_SMOKE))
     assert "partial_count" in plan
 
@@ -53,3 +53,23 @@ def test_fact_write_rebalances_on_year(spark):
     from stellate.plans.lake import fact_for_write
     df = fact_for_write(E.queries()["fact_star"](spark, SF_SMOKE))
     assert re.search(r"RebalancePartitions \[year", df._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_a_dimension_is_read_without_the_others(spark):
+    """Every member scan is pruned to one group and to that group's columns."""
+    plan = _plan(E.queries()["fact_star"](spark, SF_SMOKE))
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*keyed-[^\n]*PartitionFilters: \[([^\]]*)\]", plan)
+    assert len(scans) == len(FIRE_DIMS) and "ExistingRDD" not in plan.replace("Scan ExistingRDD[_pid", "")
+    assert all("_gid" in filters for _, filters in scans)
+    owners = [cols for cols, _ in scans if "owner_code" in cols]
+    assert len(owners) == 1 and "fire_name" not in owners[0]
+
+
+def test_orphan_report_reads_the_fact_once(spark):
+    from stellate.operators.quality import orphan_report
+    from stellate.session import fresh_path
+    path = fresh_path(spark, "fact")
+    spark.range(100).selectExpr("id AS a", "id % 7 AS b", "id % 5 AS c").write.parquet(path)
+    dim = spark.range(50).toDF("k")
+    plan = _plan(orphan_report(spark.read.parquet(path), {n: (dim, "k", n) for n in "abc"}))
+    assert plan.count("FileScan parquet") == 1 and "partial_count" in plan
