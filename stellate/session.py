@@ -99,16 +99,20 @@ def lake_root(spark: SparkSession) -> str:
     return checkpoint_dir(spark).rstrip("/") + "/stellate-lake"
 
 
-_made: list[str] = []   # folders that this process has named with fresh_path
+_made: list[str] = []   # intermediate folders of this process
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, unused folder under the lake root, noted for ``clean_run``."""
-    path = f"{lake_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+def note_folder(path: str) -> str:
+    """Have ``clean_run`` delete this folder."""
     _made.append(path)
     return path
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new, unused folder under the lake root, noted for ``clean_run``."""
+    return note_folder(f"{lake_root(spark)}/{name}-{uuid.uuid4().hex[:12]}")
+
+
 def delete_folder(spark: SparkSession, path: str) -> bool:
     """Delete one folder through the file system that Spark uses for it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -116,8 +120,8 @@ def delete_folder(spark: SparkSession, path: str) -> bool:
 
 
 def clean_run(spark: SparkSession) -> int:
-    """Delete the intermediate folders that this process made with
-    ``fresh_path`` (nothing else), once their results are no longer read.
+    """Delete the intermediate folders that this process noted (nothing
+    else), once their results are no longer read.
     Returns how many there were. Checkpoints go when they are no longer
     referenced, where the session was built by ``build_session``."""
     n = sum(delete_folder(spark, path) for path in _made)
