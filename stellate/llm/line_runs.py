@@ -78,7 +78,8 @@ def _cut(docs: DataFrame, min_lines: int) -> tuple[DataFrame, dict[str, str]]:
     d, h = _document()
     keyed = docs.withColumn(own["d"], d).withColumn(own["h"], h)
     runs_of, lines = F.col(own["runs"]), F.col(own["lines"])
-    cut = (keyed.join(runs, [own["d"], own["h"]], "left")
+    # sorted and merged whatever the size of either side
+    cut = (keyed.join(runs.hint("merge"), [own["d"], own["h"]], "left")
            .withColumn(own["runs"], F.coalesce(runs_of, F.array().cast("array<struct<start:int,end:int>>")))
            .withColumn(own["lines"], F.when(F.length("text") > 0, F.split("text", _BREAK)).otherwise(F.array().cast("array<string>"))))
     gaps = F.arrays_zip(F.concat(F.array(F.lit(0)), F.transform(runs_of, lambda r: r["end"])).alias("a"),
