@@ -213,19 +213,16 @@ class LibraryEncoder:
         if len(self._known) + len(new) > CACHED_WORDS:
             self._known, self._older = {}, self._known
             new = words
-        fresh = []
-        for w in new:
-            if w in self._older:
-                self._known[w] = self._older[w]
-            else:
-                fresh.append(w)
+        back = new & self._older.keys()
+        self._known.update(zip(back, map(self._older.__getitem__, back)))
+        fresh = list(new - back)
         runs = [fresh[i:i + 1000] for i in range(0, len(fresh), 1000)]
         for run, ids in zip(runs, self._raw([" ".join(r) for r in runs])):
             cuts = np.flatnonzero(self._ends[ids]) + 1
             if len(cuts) == len(run):
                 raw, width = ids.tobytes(), ids.itemsize
                 at = [0, *(cuts * width).tolist()]
-                self._known.update(zip(run, (raw[a:b] for a, b in zip(at, at[1:]))))
+                self._known.update(zip(run, [raw[a:b] for a, b in zip(at, at[1:])]))
             else:   # a word that the library cuts further
                 self._known.update(zip(run, (i.tobytes() for i in self._raw(run))))
 
