@@ -110,7 +110,8 @@ def shard_documents(docs: DataFrame, shards: int = 16, seed: int = SEED, bucket_
               .select("shard", F.col("b.bucket").alias("bucket"), F.aggregate(
                   F.filter("all", lambda x: x["bucket"] < F.col("b.bucket")), F.lit(0).cast("bigint"),
                   lambda acc, x: acc + x["n"]).alias("before")))
-    return written.join(before, ["shard", "bucket"]).select(
-        "doc_id", "size", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"),
-        F.lit(LAW).alias("law"), "shard", (F.col("before") + F.col("place")).alias("slot"),
+    digest = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32")
+    rows = written.select("doc_id", "size", digest, "shard", "bucket", "place")   # no text goes into the join
+    return rows.join(before, ["shard", "bucket"]).select(
+        "doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", (F.col("before") + F.col("place")).alias("slot"),
         shard_of(F.col("doc_id"), shards + 1, seed).alias("grown_shard"))
