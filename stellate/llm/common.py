@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, note_folder
 
 SLICE_BYTES = 4 << 20
 
@@ -21,8 +21,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A folder of this run below ``spark.checkpoint.dir`` (shared storage)."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
+    """A folder of this run below ``spark.checkpoint.dir`` (shared storage);
+    ``session.clean_run`` deletes it."""
+    return note_folder(f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from .common import partitions, run_folder
 
 SEED = 17
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 16 << 20   # of a bucket, which one task holds
+MOST_TASKS = 100_000      # beyond as many buckets a task shuffles several in turn
 LAW = "key"
 
 
@@ -89,7 +90,7 @@ def write_shards(docs: DataFrame, folder: str, shards: int, seed: int = SEED,
     # the row's number among the rows of its input split tells repeated rows apart
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64(
         F.lit(seed + 1), "doc_id", F.monotonically_increasing_id()), count).cast("int"))
-    spread = rows.repartition(max(partitions(docs.sparkSession), min(sum(buckets), 10_000)), "shard", "bucket")
+    spread = rows.repartition(max(partitions(docs.sparkSession), min(sum(buckets), MOST_TASKS)), "shard", "bucket")
     (spread.sortWithinPartitions("shard", "bucket", "doc_id", "text")
            .mapInArrow(_shuffled(seed), "doc_id bigint, text string, size bigint, shard int, bucket int, place bigint")
            .write.partitionBy("shard").parquet(folder))
