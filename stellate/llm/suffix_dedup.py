@@ -40,7 +40,7 @@ from .common import partitions
 LENGTH = 100
 GRAM = 32
 GROUP_BYTES = 16 << 20
-PIECE = 4 << 20            # starts handled at once; below 2^24
+PIECE = 2 << 20            # starts handled at once; below 2^24
 SEGMENTS = 4096            # different segments of one anchor held at once
 STARTS = 1 << 18           # starts put in suffix order at once
 _PLACE = np.uint64((1 << 24) - 1)
