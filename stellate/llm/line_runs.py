@@ -44,7 +44,8 @@ def _named(starts: DataFrame, keys: list[str]) -> DataFrame:
     hot, cold = classes.where(F.col("n") > limit).drop("n"), classes.where(F.col("n") <= limit).drop("n")
     few = starts.join(F.broadcast(hot), keys)
     rest = starts.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
-    return stored(few.unionByName(rest).select("d", "h", "i", "first"), "names")
+    # rows equal in doc_id and text have equal starts: one of each goes on
+    return stored(few.unionByName(rest).select("d", "h", "i", "first").distinct(), "names")
 
 
 def later_copies(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
@@ -57,7 +58,7 @@ def later_copies(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
         after = named.select("d", "h", (F.col("i") - step).alias("i"), F.col("first").alias("k2"))
         pairs = named.withColumnRenamed("first", "k1").join(after, ["d", "h", "i"])
         named, done = _named(pairs, ["k1", "k2"]), done + step
-    return named.where(F.struct("d", "h", "i") > F.col("first")).select("d", "h", "i").distinct()
+    return named.where(F.struct("d", "h", "i") > F.col("first")).select("d", "h", "i")
 
 
 def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:

@@ -322,3 +322,12 @@ def test_empty_tables(spark, tmp_path):
     docs = frame(spark)
     assert not any(r.contaminated for r in decontaminate.find_contamination(docs, items).collect())
     assert simhash(None) == 0
+
+
+def test_line_runs_of_a_row_that_is_repeated_often(spark):
+    """Equal rows are one document: their starts don't multiply by rounds."""
+    text = "\n".join(f"own line {i}" for i in range(6))
+    pairs = [(1, text)] * 200 + [(2, text), (3, "own line 1\nown line 2\nown line 3\nother")]
+    for min_lines in (2, 5):
+        assert line_runs.later_copies(frame(spark, pairs), min_lines).count() == {2: 5 + 2, 5: 2}[min_lines]
+        assert got(line_runs.line_report(frame(spark, pairs), min_lines), *LINES) == line_report(pairs, min_lines)
