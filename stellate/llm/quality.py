@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
 
 from .common import byte_runs, partitions, run_hashes, stored, text_slices, unused_name, utf8
 
@@ -130,7 +131,7 @@ def _with_features(docs: DataFrame, vectors: np.ndarray, score=None, name: str =
     """``docs`` with the pooled vector, or the score of it, as a new column.
     The table is broadcast: its size is fixed."""
     shared = docs.sparkSession.sparkContext.broadcast((vectors.astype(np.float32), score))
-    kind = "array<float>" if score is None else "double"
+    made_type = ArrayType(FloatType()) if score is None else DoubleType()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, model = shared.value
@@ -141,8 +142,7 @@ def _with_features(docs: DataFrame, vectors: np.ndarray, score=None, name: str =
                         else pa.array(model.score(features), pa.float64()))
                 yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, name])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{fields}, `{name}` {kind}")
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, made_type)]))
 
 
 @dataclass
@@ -213,14 +213,17 @@ def held_out(key: str = "doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, Network]:
     """Word vectors from all texts, and the network trained on at most
     ``sample`` labelled documents that are not held out (those of smallest
-    hash of their id; of a document labelled twice, the lower label)."""
+    hash of their id; of an id labelled twice the lower label, of an id with
+    several texts the one of smaller features)."""
     vectors = word_vectors(docs)
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg(F.min("quality").cast("double").alias("label"))
     # at most `sample` rows of 16 bytes: small enough to broadcast
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     own = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-    rows = _with_features(own, vectors, None, "features").select("doc_id", "label", "features").orderBy("doc_id").collect()
+    # one row an id, so that no more than the sample reaches the driver
+    rows = (_with_features(own, vectors, None, "features").groupBy("doc_id")
+            .agg(F.min("label").alias("label"), F.min("features").alias("features")).orderBy("doc_id").collect())
     x = np.array([r.features for r in rows], np.float64).reshape(-1, WIDTH)
     return vectors, train(x, np.array([r.label for r in rows]))
 
