@@ -190,6 +190,6 @@ def document_fingerprints(docs: DataFrame, buckets: int | None = None) -> DataFr
                      *[F.struct(e.alias("_bucket"), F.lit(True).alias("_end")) for e in ends])
     dealt = (dealt.select("doc_id", "text", F.explode(F.filter(places, lambda p: p["_bucket"].isNotNull())).alias("_p"))
              .select("doc_id", "text", "_p.*")
-             .repartition(len(bounds) + 1, "_bucket")
+             .repartitionById(len(bounds) + 1, "_bucket")
              .sortWithinPartitions("_bucket", "_end", F.col("doc_id").asc_nulls_first(), "text"))
     return dealt.mapInArrow(_neighbours, SCHEMA)
