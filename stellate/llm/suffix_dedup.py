@@ -363,12 +363,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, held
     n = max(partitions(spark), -(-size // GROUP_BYTES))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"),
-                       F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("grp")).repartition(n, "grp")
+                       F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("grp")).repartitionById(n, "grp")
     anchors = rows.groupBy("grp").applyInArrow(_anchors(length, gram), "anchor bigint, grp int, many boolean")
-    wanted = anchors.repartition(n, "anchor").mapInArrow(_repeated, "anchor bigint, grp int").repartition(n, "grp")
+    wanted = anchors.repartition(n, "anchor").mapInArrow(_repeated, "anchor bigint, grp int").repartitionById(n, "grp")
     found = rows.groupBy("grp").cogroup(wanted.groupBy("grp")).applyInArrow(_segments(length, gram), FOUND)
     solved = (found.repartition(n, "anchor").sortWithinPartitions("anchor", "text", "doc_id", "number", "low")
               .mapInArrow(_resolve(length, held_segments), WINDOW))
     repeats = (solved.repartition(n, "route").sortWithinPartitions("route", "mark", "doc_id", "number", "low")
-               .mapInArrow(_later_starts, "grp int, number int, low bigint, high bigint").repartition(n, "grp"))
+               .mapInArrow(_later_starts, "grp int, number int, low bigint, high bigint").repartitionById(n, "grp"))
     return rows.groupBy("grp").cogroup(repeats.groupBy("grp")).applyInArrow(_cut(with_text), RESULT)
