@@ -291,7 +291,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 2,
     store.create_dir(at, recursive=True)
     ids = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").withColumn("shard", range_bucket("doc_id", bounds))
            .mapInArrow(encode, "doc_id bigint, shard int, ids binary, id_bytes int"))
-    (ids.repartition(len(bounds) + 1, "shard")
+    (ids.repartitionById(len(bounds) + 1, "shard")
         .sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "ids")
         .mapInArrow(write, "shard int, n_docs bigint, n_ids bigint")
         .write.parquet(f"{folder}/manifest"))
