@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, run_folder
+from .common import run_folder
 
 SEED = 17
 BUCKET_BYTES = 16 << 20   # of a bucket, which one task holds
@@ -90,7 +90,9 @@ def write_shards(docs: DataFrame, folder: str, shards: int, seed: int = SEED,
     # the row's number among the rows of its input split tells repeated rows apart
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64(
         F.lit(seed + 1), "doc_id", F.monotonically_increasing_id()), count).cast("int"))
-    spread = rows.repartition(max(partitions(docs.sparkSession), min(sum(buckets), MOST_TASKS)), "shard", "bucket")
+    tasks = min(sum(buckets), MOST_TASKS)
+    first = F.get(F.array(*map(F.lit, [sum(buckets[:s]) for s in range(shards)])), F.col("shard"))   # a shard's first task
+    spread = rows.repartitionById(tasks, F.pmod(first + F.col("bucket"), F.lit(tasks)).cast("int"))
     (spread.sortWithinPartitions("shard", "bucket", "doc_id", "text")
            .mapInArrow(_shuffled(seed), "doc_id bigint, text string, size bigint, shard int, bucket int, place bigint")
            .write.partitionBy("shard").parquet(folder))
