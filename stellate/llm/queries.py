@@ -17,7 +17,7 @@ from .shards import shard_documents
 from .simhash import near_duplicates
 from .suffix_dedup import remove_repeats
 from .token_files import token_files
-from .token_rollup import token_totals
+from .token_rollup import corpus_totals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,7 +80,7 @@ ORACLES["op7_line_runs"] = LINE_REPORT_SQL
 
 @query
 def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_totals(read(spark, sf_dir, "documents"), {
+    return corpus_totals(read(spark, sf_dir, "documents"), {
         n.split(".")[0]: tokenizer(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.tiktoken")})
 
 

@@ -154,16 +154,9 @@ def without_copies(counts: DataFrame) -> DataFrame:
     return signed(counts, -1).unionByName(signed(first, 1))
 
 
-def token_totals(docs: DataFrame, tokenizers: dict[str, str], root: str | None = None, bytes_a_token: int = 4) -> DataFrame:
-    """Totals of a corpus after four commits: documents enter on arrival with
-    an estimate from their size, exact counts revise it, later copies of a
-    text are deleted, and the revision is sent once more, which changes
-    nothing.
-
-    A null source or language is a group of its own; rows of a repeated
-    doc_id count each unless their texts are equal; an empty table gives no
-    rows; other columns are ignored.
-    """
+def _entered(docs: DataFrame, tokenizers: dict[str, str], root: str | None, bytes_a_token: int) -> tuple[Rollup, DataFrame, DataFrame]:
+    """A rollup that all documents have entered on arrival with an estimate
+    from their size, which exact counts revised; the counts, the revision."""
     spark = docs.sparkSession
     rollup = Rollup(spark, root or run_folder(spark, "rollup"))
     counts = stored(count_tokens(docs, tokenizers), "counts")
@@ -171,7 +164,38 @@ def token_totals(docs: DataFrame, tokenizers: dict[str, str], root: str | None =
     revision = signed(estimate, -1).unionByName(signed(counts, 1))
     rollup.apply("arrival", signed(estimate, 1))
     rollup.apply("exact counts", revision)
+    return rollup, counts, revision
+
+
+def _copies_left(rollup: Rollup, counts: DataFrame, revision: DataFrame) -> DataFrame:
+    """Totals after later copies of a text were deleted and the revision was
+    sent once more, which changes nothing."""
     rollup.apply("later copies", without_copies(counts))
     rollup.compact()
     rollup.apply("exact counts", revision)
     return rollup.totals()
+
+
+def token_totals(docs: DataFrame, tokenizers: dict[str, str], root: str | None = None, bytes_a_token: int = 4) -> DataFrame:
+    """Totals of the distinct texts of a corpus, each counted with its row of
+    smallest doc_id, after four commits: arrival, exact counts, later copies,
+    and the exact counts again.
+
+    A null source or language is a group of its own; rows of a repeated
+    doc_id count each unless their texts are equal; an empty table gives no
+    rows; other columns are ignored.
+    """
+    return _copies_left(*_entered(docs, tokenizers, root, bytes_a_token))
+
+
+def corpus_totals(docs: DataFrame, tokenizers: dict[str, str], root: str | None = None, bytes_a_token: int = 4) -> DataFrame:
+    """n_docs, n_tokens and n_bytes of all documents, copies and null texts
+    included, and as distinct_docs, distinct_tokens and distinct_bytes what
+    ``token_totals`` gives: 0 in a group that holds later copies only."""
+    rollup, counts, revision = _entered(docs, tokenizers, root, bytes_a_token)
+    every = stored(rollup.totals(), "totals")   # a few rows, before copies leave
+    own = [c.replace("n_", "distinct_") for c in TOTALS]
+    distinct = _copies_left(rollup, counts, revision).select(
+        *(F.col(c).alias(f"of_{c}") for c in GROUP), *(F.col(c).alias(o) for c, o in zip(TOTALS, own)))
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in GROUP]
+    return every.join(distinct, same, "left").select(*GROUP, *TOTALS, *(F.coalesce(c, F.lit(0)).alias(c) for c in own))

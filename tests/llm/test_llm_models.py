@@ -60,6 +60,35 @@ def test_token_totals(spark):
     assert token_rollup.token_totals(spark.createDataFrame([], SCHEMA), PATHS).collect() == []
 
 
+def test_corpus_totals_count_every_document(spark):
+    """Copies count in their own source; a group of copies only is there."""
+    table = [*rows(), (30, None, "en", "s", 0), (31, "x", "en", "copies", 1), (32, "x", "en", "copies", 1), (None, "x", None, None, 1)]
+    df = token_rollup.corpus_totals(spark.createDataFrame(table, SCHEMA).repartition(3), PATHS)
+    found = df.collect()
+    library = {"word": Tokenizer.from_file(PATHS["word"]), "byte": Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))}
+    library["byte"].encode_special_tokens = True
+    want = defaultdict(lambda: [0, 0, 0])
+    for _, t, lang, source, _ in table:
+        for name, model in library.items():
+            v = want[source, lang, name]
+            v[0], v[1] = v[0] + 1, v[1] + len(model.encode(t or "", add_special_tokens=False).ids)
+            v[2] += len((t or "").encode())
+    group = lambda r: (r.source, r.lang, r.tokenizer_version)
+    assert {group(r): [r.n_docs, r.n_tokens, r.n_bytes] for r in found} == want and len(found) == len(want)
+    assert {group(r): (r.distinct_docs, r.distinct_tokens, r.distinct_bytes) for r in found if r.distinct_docs} == plain_totals(table)
+    assert ("copies", "en", "word") in {group(r) for r in found if not r.distinct_docs}
+    assert token_rollup.corpus_totals(spark.createDataFrame([], SCHEMA), PATHS).collect() == []
+
+
+def test_registered_rollup_counts_all_rows(spark):
+    docs = spark.read.parquet(f"{SF_SMOKE}/documents.parquet").union(spark.read.parquet(f"{SF_SMOKE}/documents.parquet"))
+    import tempfile
+    folder = tempfile.mkdtemp(prefix="stellate-test-twice-")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    sums = QUERIES["op8_token_rollup"](spark, folder).groupBy("tokenizer_version").agg(F.sum("n_docs").alias("n")).collect()
+    assert len(sums) == 2 and {r.n for r in sums} == {docs.count()}
+
+
 def changes(spark, *table):
     return spark.createDataFrame(table, "sign int, source string, lang string, tokenizer_version string, n_tokens bigint, n_bytes bigint")
 
