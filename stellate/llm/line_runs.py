@@ -6,8 +6,10 @@ lines are equal form a class, named by its first position; a class of 2m lines
 found nowhere else leave at once, so each round has only the repeats of the
 one before. The classes of ``min_lines`` lines are the intervals of the suffix
 array in which neighbours share that many lines; every start but the first of
-its class begins a later copy. Later copies that overlap or touch make one
-maximal run, which is deleted.
+its class begins a later copy. Where ``min_words`` is given, runs of fewer
+lines with that many words count as well, down to one line; lengths then grow
+line by line. Later copies that overlap or touch make one maximal run, which
+is deleted.
 """
 
 from __future__ import annotations
@@ -19,9 +21,11 @@ from pyspark.sql.window import Window
 from .common import partitions, stored, unused_name
 
 MIN_LINES = 2
+LONG_WORDS = 50
 HOT_ROWS = 10_000
 _LEAST = -(1 << 63)
 _BREAK = "\n"
+_WORD = r"[^ \t\n\x0B\f\r]+"
 
 
 def _document(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
@@ -30,8 +34,9 @@ def _document(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     return [F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_LEAST)).alias("d"), F.xxhash64(text).alias("h")]
 
 
-def _named(starts: DataFrame, keys: list[str]) -> DataFrame:
-    """(d, h, i, first) for the starts of classes with several starts.
+def _named(starts: DataFrame, keys: list[str], carried: list[str]) -> DataFrame:
+    """(d, h, i, first) and the carried columns, which are equal in a class,
+    for the starts of classes with several starts.
 
     The classes are found with partial aggregation. Those that hold very many
     starts are few (fewer than four a partition), so they are broadcast and
@@ -45,37 +50,53 @@ def _named(starts: DataFrame, keys: list[str]) -> DataFrame:
     few = starts.join(F.broadcast(hot), keys)
     rest = starts.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
     # rows equal in doc_id and text have equal starts: one of each goes on
-    return stored(few.unionByName(rest).select("d", "h", "i", "first").distinct(), "names")
+    return stored(few.unionByName(rest).select("d", "h", "i", "first", *carried).distinct(), "names")
 
 
-def later_copies(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """(d, h, i): every start of ``min_lines`` lines that also starts earlier."""
+def _copies(docs: DataFrame, min_lines: int, min_words: int | None) -> DataFrame:
+    """(d, h, i, n): starts of runs of n lines that also start earlier, for n =
+    ``min_lines``, and for fewer lines where they have ``min_words`` words."""
     lines = docs.where(F.length("text") > 0).select(*_document(), F.posexplode(F.split("text", _BREAK)).alias("i", "line"))
-    starts = stored(lines.select("d", "h", "i", F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2")), "lines")
-    named, done = _named(starts, ["k1", "k2"]), 1
+    # words of the run, and of its last line
+    words = [] if min_words is None else [F.regexp_count("line", F.lit(_WORD)).alias(c) for c in ("words", "last")]
+    carried = [] if min_words is None else ["words", "last"]
+    starts = stored(lines.select("d", "h", "i", F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2"), *words), "lines")
+    named, done, short = _named(starts, ["k1", "k2"], carried), 1, []
     while done < min_lines:
-        step = min(done, min_lines - done)
-        after = named.select("d", "h", (F.col("i") - step).alias("i"), F.col("first").alias("k2"))
+        step = min(done, min_lines - done) if min_words is None else 1
+        if min_words is not None:
+            short.append(named.where(F.col("words") >= min_words).withColumn("n", F.lit(done)))
+        after = named.select("d", "h", (F.col("i") - step).alias("i"), F.col("first").alias("k2"), *(F.col("last").alias("next") for _ in carried[:1]))
         pairs = named.withColumnRenamed("first", "k1").join(after, ["d", "h", "i"])
-        named, done = _named(pairs, ["k1", "k2"]), done + step
-    return named.where(F.struct("d", "h", "i") > F.col("first")).select("d", "h", "i")
+        if min_words is not None:
+            pairs = pairs.withColumn("words", F.col("words") + F.col("next")).withColumn("last", F.col("next"))
+        named, done = _named(pairs, ["k1", "k2"], carried), done + step
+    every = named.withColumn("n", F.lit(min_lines))
+    for runs in short:
+        every = every.unionByName(runs)
+    return every.where(F.struct("d", "h", "i") > F.col("first")).select("d", "h", "i", "n")
+
+
+def later_copies(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+    """(d, h, i): every start of ``min_lines`` lines that also starts earlier."""
+    return _copies(docs, min_lines, None).drop("n")
 
 
-def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """(d, h, runs): per document the maximal runs of lines to delete, as
     [start, end) in order."""
     order = Window.partitionBy("d", "h").orderBy("i")
-    copies = later_copies(docs, min_lines).withColumn(
-        "new", (F.col("i") > F.coalesce(F.lag("i").over(order), F.lit(-min_lines - 1)) + min_lines).cast("int"))
+    before = F.max(F.col("i") + F.col("n")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    copies = _copies(docs, min_lines, min_words).withColumn("new", (F.col("i") > F.coalesce(before, F.lit(-1))).cast("int"))
     runs = (copies.withColumn("run", F.sum("new").over(order)).groupBy("d", "h", "run")
-            .agg(F.min("i").alias("start"), (F.max("i") + min_lines).alias("end")))
+            .agg(F.min("i").alias("start"), F.max(F.col("i") + F.col("n")).alias("end")))
     return runs.groupBy("d", "h").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"))
 
 
-def _cut(docs: DataFrame, min_lines: int) -> tuple[DataFrame, dict[str, str]]:
+def _cut(docs: DataFrame, min_lines: int, min_words: int | None) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with columns for its runs and what is left of its lines."""
     own = {n: unused_name(docs, n) for n in ("d", "h", "runs", "lines", "kept")}
-    runs = stored(repeated_runs(docs, min_lines), "runs").toDF(own["d"], own["h"], own["runs"])
+    runs = stored(repeated_runs(docs, min_lines, min_words), "runs").toDF(own["d"], own["h"], own["runs"])
     d, h = _document()
     keyed = docs.withColumn(own["d"], d).withColumn(own["h"], h)
     runs_of, lines = F.col(own["runs"]), F.col(own["lines"])
@@ -90,7 +111,7 @@ def _cut(docs: DataFrame, min_lines: int) -> tuple[DataFrame, dict[str, str]]:
     return cut.withColumn(own["kept"], kept), own
 
 
-def line_report(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def line_report(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """Per document: lines, deleted lines, deleted maximal runs, lines of the
     longest, and sha256 of the lines left, joined by line feeds.
 
@@ -99,7 +120,7 @@ def line_report(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     rows equal in doc_id and text are one document, cut alike. An empty table
     gives no rows; other columns are ignored.
     """
-    cut, own = _cut(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), min_lines)
+    cut, own = _cut(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), min_lines, min_words)
     runs = F.col(own["runs"])
     sizes = F.transform(runs, lambda r: r["end"] - r["start"])
     return cut.select(
@@ -109,11 +130,11 @@ def line_report(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
         F.sha2(F.array_join(own["kept"], _BREAK), 256).alias("kept_sha256"))
 
 
-def delete_copies(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def delete_copies(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """``docs`` with the later copies cut out of the texts (and n_chars, if
     there is such a column, counted anew); documents that lose all their
     lines go, others stay as they are."""
-    cut, own = _cut(docs, min_lines)
+    cut, own = _cut(docs, min_lines, min_words)
     text = F.when(F.size(own["runs"]) == 0, F.col("text")).otherwise(F.array_join(own["kept"], _BREAK))
     cut = cut.where((F.size(own["runs"]) == 0) | (F.size(own["kept"]) > 0)).withColumn("text", text)
     if "n_chars" in docs.columns:
