@@ -6,11 +6,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import encode_decode
 from .common import package_on_workers, read
 from .decontaminate import find_contamination
 from .fingerprints import document_fingerprints
+from .hard_negatives import HARD_NEGATIVES_SQL, hard_negatives
 from .line_runs import LINE_REPORT_SQL, line_report
 from .quality import score_documents
 from .shards import shard_documents
@@ -92,3 +94,13 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints(read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), label.alias("label"))
+    return hard_negatives(rows, F.col("id") % 50 == 0)
+
+
+ORACLES["op11_hard_negatives"] = HARD_NEGATIVES_SQL
