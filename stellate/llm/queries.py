@@ -14,7 +14,9 @@ from .decontaminate import find_contamination
 from .fingerprints import document_fingerprints
 from .hard_negatives import HARD_NEGATIVES_SQL, hard_negatives
 from .line_runs import LINE_REPORT_SQL, line_report
+from .merkle import MERKLE_SQL, verify_documents
 from .quality import score_documents
+from .quality_rules import QUALITY_RULES_SQL, judge_documents
 from .shards import shard_documents
 from .simhash import near_duplicates
 from .suffix_dedup import remove_repeats
@@ -104,3 +106,21 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_hard_negatives"] = HARD_NEGATIVES_SQL
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("bigint").cast("string").cast("binary")) % 7 == 0
+    return verify_documents(docs, tampered).drop("tree", "low", "siblings")
+
+
+ORACLES["op12_merkle_manifest"] = MERKLE_SQL
+
+
+@query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_quality_rules"] = QUALITY_RULES_SQL
