@@ -114,38 +114,42 @@ def near_copies(pairs, radius=3):
     return sorted(((d, f"{p:016x}", low.get(roots[p])) for (d, _), p in zip(pairs, prints)), key=repr)
 
 
-def deleted_lines(pairs, min_lines):
-    """By (doc_id, text): the set of deleted line numbers."""
-    seen, out = {}, {}
+def line_copies(pairs, min_lines=2, min_words=50):
+    """By (doc_id, text): the runs [start, end) from each line that also start
+    earlier, the longest each, of ``min_lines`` lines or ``min_words`` words."""
+    seen, out = set(), {}
     docs = sorted({(order(d), t) for d, t in pairs if t}, key=lambda x: (x[0], text_hash(x[1])))
     for d, t in docs:
-        lines, gone = t.split("\n"), set()
-        for i in range(len(lines) - min_lines + 1):
-            run = tuple(lines[i:i + min_lines])
-            if run in seen:
-                gone.update(range(i, i + min_lines))
-            seen[run] = True
-        out[d, t] = gone
+        lines, out[d, t] = t.split("\n"), []
+        for i in range(len(lines)):
+            n = 0
+            while i + n < len(lines) and tuple(lines[i:i + n + 1]) in seen:
+                n += 1
+            words = sum(len(re.findall(r"[^\x20\x09-\x0d]+", x)) for x in lines[i:i + n])
+            if n and (n >= min_lines or min_words is not None and words >= min_words):
+                out[d, t].append((i, i + n))
+            seen.update(tuple(lines[i:e]) for e in range(i + 1, len(lines) + 1))
     return out
 
 
+def deleted_lines(pairs, min_lines=2, min_words=50):
+    """By (doc_id, text): the set of deleted line numbers."""
+    return {k: {i for a, b in runs for i in range(a, b)} for k, runs in line_copies(pairs, min_lines, min_words).items()}
+
+
 def text_hash(text):
     """Spark's xxhash64 of a string, signed."""
     h = xxhash.xxh64_intdigest(text.encode(), 42)
     return h - (1 << 64) if h >> 63 else h
 
 
-def line_report(pairs, min_lines=2):
-    gone, out = deleted_lines(pairs, min_lines), []
+def line_report(pairs, min_lines=2, min_words=50):
+    copies, out = line_copies(pairs, min_lines, min_words), []
     for d, t in pairs:
         lines = t.split("\n") if t else []
-        cut = gone.get((order(d), t), set())
-        runs = []
-        for i in sorted(cut):
-            if runs and runs[-1][1] == i:
-                runs[-1][1] = i + 1
-            else:
-                runs.append([i, i + 1])
+        runs = copies.get((order(d), t), [])
+        whole = [r for r in runs if not any(o != r and o[0] <= r[0] and r[1] <= o[1] for o in runs)]
+        cut = {i for a, b in runs for i in range(a, b)}
         kept = "\n".join(x for i, x in enumerate(lines) if i not in cut)
-        out.append((d, len(lines), len(cut), len(runs), max([b - a for a, b in runs], default=0), sha(kept)))
+        out.append((d, len(lines), len(cut), len(whole), max([b - a for a, b in whole], default=0), sha(kept)))
     return sorted(out, key=repr)
