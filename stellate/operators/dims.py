@@ -5,7 +5,7 @@ type-1 incremental refresh."""
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,8 +37,9 @@ def build_dims(staged: DataFrame, specs: Sequence[DimSpec], start: int = 0) -> d
     return build_dims_with_stats(staged, specs, start)[0]
 
 
-def build_dims_with_stats(staged: DataFrame, specs: Sequence[DimSpec],
-                          start: int = 0) -> tuple[dict[str, DataFrame], dict[str, GroupStats]]:
+def build_dims_with_stats(staged: DataFrame, specs: Sequence[DimSpec], start: int = 0,
+                          known: Mapping[str, DataFrame] | None = None,
+                          starts: Mapping[str, int] | None = None) -> tuple[dict[str, DataFrame], dict[str, GroupStats]]:
     """Build several member dimensions from one pass over ``staged``.
 
     One GROUPING SETS aggregation (Expand + partial/final hash aggregate) gives
@@ -47,12 +48,18 @@ def build_dims_with_stats(staged: DataFrame, specs: Sequence[DimSpec],
     ``dense_key`` pass then numbers the members of all dimensions at once,
     restarting per dimension. Each result has columns (key, *attrs, _rows);
     the stats give each dimension's member count and fact-row total.
+
+    ``known`` are dimensions that exist: the members they hold are left out by
+    one null-safe anti join on (dimension, attributes), before the sort, and
+    the others are numbered from ``starts`` on, by dimension.
     """
     specs = list(specs)
     cols = _union_attrs(specs)
-    if any(not _in_order(s.attrs, cols) for s in specs):
-        # attribute orders that disagree cannot share one sort: build apart
-        parts = [build_dims_with_stats(staged, [s], start) for s in specs]
+    same = known is not None and len({s.attrs for s in specs}) < len(specs)
+    if any(not _in_order(s.attrs, cols) for s in specs) or same:
+        # attribute orders that disagree cannot share one sort, nor can
+        # stored dimensions of the same attributes: build apart
+        parts = [build_dims_with_stats(staged, [s], start, known, starts) for s in specs]
         return ({s.name: p[0][s.name] for s, p in zip(specs, parts)},
                 {s.name: p[1][s.name] for s, p in zip(specs, parts)})
 
@@ -73,8 +80,12 @@ def build_dims_with_stats(staged: DataFrame, specs: Sequence[DimSpec],
         members = staged.groupingSets(sets, *cols).agg(
             F.expr(f"count(1) AS {ROWS}"), F.expr("CAST(grouping_id() AS BIGINT) AS _gid"))
         gids = by_attrs
-    keyed, gstats = dense_key_with_stats(members, cols, "_key", start=start, group_col="_gid",
-                                         weight_col=ROWS, materialize=len(by_attrs) > 1)
+    held = [s for s in specs if s.name in (known or {})]
+    if held:
+        members = _unknown(members, [(gids[s.attrs], known[s.name], s) for s in held], cols)
+    keyed, gstats = dense_key_with_stats(
+        members, cols, "_key", start=start, group_col="_gid", weight_col=ROWS, materialize=len(by_attrs) > 1,
+        starts={gids[s.attrs]: (starts or {}).get(s.name, start) for s in specs})
     out, stats = {}, {}
     for s in specs:
         g = gids[s.attrs]
@@ -84,6 +95,21 @@ def build_dims_with_stats(staged: DataFrame, specs: Sequence[DimSpec],
     return out, stats
 
 
+def _unknown(members: DataFrame, held: Sequence[tuple[int, DataFrame, DimSpec]], cols: Sequence[str]) -> DataFrame:
+    """The (dimension, attributes) rows that no stored dimension has."""
+    kinds = {c: members.schema[c].dataType.simpleString() for c in cols}
+    names = [f"_e{i}" for i in range(len(cols))]
+    ledger = None
+    for gid, dim, spec in held:
+        own = dim.selectExpr(f"CAST({gid} AS BIGINT) AS _eg", *[f"CAST({f'`{c}`' if c in spec.attrs else 'NULL'} AS {kinds[c]}) AS {n}"
+                                                               for c, n in zip(cols, names)])
+        ledger = own if ledger is None else ledger.unionByName(own)
+    if fits_broadcast(ledger):
+        ledger = F.broadcast(ledger)
+    cond = null_safe_condition(members, ledger, cols, names) & (members["_gid"] == ledger["_eg"])
+    return members.join(ledger, cond, "left_anti")
+
+
 def build_dim(staged: DataFrame, spec: DimSpec, start: int = 0) -> DataFrame:
     """One member dimension: (key, *attrs, _rows)."""
     return build_dims(staged, [spec], start)[spec.name]
@@ -135,6 +161,19 @@ def build_dates(spark: SparkSession, start: str = CALENDAR_START, end: str = CAL
     return dates.unionByName(unknown)
 
 
+def more_dates(spark: SparkSession, first: str, end: str, origin: str, unknown: int, key: str = DATES_KEY) -> DataFrame:
+    """Calendar rows of the days in [first, end) for a calendar whose first
+    day, ``origin``, has key 1 and whose unknown member has key ``unknown``:
+    keys count the days, and those from ``unknown`` on step over it, so that
+    no stored key changes. Days before the origin get keys below 1."""
+    days = (_dt.date.fromisoformat(end) - _dt.date.fromisoformat(first)).days
+    begin = (_dt.date.fromisoformat(first) - _dt.date.fromisoformat(origin)).days
+    cal = calendar_sql("d")
+    return (spark.range(0, max(0, days)).selectExpr(f"id + {begin + 1} AS n", f"date_add(DATE'{first}', CAST(id AS INT)) AS d")
+            .selectExpr(f"CAST(CASE WHEN n < {unknown} THEN n ELSE n + 1 END AS BIGINT) AS {key}", "'date' AS date_type",
+                        *[f"CAST({cal[c]} AS {t}) AS {c}" for c, t in _CAL_TYPES.items()]))
+
+
 def role_play(dim: DataFrame, prefix: str) -> DataFrame:
     """A prefixed copy of a dimension for one of its roles."""
     return prefix_names(dim, prefix)

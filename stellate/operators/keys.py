@@ -10,7 +10,7 @@ the data and repeated builds give identical keys.
 Plan:
   1. range-partition on (group, order cols) and sort inside partitions;
   2. tag rows with (partition id, position) from monotonically_increasing_id;
-  3. reliable checkpoint, so both passes below see the same rows even when
+  3. reliable checkpoint (or Parquet), so both passes below see the same rows even when
      executors are lost and tasks re-run;
   4. count rows per (partition, group) and note where each group starts in
      the partition: at most partitions x groups rows, collected in one job;
@@ -23,7 +23,7 @@ No step moves a whole dimension through one task or the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -48,12 +48,14 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str, start: in
 
 def dense_key_with_stats(df: DataFrame, order_cols: Sequence[str], key_name: str, start: int = 0,
                          group_col: str | None = None, num_partitions: int | None = None,
-                         weight_col: str | None = None, materialize: bool = False) -> tuple[DataFrame, dict]:
+                         weight_col: str | None = None, materialize: bool = False,
+                         starts: Mapping | None = None) -> tuple[DataFrame, dict]:
     """``dense_key`` plus {group value: GroupStats} from the same count job.
-    ``materialize`` writes the keyed rows as Parquet, partitioned by group,
-    for results that feed many joins: a reader of one group then scans that
-    group's files and its columns only. Rows of a group lie together in the
-    range partitions, so there are few files."""
+    ``starts`` names the first key of a group where it is not ``start``.
+    ``materialize`` writes the numbered rows as Parquet, partitioned by group,
+    in place of the checkpoint, for results that feed many joins: a reader of
+    one group then scans that group's files and its columns only. Rows of a
+    group lie together in the range partitions, so there are few files."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -62,7 +64,12 @@ def dense_key_with_stats(df: DataFrame, order_cols: Sequence[str], key_name: str
     tagged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)
                 .selectExpr("*", "monotonically_increasing_id() AS _mid"))
-    tagged = tagged.checkpoint(eager=True)
+    if materialize:
+        path = fresh_path(spark, "keyed")
+        (tagged.write.partitionBy(group_col) if group_col else tagged.write).parquet(path)
+        tagged = spark.read.schema(tagged.schema).parquet(path).select(*tagged.columns)
+    else:
+        tagged = tagged.checkpoint(eager=True)
 
     pos = f"(_mid & {_POS_MASK})"
     grp = f"`{group_col}`" if group_col else "CAST(0 AS BIGINT)"
@@ -81,7 +88,7 @@ def dense_key_with_stats(df: DataFrame, order_cols: Sequence[str], key_name: str
     for r in sorted(counts, key=lambda r: (r["_og"], r["_pid"])):
         g = r["_og"]
         before = running.get(g, 0)
-        offsets.append((int(r["_pid"]), g, before - int(r["_p0"]) + start))
+        offsets.append((int(r["_pid"]), g, before - int(r["_p0"]) + (starts or {}).get(g, start)))
         running[g] = before + int(r["_n"])
         w = int(r["_w"] or 0) if weight_col else None
         prev = stats.get(g)
@@ -94,10 +101,6 @@ def dense_key_with_stats(df: DataFrame, order_cols: Sequence[str], key_name: str
     cond = "shiftright(_mid, 33) = _pid" + (f" AND `{group_col}` = _og" if group_col else "")
     out = (tagged.join(F.broadcast(off_df), F.expr(cond), "inner")
                  .selectExpr(f"CAST(_off + {pos} AS BIGINT) AS `{key_name}`", *[f"`{c}`" for c in df.columns]))
-    if materialize:
-        path = fresh_path(spark, "keyed")
-        (out.write.partitionBy(group_col) if group_col else out.write).parquet(path)
-        out = spark.read.schema(out.schema).parquet(path)
     if not group_col:
         stats = {None: stats.get(0, GroupStats(0, 0 if weight_col else None, 0))}
     return out, stats

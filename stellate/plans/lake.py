@@ -7,24 +7,18 @@ several tasks and merge small ones, instead of one task per year
 (``repartition(year)``) or a fixed ``coalesce(10)`` that would also throttle
 the join stage feeding the write.
 
-A lake that exists keeps its keys: ``refresh_dimensions`` appends unseen
-members after the largest key, and facts are added either a whole year at a
-time (``write_fact``) or row by row id (``merge_fact``).
+These are plain folders for tables that are written once or by one writer;
+the job and the streams write versions (``versions``, ``upkeep``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
-
-from ..operators.dims import build_dates, new_members, with_size_bands
-from ..session import delete_folder, fresh_path
-from ..specs import DATES_TABLE, FIRE_SIZES, DimSpec
 
 FACT_SUFFIX = "fact"
 
@@ -71,64 +65,6 @@ def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def refresh_dimensions(spark: SparkSession, staged: DataFrame, specs: Sequence[DimSpec], root: str) -> dict[str, DataFrame]:
-    """Append the members of ``staged`` that the stored dimensions lack, with
-    keys after the largest; stored rows never change. A run that is repeated
-    appends nothing. Returns the stored dimensions."""
-    out = {}
-    for spec in specs:
-        path = f"{root}/{spec.name}"
-        existing = stored_table(spark, path)
-        if existing is None:
-            fields = [StructField(spec.key, LongType()), *(staged.schema[a] for a in spec.attrs)]
-            existing = spark.createDataFrame([], StructType(fields))
-        fresh = new_members(existing, staged, spec)
-        if spec.name == FIRE_SIZES.name:
-            fresh = with_size_bands(fresh)
-        fresh.write.mode("append").parquet(path)
-        out[spec.name] = spark.read.parquet(path)
-    return out
-
-
-def refresh_dates(spark: SparkSession, root: str) -> DataFrame:
-    """The stored calendar, written if there is none yet."""
-    path = f"{root}/{DATES_TABLE}"
-    if stored_table(spark, path) is None:
-        write_dim(build_dates(spark), path)
-    return spark.read.parquet(path)
-
-
-def merge_fact(fact: DataFrame, path: str, row_id: str, partition_col: str = "year") -> None:
-    """Put the rows of ``fact`` in place of stored rows of the same id, and
-    leave all others. Only years are rewritten that the rows are in or come
-    from; repeating the merge gives the same table."""
-    spark = fact.sparkSession
-    stored = stored_table(spark, path)
-    if stored is None:
-        write_fact(fact, path, partition_col)
-        return
-    batch_path = fresh_path(spark, "batch")
-    fact.write.parquet(batch_path)   # the rows are read several times
-    batch = spark.read.schema(fact.schema).parquet(batch_path)
-    edge = batch.agg(F.min(row_id).alias("low"), F.max(row_id).alias("high")).first()
-    if edge.low is None:
-        return
-    ids = batch.select(row_id).distinct()
-    # the bounds reach the scan; two columns are read
-    moved = (stored.where(F.col(row_id).between(edge.low, edge.high)).select(row_id, partition_col)
-             .join(ids, row_id, "left_semi").select(partition_col).distinct())
-    # years are few: a row each
-    own = {r[0] for r in batch.select(partition_col).distinct().collect()}
-    touched = own | {r[0] for r in moved.collect()}
-    year = F.col(partition_col)
-    inside = year.isin([y for y in touched if y is not None]) | (year.isNull() if None in touched else F.lit(False))
-    kept = stored.where(inside).join(ids, row_id, "left_anti").select(*fact.columns)
-    left = own | {r[0] for r in kept.select(partition_col).distinct().collect()}
-    write_fact(kept.unionByName(batch), path, partition_col)
-    for y in touched - left:         # a year that lost its last row
-        delete_folder(spark, f"{path}/{partition_col}={'__HIVE_DEFAULT_PARTITION__' if y is None else y}")
-
-
 def ddl_columns(df: DataFrame) -> str:
     """Column list for CREATE TABLE, derived from the written schema (the
     reference kept a hand-written copy that drifted from what it wrote)."""

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.asof import asof_join
+from ..operators.nearby import within_distance
 from ..specs import DATES_KEY, REPORTERS
 
 
@@ -79,6 +81,51 @@ def coordinate_overlay(fires: DataFrame, weather: DataFrame, dates: DataFrame, s
         F.round(corr, 6).alias("corr_ab"))
 
 
+def _days(fact: DataFrame, dates: DataFrame, key: str, day: str) -> DataFrame:
+    """The fact with the day that a calendar key stands for; unknown dates
+    drop. The calendar, of bounded size, is broadcast."""
+    known = F.broadcast(dates.where("date_type = 'date'").select(F.col(DATES_KEY).alias(key), F.col("date_actual").alias(day)))
+    return fact.join(known, key)
+
+
+def _degrees(column: str) -> Column:
+    """A coordinate stored as number or text; NULL if neither."""
+    return F.col(column).cast("string").try_cast("double")
+
+
+def distance_overlay(fires: DataFrame, weather: DataFrame, dates: DataFrame, radius_km: float = 150.0, days: int = 3) -> DataFrame:
+    """For each fire of a known day and place the number of weather outliers
+    within ``radius_km`` on its day or up to ``days`` days before."""
+    places = _days(fires.select("fire_id", "discovery_date_id", _degrees("latitude").alias("lat"), _degrees("longitude").alias("lon")),
+                   dates, "discovery_date_id", "day").where("lat IS NOT NULL AND lon IS NOT NULL").drop("discovery_date_id")
+    points = _days(weather.select("weather_date_dim_id", _degrees("latitude").alias("lat"), _degrees("longitude").alias("lon")),
+                   dates, "weather_date_dim_id", "_day")
+    # an outlier counts on its own day and the days after it
+    points = points.select("lat", "lon", F.explode(F.sequence("_day", F.date_add("_day", days))).alias("day"))
+    near = within_distance(places, points, ["day"], radius_km)
+    return places.join(near, ["lat", "lon", "day"], "left").select("fire_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_outliers"))
+
+
+def time_between(fires: DataFrame, weather: DataFrame, dates: DataFrame, size: int = 10, days: int = 7) -> DataFrame:
+    """For each fire the latest earlier fire of its reporting unit and the
+    exact seconds from that to this, and the latest weather outlier of its
+    cell of ``size`` degrees on its day or up to ``days`` days before."""
+    found = F.col("discovery_timestamp").cast("timestamp_ntz")
+    own = fires.select("fire_id", REPORTERS.key, found.alias("found"), _cell("latitude", size).alias("lat_cell"),
+                       _cell("longitude", size).alias("lon_cell")).withColumn("day", F.col("found").cast("date"))
+    since = asof_join(own, own.select(REPORTERS.key, "fire_id", F.col("found").alias("at")), [REPORTERS.key], "found", "at", ["fire_id"],
+                      strict=True, prefix="previous_")
+    outliers = _days(weather.select("weather_outlier_id", "weather_date_dim_id", _cell("latitude", size).alias("lat_cell"),
+                                    _cell("longitude", size).alias("lon_cell")), dates, "weather_date_dim_id", "on_day")
+    both = asof_join(since, outliers.where("lat_cell IS NOT NULL AND lon_cell IS NOT NULL"), ["lat_cell", "lon_cell"], "day", "on_day",
+                     ["weather_outlier_id"], bucket_seconds=365 * 86400)
+    ago = F.datediff("day", F.col("last_on_day").cast("date"))
+    return both.select(
+        "fire_id", F.col("previous_fire_id"), F.timestamp_diff("SECOND", F.col("previous_at"), F.col("found")).alias("seconds_since"),
+        F.when(ago <= days, F.col("last_weather_outlier_id")).alias("weather_outlier_id"),
+        F.when(ago <= days, ago).cast("int").alias("days_since_outlier"))
+
+
 @dataclass
 class Cells:
     points: DataFrame                     # the input's columns and ``cell``

@@ -9,31 +9,38 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.conform import cast_columns, columns_of_type, fill_default, lower_names
 from ..functions.temporal import date_time, date_to_julian, julian_to_date
-from ..operators.dims import (build_dates, build_dim, build_dims_with_stats, date_sequence, dim_table, refresh_dim,
+from ..operators.dims import (build_dates, build_dim, build_dims_with_stats, calendar_size, date_sequence, dim_table, refresh_dim,
                               role_play, with_size_bands)
 from ..operators.facts import role_date_report
 from ..operators.joins import null_safe_join
 from ..operators.keys import dense_key
 from ..operators.quality import (duplicate_key_report, max_profile, null_key_report, null_profile, orphan_report,
                                  row_count_report, schema_profile)
+from ..operators.layout import read_clustered, write_clustered
 from ..session import fresh_path
-from ..sources.readers import read_csv, read_table
+from ..sources.readers import even_ranges, read_csv, read_table
 from ..specs import (CALENDAR_END, CALENDAR_START, DATES_KEY, FIRE_CAUSES, FIRE_DIMS, FIRE_NAMES,
-                     FIRE_SIZES, FIRES_FACT, LOCATIONS, REPORTERS, WEATHER_FACT, WEATHER_TYPES, DimSpec)
+                     FIRE_SIZES, FIRES_FACT, LOCATIONS, OWNERS, REPORTERS, WEATHER_FACT, WEATHER_TYPES, DimSpec)
 from . import oracles as O
 from .fixtures import FX_WEATHER_LOWER_BOUND, FX_WEATHER_RAW_SQL, raw_fires, raw_weather
 from .job import KEYS, build_lake, foreign_keys
+from .cells import CellMart
+from .evolve import Drift, Narrowing, append_evolving, republish
 from .lake import publish, write_dim, write_fact, write_tables
-from .marts import (cell_check, containment_efficiency, coordinate_overlay, cube_mart, grouping_sets_mart,
-                    kmeans_cells)
+from .marts import (cell_check, containment_efficiency, coordinate_overlay, cube_mart, distance_overlay, grouping_sets_mart,
+                    kmeans_cells, time_between)
 from .model import fire_model, weather_model
 from .stage import stage_fires, stage_weather
+from .upkeep import apply_staged, extend_dates, refresh_dates, refresh_dimensions, replay_quarantine
+from .versions import Change, Version, commit_with, one_folder, read_lake, read_version, vacuum, version
+from ..streaming.newest import start_newest
 from ..streaming.refresh import FIRES, WEATHER, apply_batch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -503,6 +510,40 @@ def src_csv(spark, sf_dir):
     return read_csv(spark, path, drop=("id", "station_name"))
 
 
+_GAPPED = "CASE WHEN o_orderkey % 11 = 3 THEN NULL WHEN o_orderkey % 10 < 9 THEN o_orderkey ELSE o_orderkey * 100000 END"
+
+
+@query("src_ranges", f"""
+SELECT count(*) AS n_rows, count(*) AS n_matched, CAST(sum(coalesce(k, 0)) AS BIGINT) AS key_sum, TRUE AS is_disjoint, TRUE AS is_even
+FROM (SELECT CAST({_GAPPED} AS BIGINT) AS k FROM orders) t""")
+def src_ranges(spark, sf_dir):
+    """The predicates of a parallel read, applied to a table whose keys have
+    gaps and NULLs: every row meets one, and none is met by over a fifth more
+    rows than the average."""
+    keys = read_table(spark, sf_dir, "orders").selectExpr(f"CAST({_GAPPED} AS BIGINT) AS k")
+    ranges = even_ranges(keys, "k", 8)
+    # the NULLs go with the first range, which is cut on the other keys
+    met = F.array_compact(F.array(*[F.when(F.expr(r), F.lit(i)) for i, r in enumerate(ranges)]))
+    per_range = keys.withColumn("met", met).groupBy(F.get("met", F.lit(0)).alias("range")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("k").alias("known"), F.sum(F.size("met")).alias("m"), F.max(F.size("met")).alias("most"),
+        F.sum(F.coalesce("k", F.lit(0))).alias("s"))
+    return per_range.agg(F.sum("n").alias("n_rows"), F.sum("m").alias("n_matched"), F.sum("s").alias("key_sum"), (F.max("most") == 1).alias("is_disjoint"),
+                         (F.max("known") <= 1.2 * F.sum("known") / len(ranges)).alias("is_even"))
+
+
+@query("scan_cell_pruned", O.with_fx(f"""
+SELECT objectid, CAST(latitude AS DECIMAL(11,8)) AS latitude, CAST(longitude AS DECIMAL(11,8)) AS longitude, disc_day AS day
+FROM fx WHERE disc_day BETWEEN DATE '1996-03-01' AND DATE '1996-09-30' AND CAST(latitude AS DECIMAL(11,8)) BETWEEN 35 AND 42
+  AND CAST(longitude AS DECIMAL(11,8)) BETWEEN -110 AND -90"""))
+def scan_cell_pruned(spark, sf_dir):
+    """Fires laid out along a Z curve over place and day, and a box of them
+    read from the files whose index meets it."""
+    path = fresh_path(spark, "clustered")
+    fires = _staged(spark, sf_dir).select("objectid", "latitude", "longitude", F.to_date("discovery_timestamp").alias("day"))
+    write_clustered(fires, path, ["latitude", "longitude", "day"], rows_per_file=500)
+    return read_clustered(spark, path, fires.schema, {"day": (dt.date(1996, 3, 1), dt.date(1996, 9, 30)), "latitude": (35, 42), "longitude": (-110, -90)})
+
+
 @query("sink_dim_roundtrip", O.with_fx("SELECT * FROM locations", [O.dim_cte(LOCATIONS)]))
 def sink_dim_roundtrip(spark, sf_dir):
     path = fresh_path(spark, "locations")
@@ -555,17 +596,65 @@ def catalog_publish(spark, sf_dir):
         spark.sql(f"DROP DATABASE `{db}` CASCADE")
 
 
+_DRIFTS = [("locations", "region", "added", None, "string"), ("locations", "location_id", "refused", "bigint", "string"),
+           ("owners", "owner_code", "widened", "int", "bigint"), ("owners", "note", "missing", "string", None)]
+
+
+@query("catalog_evolve", O.with_fx(
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{k}' AS change, {repr(a) if a else 'NULL'} AS stored, "
+                       f"{repr(b) if b else 'NULL'} AS incoming, {n} AS n_rows, {v} AS n_new FROM {t}"
+                       for (t, c, k, a, b), n, v in zip(_DRIFTS, ("2 * count(*)", "2 * count(*)", "2 * count(*)", "2 * count(*)"),
+                                                        ("count(*)", "count(*)", "sum(CASE WHEN owner_code IS NULL THEN 0 ELSE 1 END)",
+                                                         "sum(CASE WHEN owner_code IS NULL THEN 0 ELSE 1 END)"))),
+    [O.dim_cte(LOCATIONS), O.dim_cte(OWNERS)]))
+def catalog_evolve(spark, sf_dir):
+    """Published dimensions that get rows of other schemas: a column more, a
+    wider type, a column less, and a type that is refused. The catalog follows
+    without losing a row; each change is reported beside the table's rows and
+    those that only the new schema can hold."""
+    dims = build_dims_with_stats(_staged(spark, sf_dir), [LOCATIONS, OWNERS])[0]
+    places, owners, root = dim_table(dims["locations"]), dim_table(dims["owners"]).withColumn("note", F.lit("x")), fresh_path(spark, "lake")
+    db = "stellate_" + uuid.uuid4().hex[:10]
+    drifts: list[Drift] = []
+
+    def second(change: Change) -> None:
+        drifts[:] = append_evolving(change, "locations", places.withColumn("region", F.lit("west")))
+        drifts.extend(append_evolving(change, "owners", owners.drop("note").withColumn("owner_code", F.col("owner_code").cast("bigint") + (1 << 40))))
+
+    def first(change: Change) -> None:
+        change.replace("locations", places)
+        change.replace("owners", owners)
+
+    at = commit_with(spark, root, first)
+    republish(spark, db, root, at)
+    try:
+        commit_with(spark, root, second)
+        try:
+            commit_with(spark, root, lambda change: append_evolving(change, "locations", places.withColumn("location_id", F.col("location_id").cast("string"))))
+        except Narrowing:
+            drifts.append(Drift("locations", "location_id", "refused", "bigint", "string"))
+        at = one_folder(spark, root, version(spark, root))
+        republish(spark, db, root, at)
+        counts = spark.sql(f"SELECT 'locations' AS t, count(*) AS n_rows, count(region) AS n_new FROM `{db}`.locations UNION ALL "
+                           f"SELECT 'owners', count(*), count_if(owner_code >= {1 << 40}) FROM `{db}`.owners").collect()   # a row a table
+    finally:
+        spark.sql(f"DROP DATABASE `{db}` CASCADE")
+    found = {r.t: (r.n_rows, r.n_new) for r in counts}
+    return spark.createDataFrame([(d.table, d.column, d.change, d.stored, d.incoming, *found[d.table]) for d in drifts],
+                                 "table_name string, column_name string, change string, stored string, incoming string, n_rows bigint, n_new bigint")
+
+
 # --------------------------------------------------------------------------
 # A lake that is written again: C10, D6
 # --------------------------------------------------------------------------
-def _fires_with_members(spark, root: str) -> DataFrame:
+def _fires_with_members(spark, root: str, at: Version | None = None) -> DataFrame:
     """Stored facts beside the attributes that their stored keys lead to."""
-    f = spark.read.parquet(f"{root}/fires_fact")
+    lake = read_lake(spark, root, at)
+    f = lake["fires_fact"]
     for d in FIRE_DIMS:
-        f = f.join(spark.read.parquet(f"{root}/{d.name}"), d.key)
-    dates = spark.read.parquet(f"{root}/dates")
+        f = f.join(lake[d.name], d.key)
     for role in FIRES_FACT.roles:
-        f = f.join(role_play(dates, role.prefix), F.col(role.key_out) == F.col(f"{role.prefix}{DATES_KEY}"))
+        f = f.join(role_play(lake["dates"], role.prefix), F.col(role.key_out) == F.col(f"{role.prefix}{DATES_KEY}"))
     attrs = [a for d in FIRE_DIMS for a in d.attrs]
     return f.select("fire_id", *dict.fromkeys(attrs), F.col("disc_date_actual").alias("disc_day"),
                     F.col("cont_date_actual").alias("cont_day"), "fire_size", "year")
@@ -587,14 +676,18 @@ def lake_rerun(spark, sf_dir):
     return _fires_with_members(spark, root)
 
 
-_REVISED = "year(disc_date) = 1997 AND objectid % 2 = 0"
+_UNNAMED = "objectid % 37 = 5"
+_REVISED = f"year(disc_date) = 1997 AND objectid % 2 = 0 AND NOT ({_UNNAMED})"
 
 
-@query("lake_refresh", _fires_with_members_sql(f"CASE WHEN {_REVISED} THEN fire_size + 1 ELSE fire_size END"))
+@query("lake_refresh", _fires_with_members_sql(f"CASE WHEN {_REVISED} THEN fire_size + 1 ELSE fire_size END").replace(
+    "SELECT objectid AS fire_id", f"SELECT CASE WHEN NOT ({_UNNAMED}) THEN objectid END AS fire_id", 1))
 def lake_refresh(spark, sf_dir):
     """The job over the years up to 1997, then a batch with revised rows of
-    1997 and all later years, and the batch once more."""
+    1997 and all later years, and the batch once more. Some rows have no id:
+    they are told apart by all their columns."""
     raw, weather, root = raw_fires(spark, sf_dir), _weather_raw(spark, sf_dir), fresh_path(spark, "lake")
+    raw = raw.withColumn("OBJECTID", F.expr(f"CASE WHEN NOT ({_UNNAMED.replace('objectid', 'OBJECTID')}) THEN OBJECTID END"))
     build_lake(spark, raw.where("FIRE_YEAR <= 1997"), weather, root, weather_lower_bound=FX_WEATHER_LOWER_BOUND)
     revised = raw.where("FIRE_YEAR = 1997 AND OBJECTID % 2 = 0").withColumn(
         "FIRE_SIZE", (F.col("FIRE_SIZE") + 1).cast(raw.schema["FIRE_SIZE"].dataType))
@@ -604,6 +697,127 @@ def lake_refresh(spark, sf_dir):
     return _fires_with_members(spark, root)
 
 
+_EARLY = "year(disc_date) <= 1997"
+
+
+@query("lake_versions", _fires_with_members_sql().replace("SELECT objectid", "SELECT 1 AS version, objectid", 1) + f" AND {_EARLY} UNION ALL SELECT * FROM ("
+       + _fires_with_members_sql().replace("SELECT objectid", "SELECT 2 AS version, objectid", 1) + ") second")
+def lake_versions(spark, sf_dir):
+    """Two commits, a write between them that its driver abandons, and both
+    versions read afterwards."""
+    raw, root = raw_fires(spark, sf_dir), fresh_path(spark, "lake")
+    first = apply_batch(raw.where("FIRE_YEAR <= 1997"), root, FIRES)
+    abandoned = Change(spark, root)
+    apply_staged(abandoned, stage_fires(raw.where("FIRE_YEAR >= 1997").withColumn("STATE", F.lit("nowhere"))), FIRES_FACT)
+    second = apply_batch(raw.where("FIRE_YEAR > 1997"), root, FIRES)
+    vacuum(spark, root, keep=2, older_than=0)
+    return (_fires_with_members(spark, root, version(spark, root, first.number)).select(F.lit(1).alias("version"), "*")
+            .unionByName(_fires_with_members(spark, root, version(spark, root, second.number)).select(F.lit(2).alias("version"), "*")))
+
+
+def _grown_dim_sql(spec: DimSpec) -> str:
+    """Members of the early rows in order, then the others in order."""
+    attrs, order = ", ".join(spec.attrs), ", ".join(f"{a} NULLS FIRST" for a in spec.attrs)
+    text = " || '|' || ".join(f"coalesce(CAST({a} AS STRING), '-')" for a in spec.attrs)
+    return (f"SELECT '{spec.name}' AS dimension, CAST(row_number() OVER (ORDER BY late, {order}) - 1 AS BIGINT) AS key, {text} AS member "
+            f"FROM (SELECT {attrs}, min(CASE WHEN {_EARLY} THEN 0 ELSE 1 END) AS late FROM fx GROUP BY {attrs}) t")
+
+
+@query("dim_refresh_all", O.with_fx(" UNION ALL ".join(f"SELECT * FROM ({_grown_dim_sql(d)}) g" for d in FIRE_DIMS)))
+def dim_refresh_all(spark, sf_dir):
+    """All seven member dimensions brought up to date by one pass over the
+    staged rows, and by a second run that finds nothing new."""
+    staged, root = _staged(spark, sf_dir), fresh_path(spark, "lake")
+    for rows in (staged.where("fire_year <= 1997"), staged, staged):
+        at = commit_with(spark, root, lambda change: refresh_dimensions(change, rows, FIRE_DIMS))
+    lake = read_lake(spark, root, at)
+    member = {d.name: F.concat_ws("|", *[F.coalesce(F.col(a).cast("string"), F.lit("-")) for a in d.attrs]) for d in FIRE_DIMS}
+    parts = [lake[d.name].select(F.lit(d.name).alias("dimension"), F.col(d.key).alias("key"), member[d.name].alias("member")) for d in FIRE_DIMS]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+_SHORT = ("1996-01-01", "1998-01-01")
+_SHORT_UNKNOWN = calendar_size(*_SHORT) + 1
+
+
+def _stepped(n: str, unknown: int) -> str:
+    return f"CASE WHEN {n} < {unknown} THEN {n} ELSE {n} + 1 END"
+
+
+@query("dates_extend", O.with_fx(f"""
+SELECT CAST(CASE WHEN date_type = 'unknown' THEN {_SHORT_UNKNOWN}
+    ELSE {_stepped(f"datediff('day', DATE '{_SHORT[0]}', date_actual) + 1", _SHORT_UNKNOWN)} END AS BIGINT) AS date_dim_id, * EXCLUDE (date_dim_id)
+FROM dates""", [O.dates_cte(bounds="SELECT CAST(min(d) AS TIMESTAMP) AS s, CAST(max(d) AS TIMESTAMP) + INTERVAL 1 DAY AS e FROM "
+                            "(SELECT disc_day AS d FROM fx UNION ALL SELECT cont_day FROM fx) x")]))
+def dates_extend(spark, sf_dir):
+    """A stored calendar of two years that grows to all days of the fires,
+    both ways; no key changes, the unknown member's neither."""
+    root = fresh_path(spark, "lake")
+    edge = _staged(spark, sf_dir).select(F.explode(F.array(F.to_date("discovery_timestamp"), F.to_date("cont_timestamp"))).alias("d")).agg(
+        F.min("d").alias("low"), F.date_add(F.max("d"), 1).alias("end")).first()
+    commit_with(spark, root, lambda change: refresh_dates(change, *_SHORT))
+    at = commit_with(spark, root, lambda change: extend_dates(change, str(edge.low), str(edge.end)))
+    return read_version(spark, root, "dates", at)
+
+
+_REPLAY_START = "1987-01-01"
+_held = f"({{d}} IS NULL OR ({{d}} >= DATE '{_REPLAY_START}' AND {{d}} < DATE '{CALENDAR_END}'))"
+
+
+@query("quarantine_replay", O.with_fx(f"""
+SELECT objectid AS fire_id, CASE WHEN {_held.format(d='disc_day')} AND {_held.format(d='cont_day')} THEN 'fact' ELSE 'quarantine' END AS place,
+  CASE WHEN NOT ({_held.format(d='disc_day')} AND {_held.format(d='cont_day')}) THEN NULL
+    WHEN disc_day IS NULL THEN CAST({O.UNKNOWN_DATE_ID} AS BIGINT) ELSE CAST(datediff('day', DATE '{CALENDAR_START}', disc_day) + 1 AS BIGINT) END AS discovery_date_id,
+  CASE WHEN NOT ({_held.format(d='disc_day')} AND {_held.format(d='cont_day')}) THEN 'no such day: ' || concat_ws(', ',
+    CASE WHEN NOT {O.in_calendar('disc_day')} THEN 'discovery_date_id' END, CASE WHEN NOT {O.in_calendar('cont_day')} THEN 'cont_date_id' END) END AS reason
+FROM fx"""))
+def quarantine_replay(spark, sf_dir):
+    """Fires of days that the calendar lacks wait in the quarantine; once the
+    calendar has grown those of its new days become facts, the others stay.
+    Both batch and replay run twice."""
+    raw, root = raw_fires(spark, sf_dir), fresh_path(spark, "lake")
+    for _ in range(2):
+        apply_batch(raw, root, FIRES, "first")
+    commit_with(spark, root, lambda change: extend_dates(change, start=_REPLAY_START))
+    for _ in range(2):
+        at = commit_with(spark, root, lambda change: replay_quarantine(change, FIRES_FACT))
+    lake = read_lake(spark, root, at)
+    return lake["fires_fact"].select("fire_id", F.lit("fact").alias("place"), "discovery_date_id", F.lit(None).cast("string").alias("reason")).unionByName(
+        lake["fires_fact_quarantine"].select(F.col("objectid").alias("fire_id"), F.lit("quarantine").alias("place"),
+                                             F.lit(None).cast("bigint").alias("discovery_date_id"), F.col("_reason").alias("reason")))
+
+
+_TIMED = [("SELECT *, TIMESTAMP '2020-01-01 00:00:00' AS seen_at, 0 AS plus FROM fx",),
+          ("SELECT *, TIMESTAMP '2020-01-03 00:00:00', 1 FROM fx WHERE objectid % 2 = 0", "SELECT *, TIMESTAMP '2020-01-02 00:00:00', 5 FROM fx WHERE objectid % 2 = 0"),
+          ("SELECT *, TIMESTAMP '2020-01-02 12:00:00', 7 FROM fx WHERE objectid % 2 = 0", "SELECT *, TIMESTAMP '2020-01-04 00:00:00', 2 FROM fx WHERE objectid % 5 = 0")]
+
+
+@query("stream_newest", O.with_fx(f"""
+SELECT fire_id, CAST(fire_size AS DECIMAL(10,2)) AS fire_size, (SELECT count(*) FROM fx WHERE objectid % 2 = 0) * 2 AS n_old FROM (
+  SELECT objectid AS fire_id, fire_size + plus AS fire_size, disc_day, cont_day, row_number() OVER (PARTITION BY objectid ORDER BY seen_at DESC) AS place
+  FROM ({' UNION ALL '.join(s for batch in _TIMED for s in batch)}) u) t WHERE place = 1 AND {O.in_calendar('disc_day')} AND {O.in_calendar('cont_day')}"""))
+def stream_newest(spark, sf_dir):
+    """A stream of three batches with repeated ids, inside and across
+    batches, some late: the newest row of each id is stored, and the others
+    are counted."""
+    raw, root, src = raw_fires(spark, sf_dir), fresh_path(spark, "lake"), fresh_path(spark, "src")
+    kind = raw.schema["FIRE_SIZE"].dataType
+
+    def rows(where: str, at: str, plus: int) -> DataFrame:
+        return raw.where(where).withColumn("FIRE_SIZE", (F.col("FIRE_SIZE") + plus).cast(kind)).withColumn("SEEN_AT", F.lit(at).cast("timestamp"))
+
+    batches = ([("1 = 1", "2020-01-01", 0)], [("OBJECTID % 2 = 0", "2020-01-03", 1), ("OBJECTID % 2 = 0", "2020-01-02", 5)],
+               [("OBJECTID % 2 = 0", "2020-01-02 12:00:00", 7), ("OBJECTID % 5 = 0", "2020-01-04", 2)])
+    place = fresh_path(spark, "stream")
+    for batch in batches:
+        frames = [rows(*b) for b in batch]
+        reduce(lambda a, b: a.unionByName(b), frames).write.mode("append").parquet(src)
+        start_newest(spark, FIRES, src, frames[0].schema, root, "OBJECTID", "SEEN_AT", checkpoint_location=place).awaitTermination()
+    lake = read_lake(spark, root)
+    old = lake["fires_fact_late"].agg(F.sum("n_old")).first()[0]
+    return lake["fires_fact"].select("fire_id", "fire_size", F.lit(old).cast("bigint").alias("n_old"))
+
+
 @query("lake_refresh_weather", O.with_weather(f"""
 SELECT serialid AS weather_outlier_id, date_str AS day, type, latitude, longitude, CAST(year(date_str) AS INT) AS year
 FROM wx WHERE {O.in_calendar('date_str')}"""))
@@ -612,8 +826,9 @@ def lake_refresh_weather(spark, sf_dir):
     raw, root = _weather_raw(spark, sf_dir), fresh_path(spark, "lake")
     for rows in ("CAST(serialid AS BIGINT) % 3 < 2", "CAST(serialid AS BIGINT) % 3 > 0"):
         apply_batch(raw.where(rows), root, WEATHER)
-    f = spark.read.parquet(f"{root}/weather_fact").join(spark.read.parquet(f"{root}/weather_types"), WEATHER_TYPES.key)
-    dates = spark.read.parquet(f"{root}/dates").select(F.col(DATES_KEY).alias("weather_date_dim_id"), F.col("date_actual").alias("day"))
+    lake = read_lake(spark, root)
+    f = lake["weather_fact"].join(lake["weather_types"], WEATHER_TYPES.key)
+    dates = lake["dates"].select(F.col(DATES_KEY).alias("weather_date_dim_id"), F.col("date_actual").alias("day"))
     return f.join(dates, "weather_date_dim_id").select("weather_outlier_id", "day", "type", "latitude", "longitude", "year")
 
 
@@ -656,10 +871,40 @@ FROM (SELECT nwcg_reporting_agency, date_diff('second', CAST({O.stamp_text('disc
 GROUP BY nwcg_reporting_agency"""))
 def containment_by_agency(spark, sf_dir):
     """Time from discovery to containment on the star, per agency."""
-    fm = fire_model(spark, raw_fires(spark, sf_dir))
+    fm = fire_model(spark, raw_fires(spark, sf_dir), only=("reporters",))
     return containment_efficiency(fm.fact, dim_table(fm.dims["reporters"]))
 
 
+_ORDER_MART = CellMart("order_cells", ("o_orderstatus", "o_orderpriority"), "o_totalprice", "o_custkey")
+# what the second batch leaves: rows deleted, prices revised
+_AFTER = """SELECT nullif(o_orderstatus, 'P') AS o_orderstatus, o_orderpriority, o_custkey,
+  CAST(CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice - 1000 ELSE o_totalprice END AS DECIMAL(12,2)) AS o_totalprice
+FROM {orders} WHERE o_orderkey % 7 <> 0"""
+
+
+@query("mart_cube_delta", f"""
+SELECT o_orderstatus, o_orderpriority, count(*) AS n, CAST(sum(o_totalprice) AS DECIMAL(28,2)) AS total, max(o_totalprice) AS largest,
+  count(DISTINCT o_custkey) AS members, CAST(grouping(o_orderstatus, o_orderpriority) AS INT) AS gid
+FROM ({_AFTER.format(orders="orders")}) o GROUP BY CUBE (o_orderstatus, o_orderpriority)""")
+def mart_cube_delta(spark, sf_dir):
+    """Cells built from two thirds of the orders, then kept up to date with
+    insertions, revisions and deletions; the cube follows from the cells."""
+    orders, root = read_table(spark, sf_dir, "orders"), fresh_path(spark, "lake")
+    rows = orders.selectExpr("o_orderkey", "nullif(o_orderstatus, 'P') AS o_orderstatus", "o_orderpriority", "o_custkey",
+                             "CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice")
+    lower = "CAST(o_totalprice - 1000 AS DECIMAL(12,2))"
+    first = rows.where("o_orderkey % 3 <> 0")
+    second = rows
+    third = rows.where("o_orderkey % 7 <> 0").withColumn("o_totalprice", F.expr(f"CASE WHEN o_orderkey % 5 = 0 THEN {lower} ELSE o_totalprice END"))
+    gone = rows.where("o_orderkey % 7 = 0 OR o_orderkey % 5 = 0").withColumn("sign", F.lit(-1))
+    revised = third.where("o_orderkey % 5 = 0").withColumn("sign", F.lit(1))
+    commit_with(spark, root, lambda change: _ORDER_MART.build(change, first))
+    commit_with(spark, root, lambda change: _ORDER_MART.apply(change, rows.where("o_orderkey % 3 = 0").withColumn("sign", F.lit(1)), second))
+    at = commit_with(spark, root, lambda change: _ORDER_MART.apply(change, gone.unionByName(revised), third))
+    lake = read_lake(spark, root, at)
+    return _ORDER_MART.cube(lake["order_cells"], lake["order_cells_members"])
+
+
 def _cell_sql(col: str, size: int = 10) -> str:
     return f"CAST(floor({col} / {size}) AS BIGINT)"
 
@@ -677,9 +922,56 @@ FROM a JOIN b ON a.lat_cell = b.lat_cell AND a.lon_cell = b.lon_cell AND a.day =
 GROUP BY a.lat_cell, a.lon_cell""", [f"fx AS ({O.FX_FIRES_SQL})"]))
 def geo_day_overlay(spark, sf_dir):
     """Both facts superimposed on a grid of coordinates, day by day."""
-    fm = fire_model(spark, raw_fires(spark, sf_dir))
-    wm = weather_model(spark, _weather_raw(spark, sf_dir), FX_WEATHER_LOWER_BOUND, dates=fm.dates)
-    return coordinate_overlay(fm.fact, wm.fact, fm.dates)
+    fires, weather, dates = _facts_without_members(spark, sf_dir)
+    return coordinate_overlay(fires, weather, dates)
+
+
+_GREAT_CIRCLE = """2 * 6371.0088 * asin(least(1.0, sqrt(pow(sin(radians(w.lat - f.lat) / 2), 2)
+  + cos(radians(f.lat)) * cos(radians(w.lat)) * pow(sin(radians(w.lon - f.lon) / 2), 2))))"""
+
+
+@query("geo_distance_overlay", O.with_weather(f"""
+, f AS (SELECT objectid AS fire_id, CAST(CAST(latitude AS DECIMAL(11,8)) AS DOUBLE) AS lat, CAST(CAST(longitude AS DECIMAL(11,8)) AS DOUBLE) AS lon,
+    disc_day AS day FROM fx WHERE disc_day IS NOT NULL AND {O.in_calendar('disc_day')} AND {O.in_calendar('cont_day')}),
+w AS (SELECT TRY_CAST(latitude AS DOUBLE) AS lat, TRY_CAST(longitude AS DOUBLE) AS lon, date_str AS on_day, unnest(range(0, 4)) AS k
+  FROM wx WHERE {O.in_calendar('date_str')}),
+n AS (SELECT f.fire_id, count(*) AS n FROM f JOIN w ON f.day = w.on_day + CAST(w.k AS INT) AND w.lat IS NOT NULL AND w.lon IS NOT NULL
+    AND {_GREAT_CIRCLE} <= 150.0 GROUP BY f.fire_id)
+SELECT f.fire_id, CAST(coalesce(n, 0) AS BIGINT) AS n_outliers FROM f LEFT JOIN n USING (fire_id)
+WHERE f.lat IS NOT NULL AND f.lon IS NOT NULL""", [f"fx AS ({O.FX_FIRES_SQL})"]))
+def geo_distance_overlay(spark, sf_dir):
+    """Per fire the weather outliers within 150 km and three days before."""
+    return distance_overlay(*_facts_without_members(spark, sf_dir))
+
+
+@query("fire_asof", O.with_weather(f"""
+, own AS (SELECT fire_id, reporter_id, CAST(discovery_timestamp AS TIMESTAMP) AS found,
+    {_cell_sql('CAST(latitude AS DOUBLE)')} AS lat_cell, {_cell_sql('CAST(longitude AS DOUBLE)')} AS lon_cell FROM fires_fact),
+at_once AS (SELECT reporter_id, found, max(fire_id) AS fire_id FROM own WHERE found IS NOT NULL GROUP BY reporter_id, found),
+outliers AS (SELECT {_cell_sql('TRY_CAST(latitude AS DOUBLE)')} AS lat_cell, {_cell_sql('TRY_CAST(longitude AS DOUBLE)')} AS lon_cell,
+    date_str AS on_day, max(serialid) AS serialid FROM wx WHERE {O.in_calendar('date_str')} GROUP BY 1, 2, 3),
+timed AS (SELECT * FROM own WHERE found IS NOT NULL),
+since AS (SELECT o.*, p.fire_id AS previous_fire_id, date_diff('second', p.found, o.found) AS seconds_since
+  FROM timed o ASOF LEFT JOIN at_once p ON o.reporter_id = p.reporter_id AND o.found > p.found),
+placed AS (SELECT * FROM since WHERE lat_cell IS NOT NULL AND lon_cell IS NOT NULL),
+near AS (SELECT s.fire_id, w.serialid, date_diff('day', w.on_day, CAST(s.found AS DATE)) AS ago
+  FROM placed s ASOF JOIN outliers w ON s.lat_cell = w.lat_cell AND s.lon_cell = w.lon_cell AND CAST(s.found AS DATE) >= w.on_day)
+SELECT o.fire_id, s.previous_fire_id, s.seconds_since, CASE WHEN ago <= 7 THEN n.serialid END AS weather_outlier_id,
+  CAST(CASE WHEN ago <= 7 THEN ago END AS INT) AS days_since_outlier
+FROM own o LEFT JOIN since s USING (fire_id) LEFT JOIN near n USING (fire_id)""", [f"fx AS ({O.FX_FIRES_SQL})"] + FACT_STAR_CTES))
+def fire_asof(spark, sf_dir):
+    """Exact time between records: each fire and the one before it of its
+    reporting unit, and the last weather outlier of its cell."""
+    fm = fire_model(spark, raw_fires(spark, sf_dir), only=("reporters",))
+    wm = weather_model(spark, _weather_raw(spark, sf_dir), FX_WEATHER_LOWER_BOUND, dates=fm.dates, only=())
+    return time_between(fm.fact, wm.fact, fm.dates)
+
+
+def _facts_without_members(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Both facts with their calendar keys only, and the calendar."""
+    fm = fire_model(spark, raw_fires(spark, sf_dir), only=())
+    wm = weather_model(spark, _weather_raw(spark, sf_dir), FX_WEATHER_LOWER_BOUND, dates=fm.dates, only=())
+    return fm.fact, wm.fact, fm.dates
 
 
 @query("kmeans_cells", O.with_fx(f"""
@@ -689,4 +981,4 @@ FROM fx WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND {O.in_calendar(
 def kmeans_cells_q(spark, sf_dir):
     """Clusters of the star's coordinates: every row is in the cell of its
     nearest centre, no row is left out, and the iteration has converged."""
-    return cell_check(kmeans_cells(fire_model(spark, raw_fires(spark, sf_dir)).fact))
+    return cell_check(kmeans_cells(fire_model(spark, raw_fires(spark, sf_dir), only=()).fact))

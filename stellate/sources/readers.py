@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -45,6 +46,36 @@ def jdbc_bounds_options(column: str, lower: int, upper: int, partitions: int) ->
             "numPartitions": str(partitions)}
 
 
+def even_ranges(keys: DataFrame, column: str, n: int, accuracy: int = 10_000) -> list[str]:
+    """Up to ``n`` predicates on ``column`` that every row meets exactly one
+    of, each by about as many rows as the others whatever gaps the values
+    have: ranges cut at quantiles of ``keys`` (the table, or a sample of it),
+    NULLs with the first."""
+    if n < 1:
+        raise ValueError("n must be >= 1")
+    if keys.schema[column].dataType.simpleString() == "string":
+        raise ValueError("quantiles need a column of numbers, dates or timestamps")
+    if n == 1:
+        return ["1 = 1"]
+    at = [i / n for i in range(1, n)]
+    cuts = keys.agg(F.percentile_approx(column, at, max(accuracy, 20 * n)).alias("c")).first().c or []
+    cuts = sorted(set(cuts))
+    if not cuts:
+        return ["1 = 1"]
+    def text(v) -> str:
+        return str(v) if isinstance(v, (int, float)) or hasattr(v, "as_tuple") else f"'{v}'"
+    first = f"({column} <= {text(cuts[0])} OR {column} IS NULL)"
+    return [first, *[f"({column} > {text(a)} AND {column} <= {text(b)})" for a, b in zip(cuts, cuts[1:])], f"({column} > {text(cuts[-1])})"]
+
+
+def read_jdbc_ranges(spark: SparkSession, url: str, table: str, predicates: list[str], *, driver: str | None = None,
+                     fetchsize: int = 10000, properties: dict[str, str] | None = None) -> DataFrame:
+    """JDBC table or ``(subquery) alias`` as one partition a predicate (see
+    ``even_ranges``)."""
+    props = {"fetchsize": str(fetchsize), **({"driver": driver} if driver else {}), **(properties or {})}
+    return spark.read.jdbc(url, table, predicates=predicates, properties=props)
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, *, driver: str | None = None,
               partition_column: str | None = None, lower: int | None = None,
               upper: int | None = None, partitions: int = 1, fetchsize: int = 10000,

@@ -143,7 +143,12 @@ def fact_column(spec: FactSpec, staged: str) -> str:
 
 def without_missing_dims(spec: FactSpec, columns) -> FactSpec:
     """The fact without the dimensions whose attributes the source lacks."""
-    dims = tuple(d for d in spec.dims if set(d.attrs) <= set(columns))
+    return with_dims(spec, {d.name for d in spec.dims if set(d.attrs) <= set(columns)})
+
+
+def with_dims(spec: FactSpec, names) -> FactSpec:
+    """The fact with the keys of the named dimensions only."""
+    dims = tuple(d for d in spec.dims if d.name in names)
     gone = {d.key for d in spec.dims} - {d.key for d in dims}
     return FactSpec(spec.name, spec.roles, dims, tuple(s for s in spec.select if s[0] not in gone),
                     spec.partition_col, spec.row_id)

@@ -3,15 +3,18 @@
 New raw records arriving as files in a folder are applied one micro-batch at a
 time through ``foreachBatch``, to the same tables that the batch job writes:
 
-  * each member dimension gets the batch's unseen members appended with keys
-    after its largest (existing keys never change);
+  * the member dimensions get the batch's unseen members appended with keys
+    after their largest (existing keys never change), all in one pass;
   * the batch's facts take the place of stored facts of the same row id, and
-    all others stay, whatever years they share.
-
-Both steps give the same tables when repeated, so neither a retried batch nor
-a stream started anew, with its batch ids from 0 again, loses or doubles a
-row. One stream at a time may write a fact. Progress lives in a checkpoint
-folder on shared storage (``spark.checkpoint.dir`` by default).
+    all others stay, whatever years they share;
+  * rows of days that the calendar lacks go to the quarantine.
+
+A batch is one commit (``plans.versions``): a driver lost on the way leaves
+the version before it, and the steps give the same tables when repeated, so
+neither a retried batch nor a stream started anew, with its batch ids from 0
+again, loses or doubles a row. Several streams may write one lake: one that
+finds the tables changed applies its batch again. Progress lives in a
+checkpoint folder on shared storage (``spark.checkpoint.dir`` by default).
 """
 
 from __future__ import annotations
@@ -22,11 +25,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..operators.facts import build_fact
-from ..plans.lake import merge_fact, refresh_dates, refresh_dimensions
 from ..plans.stage import stage_fires, stage_weather
+from ..plans.upkeep import apply_staged
+from ..plans.versions import Version, commit_with
 from ..session import checkpoint_dir
-from ..specs import FIRES_FACT, WEATHER_FACT, FactSpec, fact_column, without_missing_dims
+from ..specs import FIRES_FACT, WEATHER_FACT, FactSpec
 
 
 @dataclass(frozen=True)
@@ -42,15 +45,12 @@ FIRES = Feed("fire-refresh", stage_fires, FIRES_FACT)
 WEATHER = Feed("weather-refresh", stage_weather, WEATHER_FACT)
 
 
-def apply_batch(batch: DataFrame, root: str, feed: Feed) -> None:
-    """Raw rows of one batch -> refreshed dimensions and merged facts. Of rows
-    that repeat a row id inside the batch all are kept, as in the source."""
-    spark = batch.sparkSession
+def apply_batch(batch: DataFrame, root: str, feed: Feed, name: str = "") -> Version:
+    """Raw rows of one batch -> refreshed dimensions, merged facts and
+    quarantine, as one version. Of rows that repeat a row id inside the batch
+    all are kept, as in the source. ``name`` marks quarantined rows."""
     staged = feed.stage(batch)
-    spec = without_missing_dims(feed.fact, staged.columns)
-    dims = refresh_dimensions(spark, staged, spec.dims, root)
-    fact = build_fact(staged, spec, dims, refresh_dates(spark, root))
-    merge_fact(fact, f"{root}/{spec.name}", fact_column(spec, spec.row_id[0]), spec.partition_col)
+    return commit_with(batch.sparkSession, root, lambda change: apply_staged(change, staged, feed.fact, name))
 
 
 def start_refresh(spark: SparkSession, feed: Feed, source_dir: str, schema: StructType, root: str,
@@ -61,7 +61,7 @@ def start_refresh(spark: SparkSession, feed: Feed, source_dir: str, schema: Stru
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/streams/{feed.name}"
-    writer = (reader.parquet(source_dir).writeStream.foreachBatch(lambda df, _: apply_batch(df, root, feed))
+    writer = (reader.parquet(source_dir).writeStream.foreachBatch(lambda df, n: apply_batch(df, root, feed, f"{feed.name}-{n}") and None)
                     .option("checkpointLocation", location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -1,5 +1,6 @@
 from stellate.plans.fixtures import FX_WEATHER_LOWER_BOUND, raw_fires, raw_weather
 from stellate.plans.job import build_lake
+from stellate.plans.versions import read_version
 from stellate.session import fresh_path
 
 from conftest import SF_SMOKE
@@ -22,9 +23,9 @@ def test_rerun_keeps_keys_and_other_years(spark):
     assert all(x["duplicate_keys"] == 0 for x in b.reports["duplicate_keys"].collect())
     whole = build_lake(spark, raw_f, raw_w, fresh_path(spark, "whole"), weather_lower_bound=FX_WEATHER_LOWER_BOUND)
     for table in ("fires_fact", "weather_fact"):
-        assert spark.read.parquet(f"{root}/{table}").count() == spark.read.parquet(f"{whole.root}/{table}").count()
+        assert read_version(spark, root, table).count() == read_version(spark, whole.root, table).count()
     def places(r):
-        f = spark.read.parquet(f"{r}/fires_fact").join(spark.read.parquet(f"{r}/locations"), "location_id")
+        f = read_version(spark, r, "fires_fact").join(read_version(spark, r, "locations"), "location_id")
         return {tuple(x) for x in f.select("fire_id", "state", "fips_name").collect()}
     assert places(root) == places(whole.root)
 

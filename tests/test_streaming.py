@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from stellate.operators.quality import duplicate_key_report, orphan_report
 from stellate.plans.fixtures import FX_WEATHER_LOWER_BOUND, raw_fires, raw_weather
 from stellate.plans.job import KEYS, build_lake, foreign_keys
+from stellate.plans.versions import read_version
 from stellate.session import fresh_path
 from stellate.specs import FIRE_DIMS, FIRES_FACT, WEATHER_FACT
 from stellate.streaming import FIRES, apply_batch, start_fire_refresh, start_weather_refresh
@@ -20,7 +21,7 @@ def plain_session(spark):
 
 
 def _lake(spark, root, names):
-    return {n: spark.read.parquet(f"{root}/{n}") for n in names}
+    return {n: read_version(spark, root, n) for n in names}
 
 
 def _check(spark, root):
@@ -35,9 +36,9 @@ def _check(spark, root):
 
 def _members(spark, root):
     """Facts by id, each with the text attributes its keys lead to."""
-    f = spark.read.parquet(f"{root}/fires_fact")
+    f = read_version(spark, root, "fires_fact")
     for d in FIRE_DIMS:
-        f = f.join(spark.read.parquet(f"{root}/{d.name}"), d.key)
+        f = f.join(read_version(spark, root, d.name), d.key)
     return {r["fire_id"]: tuple(r[a] for d in FIRE_DIMS for a in d.attrs) for r in f.collect()}
 
 
@@ -51,7 +52,7 @@ def test_streams_started_anew_lose_no_facts(spark):
         raw.where(rows).write.parquet(f"{src}/part={part}")
         start_fire_refresh(spark, f"{src}/part={part}", raw.schema, root,
                            checkpoint_location=fresh_path(spark, "stream-ck")).awaitTermination()
-        now = {d.name: {tuple(r) for r in spark.read.parquet(f"{root}/{d.name}").collect()} for d in FIRE_DIMS}
+        now = {d.name: {tuple(r) for r in read_version(spark, root, d.name).collect()} for d in FIRE_DIMS}
         assert all(first[n] <= now[n] for n in first)          # old keys unchanged
         first = now
     whole = fresh_path(spark, "whole")
@@ -64,20 +65,20 @@ def test_stream_into_a_lake_that_the_job_built(spark):
     raw, weather = raw_fires(spark, SF_SMOKE), raw_weather(spark, SF_SMOKE).drop("id", "station_name")
     src, root = fresh_path(spark, "src"), fresh_path(spark, "job-lake")
     build_lake(spark, raw.where("FIRE_YEAR <= 1998"), weather, root, weather_lower_bound=FX_WEATHER_LOWER_BOUND)
-    n = spark.read.parquet(f"{root}/fires_fact").count()
+    n = read_version(spark, root, "fires_fact").count()
     raw.where("FIRE_YEAR >= 1998").write.parquet(src)
     start_fire_refresh(spark, src, raw.schema, root, checkpoint_location=fresh_path(spark, "ck")).awaitTermination()
     fact = _check(spark, root)
     whole = fresh_path(spark, "whole")
     apply_batch(raw, whole, FIRES)
-    assert n < fact.count() == spark.read.parquet(f"{whole}/fires_fact").count()
+    assert n < fact.count() == read_version(spark, whole, "fires_fact").count()
     assert _members(spark, root) == _members(spark, whole)
 
 
 def test_a_row_that_changes_its_year_is_stored_once(spark):
     raw, root = raw_fires(spark, SF_SMOKE), fresh_path(spark, "moved")
     apply_batch(raw.where("FIRE_YEAR IN (1996, 1997)"), root, FIRES)
-    n = spark.read.parquet(f"{root}/fires_fact").count()
+    n = read_version(spark, root, "fires_fact").count()
     kind = raw.schema["FIRE_YEAR"].dataType
     apply_batch(raw.where("FIRE_YEAR = 1996").withColumn("FIRE_YEAR", F.lit(1999).cast(kind)), root, FIRES)
     fact = _check(spark, root)
