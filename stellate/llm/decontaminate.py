@@ -1,14 +1,17 @@
 """Benchmark decontamination by word windows.
 
-The windows of all benchmark items are hashed and broadcast as a sorted array
-with, for each, its words' bytes; a document's windows are looked up by hash
-and every hit is verified on the bytes. Words are runs of digits, letters and
-non-ASCII bytes after lower-casing A-Z, which in UTF-8 can be read off the
-bytes. An item of fewer words than a window, but not none, is one window.
-
-If the benchmark exceeds ``BROADCAST_BYTES`` (checked on the data) its items
-are taken in groups below that size, one pass over the documents each; what a
-pass finds travels with the document.
+The windows of all benchmark items are hashed and broadcast as sorted arrays
+with, for each, where its words lie in the items' text; a document's windows
+are looked up by hash and every hit is verified on the bytes. Words are runs
+of digits, letters and non-ASCII bytes after lower-casing A-Z, which in UTF-8
+can be read off the bytes. An item of fewer words than a window, but not none,
+is one window.
+
+The items' words are normalised on Spark, where very long items are cut into
+pieces that share the words of a window. If what is to be broadcast, text and
+arrays, exceeds ``BROADCAST_BYTES`` (measured) the pieces are taken in groups
+below that size, one pass over the documents each; what a pass finds travels
+with the document.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from .common import byte_runs, powers, run_hashes, stored, text_slices, unused_n
 
 WINDOW = 13
 BROADCAST_BYTES = 32 << 20
+PIECE_WORDS = 100_000
+WORD_BYTES = 32          # arrays for a word, further to its text
 SHARE = 20   # contaminated: SHARE times the hit words reach the number of words
 _WORD_BASE = 0xD6E8FEB86659FD93
 
@@ -61,40 +66,118 @@ class WordTexts:
         return b" ".join(self.bytes[a:b].tobytes() for a, b in zip(self.begin[at:at + size], self.end[at:at + size]))
 
 
-def _benchmark_windows(rows: list[tuple[str, str]], window: int) -> dict[int, tuple[np.ndarray, list]]:
-    """By window size: the sorted hashes, and for each its (phrase, items)."""
-    found: dict[int, dict[int, dict[bytes, set[str]]]] = {}
-    for item, text in rows:
-        data = np.frombuffer((text or "").encode(), np.uint8)
-        words = WordTexts(data, np.array([0, len(data)]))
-        size = min(window, len(words.begin))
-        if size:
-            for at, value in zip(*words.windows(size)):
-                found.setdefault(size, {}).setdefault(int(value), {}).setdefault(
-                    words.phrase(int(at), size), set()).add(item)
+    def joined(self) -> tuple[np.ndarray, np.ndarray]:
+        """The words with a space after each, and where each begins."""
+        size = self.end - self.begin + 1
+        at = np.cumsum(size) - size
+        total = int(size.sum())
+        source = np.arange(total) + np.repeat(self.begin - at, size)
+        out = np.full(total, 0x20, np.uint8)
+        inside = np.ones(total, bool)
+        inside[at + size - 1] = False
+        out[inside] = self.bytes[source[inside]]
+        return out, at
+
+
+def _normalised(window: int):
+    """(item_id, words, n): pieces of items, with a space between words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch):
+                words = WordTexts(*utf8(part))
+                text, at = words.joined()
+                at = np.append(at, len(text))
+                rows = []
+                for item, (a, b) in zip(part.column("item_id").to_pylist(), zip(words.first.tolist(), words.first[1:].tolist())):
+                    for begin in range(a, max(b - window + 1, a + 1) if b > a else a, PIECE_WORDS):
+                        end = min(b, begin + PIECE_WORDS + window - 1)
+                        rows.append((item, text[at[begin]:at[end] - 1].tobytes(), end - begin))
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary()),
+                                                  pa.array([r[2] for r in rows], pa.int32())], ["item_id", "words", "n"])
+
+    return run
+
+
+class Windows:
+    """The windows of one size: sorted hashes, the bytes of each, and the
+    items (numbers) that have it. Equal hashes of different bytes lie side by
+    side. An item without an id is no item, but its windows count."""
+
+    def __init__(self, text: np.ndarray, hashes: np.ndarray, begin: np.ndarray, end: np.ndarray, item: np.ndarray):
+        order = np.lexsort((item, hashes))
+        hashes, begin, end, item = hashes[order], begin[order], end[order], item[order]
+        self.text = text
+        edges = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
+        sizes = np.diff(np.append(edges, len(hashes)))
+        first, owners, at = [], [], [0]
+        for e, n in zip(edges.tolist(), sizes.tolist()):
+            by_bytes: dict[bytes, list[int]] = {}
+            where: dict[bytes, int] = {}
+            if n == 1:
+                first.append(e)
+                owners.append([int(item[e])] if item[e] >= 0 else [])
+                continue
+            for i in range(e, e + n):
+                phrase = text[begin[i]:end[i]].tobytes()
+                where.setdefault(phrase, i)
+                own = by_bytes.setdefault(phrase, [])
+                if item[i] >= 0 and (not own or own[-1] != item[i]):
+                    own.append(int(item[i]))
+            for phrase, i in where.items():
+                first.append(i)
+                owners.append(by_bytes[phrase])
+        keep = np.array(first, np.int64)
+        self.keys, self.begin, self.end = hashes[keep], begin[keep], end[keep]
+        at = np.cumsum([0, *map(len, owners)])
+        self.at, self.owners = at, np.array([o for own in owners for o in own], np.int32)
+
+    def find(self, hash_at: int, phrase: bytes) -> np.ndarray | None:
+        """Items of the window of these bytes, from the first place of its
+        hash; None if there is no such window."""
+        i = hash_at
+        while i < len(self.keys) and self.keys[i] == self.keys[hash_at]:
+            if self.text[self.begin[i]:self.end[i]].tobytes() == phrase:
+                return self.owners[self.at[i]:self.at[i + 1]]
+            i += 1
+        return None
+
+
+def benchmark_windows(rows: list[tuple[str | None, bytes]], window: int) -> tuple[list[str], dict[int, Windows]]:
+    """The items' ids, and by size the windows of normalised pieces."""
+    names = sorted({r[0] for r in rows if r[0] is not None})
+    number = {name: i for i, name in enumerate(names)}
+    data = np.frombuffer(b"".join(r[1] for r in rows), np.uint8)
+    cuts = np.cumsum([0, *(len(r[1]) for r in rows)])
+    words = WordTexts(data, cuts)
+    item = np.array([number.get(r[0], -1) for r in rows], np.int64)
+    sizes = np.minimum(np.diff(words.first), window)
+    of_word = np.repeat(np.arange(len(rows)), np.diff(words.first))
     out = {}
-    for size, by_hash in found.items():
-        keys = np.array(sorted(by_hash), np.uint64)
-        out[size] = keys, [by_hash[int(k)] for k in keys]
-    return out
+    for size in np.unique(sizes[sizes > 0]).tolist():
+        at, hashes = words.windows(size)
+        own = sizes[of_word[at]] == size
+        at, hashes = at[own], hashes[own]
+        out[size] = Windows(words.bytes, hashes, words.begin[at], words.end[at + size - 1], item[of_word[at]])
+    return names, out
 
 
-def _search(words: WordTexts, windows: dict) -> tuple[np.ndarray, list[set[str]]]:
+def _search(words: WordTexts, benchmark: tuple[list[str], dict[int, Windows]]) -> tuple[np.ndarray, list[set[str]]]:
     """Which words lie in an occurrence, and the items found in each text."""
+    names, windows = benchmark
     hit = np.zeros(len(words.begin) + 1, np.int64)
-    items: list[set[str]] = [set() for _ in range(len(words.first) - 1)]
+    items: list[set[int]] = [set() for _ in range(len(words.first) - 1)]
     text = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
-    for size, (keys, phrases) in windows.items():
+    for size, known in windows.items():
         at, values = words.windows(size)
-        place = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
-        for i in np.flatnonzero(keys[place] == values).tolist():
+        place = np.minimum(np.searchsorted(known.keys, values), len(known.keys) - 1)
+        for i in np.flatnonzero(known.keys[place] == values).tolist():
             start = int(at[i])
-            owners = phrases[place[i]].get(words.phrase(start, size))   # verified on the bytes
-            if owners:
+            owners = known.find(int(place[i]), words.phrase(start, size))   # verified on the bytes
+            if owners is not None:
                 hit[start] += 1
                 hit[start + size] -= 1
-                items[text[start]] |= owners
-    return np.cumsum(hit[:-1]) > 0, items
+                items[text[start]].update(owners.tolist())
+    return np.cumsum(hit[:-1]) > 0, [{names[i] for i in found} for found in items]
 
 
 def _marked(docs: DataFrame, windows, names: tuple[str, str, str]) -> DataFrame:
@@ -131,14 +214,14 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     sorted ids of the items with such an occurrence."""
     spark = docs.sparkSession
     names = tuple(unused_name(docs, n) for n in ("n_words", "hits", "items"))
-    items = benchmark.where("text is not null and item_id is not null").select(
-        F.col("item_id").cast("string").alias("item_id"), "text")
-    size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    items = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text")
+    pieces = stored(items.mapInArrow(_normalised(window), "item_id string, words binary, n int").distinct(), "benchmark")
+    size = pieces.agg(F.sum(F.octet_length("words") + WORD_BYTES * F.col("n") + 64)).first()[0] or 0
     groups = max(1, -(-size // broadcast_bytes))
     for g in range(groups):
-        part = items if groups == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g)
-        windows = spark.sparkContext.broadcast(_benchmark_windows([(r.item_id, r.text) for r in part.collect()], window))
-        docs = _marked(docs, windows, names)
+        part = pieces if groups == 1 else pieces.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(groups)) == g)
+        found = spark.sparkContext.broadcast(benchmark_windows([(r.item_id, bytes(r.words)) for r in part.collect()], window))
+        docs = _marked(docs, found, names)
         if g + 1 < groups:   # one group's windows in memory at a time
             docs = stored(docs, "contamination")
     return docs, names
@@ -155,9 +238,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     their places) and of items found, a digest of those, and whether it is
     contaminated: some hit, and share * hits >= words.
 
-    Null or wordless texts have no words and are clean; null items and item
-    ids are ignored; each row of a repeated doc_id is judged by itself; an
-    empty benchmark leaves every document clean; extra columns are ignored.
+    Null or wordless texts have no words and are clean; items of a null text
+    have no windows, and those of a null id are searched for but not listed;
+    each row of a repeated doc_id is judged by itself; an empty benchmark
+    leaves every document clean; an empty table gives no rows; extra columns
+    are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     marked, names = mark_contamination(rows, benchmark, window, broadcast_bytes)
@@ -170,6 +255,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE,
                         broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """The rows of ``docs``, with all their columns, but for contaminated ones."""
+    """The rows of ``docs``, with all their columns, but for contaminated
+    ones; those of null texts stay, and an empty table gives no rows."""
     marked, names = mark_contamination(docs, benchmark, window, broadcast_bytes)
     return marked.where(~_contaminated(names, share)).select(*docs.columns)

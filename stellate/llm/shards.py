@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import run_folder
+from .common import run_folder, stored
 
 SEED = 17
 BUCKET_BYTES = 16 << 20   # of a bucket, which one task holds
@@ -81,8 +82,8 @@ def write_shards(docs: DataFrame, folder: str, shards: int, seed: int = SEED,
     but its rows spread over the buckets, so that no key makes a bucket large.
     A null text stays null and has size 1.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
-                       (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"))
+    rows = _settled(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")).select(
+        "doc_id", "text", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"))
     rows = rows.withColumn("shard", shard_of(F.col("doc_id"), shards, seed))
     sizes = {r.shard: r.size for r in rows.groupBy("shard").agg(F.sum("size").alias("size")).collect()}
     buckets = [max(1, math.ceil(sizes.get(s, 0) / bucket_bytes)) for s in range(shards)]
@@ -100,6 +101,27 @@ def write_shards(docs: DataFrame, folder: str, shards: int, seed: int = SEED,
         "doc_id bigint, text string, size bigint, bucket int, place bigint, shard int").parquet(folder)
 
 
+def rows_before(counts: DataFrame, block: int = 1_024) -> DataFrame:
+    """(shard, bucket, before) from the rows of each bucket: how many the
+    shard has in smaller ones. Summed inside blocks of buckets and over the
+    blocks, so that no task holds more rows than a shard has blocks."""
+    blocked = counts.withColumn("_block", F.floor(F.col("bucket") / block))
+    sums = blocked.groupBy("shard", "_block").agg(F.sum("n").alias("_n"))
+    ahead = Window.partitionBy("shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("shard", "_block").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ahead_of = sums.select("shard", "_block", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+    own = blocked.withColumn("_own", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    return own.join(ahead_of, ["shard", "_block"]).select("shard", "bucket", (F.col("_own") + F.col("_ahead")).cast("bigint").alias("before"))
+
+
+def _settled(docs: DataFrame) -> DataFrame:
+    """``docs``, written first if they come out of a shuffle: a task that is
+    run again could then meet its rows in another order, and number them
+    otherwise."""
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    return stored(docs, "settled") if "Exchange" in plan else docs
+
+
 def shard_documents(docs: DataFrame, shards: int = 16, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES,
                     folder: str | None = None) -> DataFrame:
     """Write shuffled shards and return for each row its shard, its slot in
@@ -107,12 +129,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, seed: int = SEED, bucket_
     gives no rows; other columns are ignored."""
     written = write_shards(docs, folder or run_folder(docs.sparkSession, "shards"), shards, seed, bucket_bytes)
     counts = written.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    # one row a bucket; a shard's buckets are summed as one array
-    before = (counts.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("all"))
-              .select("shard", F.explode("all").alias("b"), "all")
-              .select("shard", F.col("b.bucket").alias("bucket"), F.aggregate(
-                  F.filter("all", lambda x: x["bucket"] < F.col("b.bucket")), F.lit(0).cast("bigint"),
-                  lambda acc, x: acc + x["n"]).alias("before")))
+    before = rows_before(counts)
     digest = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32")
     rows = written.select("doc_id", "size", digest, "shard", "bucket", "place")   # no text goes into the join
     return rows.join(before, ["shard", "bucket"]).select(

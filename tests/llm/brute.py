@@ -64,8 +64,8 @@ def contamination(pairs, items, window=13, share=20):
     for item, text in items:
         w = benchmark_words(text)
         n = min(window, len(w))
-        for k in range(len(w) - n + 1 if n and item is not None else 0):
-            windows.setdefault(tuple(w[k:k + n]), set()).add(str(item))
+        for k in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[k:k + n]), set()).update([] if item is None else [str(item)])
     out = []
     for d, t in pairs:
         w, hit, found = benchmark_words(t), set(), set()

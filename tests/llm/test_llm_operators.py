@@ -3,12 +3,15 @@ small tables."""
 
 import hashlib
 import random
-import re
+import struct
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import xxhash
 from brute import (AWKWARD, SCHEMA, components, contamination, frame, line_copies, line_report, near_copies, order, removed_bytes, sha, simhash,
                    text_hash)
 from pyspark.sql import functions as F
@@ -105,6 +108,42 @@ def test_contamination(spark, bound):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted((w[0] for w in want if not w[5]), key=repr)
 
 
+def test_windows_of_items_without_an_id(spark):
+    items = spark.createDataFrame([(None, "one two"), ("x", None), ("y", "!")], "item_id string, text string")
+    row = decontaminate.find_contamination(frame(spark, [(1, "one two three"), (2, "two one")]), items).orderBy("doc_id").collect()
+    assert [(r.n_hit, r.n_items, r.contaminated) for r in row] == [(2, 0, True), (0, 0, False)]
+
+
+@pytest.mark.parametrize("piece", [5, 40])
+def test_long_items_in_pieces(spark, piece, monkeypatch):
+    """Pieces share the words of a window, so that none is lost between them."""
+    rnd = random.Random(6)
+    words = [f"w{rnd.randrange(40)}" for _ in range(300)]
+    items = [("long", " ".join(words)), ("again", " , ".join(words[100:160])), ("short", "w1 w2"), (None, " ".join(words[50:90]))]
+    batch = pa.RecordBatch.from_pydict({"item_id": [i for i, _ in items], "text": [t for _, t in items]}, pa.schema([("item_id", pa.string()), ("text", pa.string())]))
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", piece)
+    pieces = [r for b in decontaminate._normalised(13)([batch]) for r in b.to_pylist()]
+    assert len(pieces) > 8 and max(r["n"] for r in pieces) <= piece + 12
+    found = decontaminate.benchmark_windows([(r["item_id"], r["words"]) for r in pieces], 13)
+    texts = [" ".join(words[i:i + 20]) for i in range(0, 280, 3)] + ["w1 w2 w1 w2", "w2 w1"]
+    docs = list(enumerate(texts))
+    data = "".join(texts).encode()
+    cuts = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    hit, ids = decontaminate._search(decontaminate.WordTexts(np.frombuffer(data, np.uint8), cuts), found)
+    first = decontaminate.WordTexts(np.frombuffer(data, np.uint8), cuts).first
+    want = {w[0]: w for w in contamination(docs, items)}
+    for d, _ in docs:
+        assert int(hit[first[d]:first[d + 1]].sum()) == want[d][2] and sha(",".join(sorted(ids[d]))) == want[d][4]
+
+
+def test_equal_hashes_of_different_words():
+    text = np.frombuffer(b"a b c d", np.uint8)
+    at = np.array([0, 4, 0, 4])
+    found = decontaminate.Windows(text, np.array([7, 7, 7, 9], np.uint64), at, at + 3, np.array([0, 1, 2, 3]))
+    assert found.keys.tolist() == [7, 7, 9]
+    assert found.find(0, b"a b").tolist() == [0, 2] and found.find(0, b"c d").tolist() == [1] and found.find(0, b"x") is None
+
+
 def test_contamination_small(spark, small):
     items = spark.read.parquet(f"{SF_SMOKE}/benchmark.parquet")
     df = decontaminate.find_contamination(spark.read.parquet(f"{SF_SMOKE}/documents.parquet"), items)
@@ -171,6 +210,45 @@ def test_shards(spark):
     assert all(again[r.doc_id, r.text_crc32] == r.shard for r in rows)
 
 
+def plain_shard(key, n, seed=shards.SEED):
+    """Highest of a chained 64-bit hash of seed, shard and key; the lower shard on a tie."""
+    best = None
+    for s in range(n):
+        h = 42
+        for raw in (struct.pack("<i", seed), struct.pack("<i", s), *([] if key is None else [struct.pack("<q", key)])):
+            h = xxhash.xxh64_intdigest(raw, h)
+        h -= (1 << 64) if h >> 63 else 0
+        best = max(best, (h, -s)) if best else (h, -s)
+    return -best[1]
+
+
+def test_shards_follow_the_law(spark):
+    many = AWKWARD + [(i * 37 - 500, f"text {i}") for i in range(200)]
+    rows = shards.shard_documents(frame(spark, many), bucket_bytes=2000).collect()
+    assert sorted(((r.doc_id, r.shard, r.grown_shard) for r in rows), key=repr) == sorted(
+        ((d, plain_shard(d, 16), plain_shard(d, 17)) for d, _ in many), key=repr)
+
+
+def test_slots_of_very_many_buckets(spark):
+    counts = spark.range(40_000).select((F.col("id") % 2).cast("int").alias("shard"), F.floor(F.col("id") / 2).cast("int").alias("bucket"), (F.col("id") % 7).alias("n"))
+    began = time.time()
+    got_rows = {(r.shard, r.bucket): r.before for r in shards.rows_before(counts).collect()}
+    assert time.time() - began < 30 and len(got_rows) == 40_000
+    for shard in (0, 1):
+        total = 0
+        for bucket in range(20_000):
+            assert got_rows[shard, bucket] == total
+            total += (2 * bucket + shard) % 7
+
+
+def test_shards_of_a_shuffled_input_are_written_first(spark):
+    docs = frame(spark).groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("n"))
+    settled = shards._settled(docs)
+    assert "Exchange" not in settled._jdf.queryExecution().executedPlan().toString() and settled.count() == docs.count()
+    plain = spark.read.parquet(f"{SF_SMOKE}/documents.parquet")
+    assert shards._settled(plain) is plain
+
+
 def test_fisher_yates_is_a_uniform_order():
     assert sorted(shards.fisher_yates(50, np.random.default_rng(1))) == list(range(50))
     assert shards.fisher_yates(0, np.random.default_rng(1)).tolist() == []
