@@ -26,11 +26,12 @@ from pyspark.sql.window import Window
 from .common import run_folder, stored
 
 SCALE = 256
-REFERENCES = 24
+REFERENCES = 16
 SAMPLE = 2_048            # rows that the references are chosen from
 BLOCK_BYTES = 8 << 20     # vectors of the anchors that are broadcast at once
 PAIRS = 1 << 18           # (anchor, row) pairs bounded at once
 ROWS = 2_048
+ROUNDS = 8               # of k-means for the references
 SLACK = 4e-6              # radians; far above the rounding of float32 angles and of arccos
 _EXACT = float(1 << 53)
 _LOW = -(1 << 63)
@@ -48,8 +49,8 @@ def _angles(v: np.ndarray, norms: np.ndarray, references: np.ndarray) -> np.ndar
 
 
 def _references(rows: DataFrame, k: int) -> dict[int, np.ndarray]:
-    """By dimension, up to ``k`` directions far from each other, chosen from
-    the rows of smallest hash."""
+    """By dimension, up to ``k`` directions: middles of the groups that
+    spherical k-means finds among the rows of smallest hash."""
     sample = rows.select("v").where(F.size("v") > 0).withColumn("h", F.xxhash64("v")).orderBy("h").limit(SAMPLE).collect()
     found: dict[int, np.ndarray] = {}
     for dim in {len(r.v) for r in sample}:
@@ -58,11 +59,15 @@ def _references(rows: DataFrame, k: int) -> dict[int, np.ndarray]:
         if not len(unit):
             continue
         unit /= np.linalg.norm(unit, axis=1)[:, None]
-        chosen, near = [0], unit @ unit[0]
-        while len(chosen) < min(k, len(unit)):
-            chosen.append(int(np.argmin(near)))
-            near = np.maximum(near, unit @ unit[chosen[-1]])
-        found[dim] = unit[chosen]
+        middle = unit[np.linspace(0, len(unit) - 1, min(k, len(unit))).astype(int)]
+        for _ in range(ROUNDS):
+            near = np.argmax(unit @ middle.T, 1)
+            sums = np.zeros_like(middle)
+            np.add.at(sums, near, unit)
+            size = np.linalg.norm(sums, axis=1)
+            # a group whose rows cancel out keeps its direction
+            middle = np.where((size > 1e-9)[:, None], sums / np.where(size > 1e-9, size, 1.0)[:, None], middle)
+        found[dim] = middle
     return found
 
 

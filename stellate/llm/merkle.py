@@ -104,11 +104,14 @@ class Bucket:
     end: int
 
     @classmethod
-    def climb(cls, low: Sequence[int], digests: Sequence[str], end: int, only: bool) -> Bucket:
-        """``only``: the bucket is the whole tree, which ends at one node;
-        others climb all BITS levels, as nodes are left beside them."""
-        levels = [(list(low), list(digests))]
-        while len(levels[-1][0]) > 1 or not only and len(levels) <= BITS:
+    def climb(cls, nodes: pa.Table, bits: int) -> Bucket:
+        """A bucket that is the whole tree, the first unless it is full, ends
+        at one node; others climb all their levels, as nodes are left beside
+        them."""
+        low, digests = nodes.column("low").to_pylist(), nodes.column("digest").to_pylist()
+        only = low[0] == 0 and len(low) < 1 << bits
+        levels, end = [(low, digests)], nodes.column("high")[-1].as_py()
+        while len(levels[-1][0]) > 1 or not only and len(levels) <= bits:
             low, own = levels[-1]
             levels.append((low[::2], [digest("".join(own[i:i + 2])) for i in range(0, len(own), 2)]))
         return cls(levels, end)
@@ -144,12 +147,6 @@ def _in_order(table: pa.Table) -> pa.Table:
     return table.combine_chunks().sort_by("low")
 
 
-def _only(low: Sequence[int], width: int) -> bool:
-    """Whether nodes from a bucket on their own are the whole tree: the first
-    bucket, unless it is full."""
-    return low[0] == 0 and len(low) < width
-
-
 # Tiers -----------------------------------------------------------------------
 
 def _bucketed(nodes: DataFrame, tier: int, bits: int) -> DataFrame:
@@ -157,28 +154,31 @@ def _bucketed(nodes: DataFrame, tier: int, bits: int) -> DataFrame:
     return nodes.withColumn("bucket", F.shiftright("low", bits * (tier + 1)))
 
 
-def _tops(table: pa.Table) -> pa.Table:
-    t = _in_order(table)
-    low = t.column("low").to_pylist()
-    end = t.column("high")[-1].as_py()
-    found = Bucket.climb(low, t.column("digest").to_pylist(), end, _only(low, 1 << BITS))
-    return pa.table({"tree": t.column("tree").slice(0, 1), "low": pa.array(low[:1], pa.int64()), "high": pa.array([end], pa.int64()),
-                     "digest": [found.top()]})
+def _tops(bits: int):
+    def tops(nodes: pa.Table) -> pa.Table:
+        t = _in_order(nodes)
+        found = Bucket.climb(t, bits)
+        return pa.table({"tree": t.column("tree").slice(0, 1), "low": t.column("low").slice(0, 1), "high": pa.array([found.end], pa.int64()),
+                         "digest": [found.top()]})
+
+    return tops
 
 
 NODE = "tree string, low bigint, high bigint, digest string"
 PATH = "tree string, low bigint, path array<string>, subroot string"
 
 
-def _paths(nodes: pa.Table, above: pa.Table) -> pa.Table:
+def _paths(bits: int):
     """Paths of a tier's nodes: inside their bucket, then that of its top."""
-    t = _in_order(nodes)
-    low = t.column("low").to_pylist()
-    found = Bucket.climb(low, t.column("digest").to_pylist(), t.column("high")[-1].as_py(), _only(low, 1 << BITS))
-    rest, subroot = above.column("path")[0].as_py(), above.column("subroot")[0].as_py()
-    return pa.table({"tree": t.column("tree"), "low": t.column("low"),
-                     "path": pa.array([found.siblings(k) + rest for k in range(len(low))], pa.list_(pa.string())),
-                     "subroot": pa.array([subroot] * len(low), pa.string())})
+    def paths(nodes: pa.Table, above: pa.Table) -> pa.Table:
+        t = _in_order(nodes)
+        found = Bucket.climb(t, bits)
+        rest, subroot = above.column("path")[0].as_py(), above.column("subroot")[0].as_py()
+        return pa.table({"tree": t.column("tree"), "low": t.column("low"),
+                         "path": pa.array([found.siblings(k) + rest for k in range(t.num_rows)], pa.list_(pa.string())),
+                         "subroot": pa.array([subroot] * t.num_rows, pa.string())})
+
+    return paths
 
 
 @dataclass
@@ -195,7 +195,7 @@ class Forest:
         while True:
             tier = len(tiers) - 1
             climbed = stored(_bucketed(tiers[-1].select("tree", "low", "high", "digest"), tier, BITS)
-                             .groupBy("tree", "bucket").applyInArrow(_tops, NODE), f"tier{tier + 1}")
+                             .groupBy("tree", "bucket").applyInArrow(_tops(BITS), NODE), f"tier{tier + 1}")
             if climbed.where("low > 0").isEmpty():
                 return cls(tiers, climbed)
             tiers.append(climbed)
@@ -205,7 +205,7 @@ class Forest:
         paths = above
         for tier in range(len(self.tiers) - 1, 0, -1):
             paths = stored(_bucketed(self.tiers[tier], tier, BITS).groupBy("tree", "bucket")
-                           .cogroup(_bucketed(paths, tier, BITS).groupBy("tree", "bucket")).applyInArrow(_paths, PATH), f"paths{tier}")
+                           .cogroup(_bucketed(paths, tier, BITS).groupBy("tree", "bucket")).applyInArrow(_paths(BITS), PATH), f"paths{tier}")
         return paths
 
 
@@ -213,15 +213,13 @@ RESULT = ("doc_id bigint, leaf string, subroot string, root string, proof_sha256
           "tree string, low bigint, siblings array<string>")
 
 
-def _proofs(root: str):
+def _proofs(root: str, bits: int):
     def prove(leaves: pa.Table, above: pa.Table) -> pa.Table:
-        t = _in_order(leaves)
-        low, own = t.column("low").to_pylist(), t.column("digest").to_pylist()
-        found = Bucket.climb(low, own, t.column("high")[-1].as_py(), _only(low, 1 << BITS))
+        t, n = _in_order(leaves), leaves.num_rows
+        found = Bucket.climb(t, bits)
         rest, subroot = above.column("path")[0].as_py(), above.column("subroot")[0].as_py()
-        paths = [found.siblings(k) + rest for k in range(len(low))]
-        folded = [fold(sent or leaf, p) for sent, leaf, p in zip(t.column("sent").to_pylist(), own, paths)]
-        n = len(low)
+        paths = [found.siblings(k) + rest for k in range(n)]
+        folded = [fold(sent or leaf, p) for sent, leaf, p in zip(t.column("sent").to_pylist(), t.column("digest").to_pylist(), paths)]
         return pa.table({
             "doc_id": t.column("doc_id"), "leaf": t.column("digest"), "subroot": pa.array([subroot] * n, pa.string()),
             "root": pa.array([root] * n, pa.string()),
@@ -279,11 +277,11 @@ def prove(manifest: Manifest) -> DataFrame:
     forest, trees = manifest.top, manifest.trees
     # the subroots' paths in the tree above; each tree's buckets then carry them down
     of_roots = (_bucketed(forest.tiers[0].select("tree", "low", "high", "digest"), 0, BITS).groupBy("tree", "bucket")
-                .cogroup(_bucketed(forest.down(nothing), 0, BITS).groupBy("tree", "bucket")).applyInArrow(_paths, PATH))
+                .cogroup(_bucketed(forest.down(nothing), 0, BITS).groupBy("tree", "bucket")).applyInArrow(_paths(BITS), PATH))
     named = of_roots.drop("subroot").join(forest.tiers[0].select("low", "name", F.col("digest").alias("subroot")), "low")
     above = trees.down(stored(named.select(F.col("name").alias("tree"), F.lit(0).cast("bigint").alias("low"), "path", "subroot"), "subroot-paths"))
     return (_bucketed(trees.tiers[0].select("tree", "low", "high", "digest", "doc_id", "sent"), 0, BITS).groupBy("tree", "bucket")
-            .cogroup(_bucketed(above, 0, BITS).groupBy("tree", "bucket")).applyInArrow(_proofs(manifest.root), RESULT))
+            .cogroup(_bucketed(above, 0, BITS).groupBy("tree", "bucket")).applyInArrow(_proofs(manifest.root, BITS), RESULT))
 
 
 def verify_documents(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
