@@ -3,10 +3,18 @@
 ``PrefixHashes`` keeps, for a sequence of code points, the running sums of
 ``c_j * B^j`` modulo two primes. Any span's hash follows from two entries, so
 span equality costs O(1) and the longest common extension of two positions is
-found by binary search. A document's fingerprint is its length, the hash of
-the whole text and the smallest hashes of its spans of ``SPAN`` code points;
-the likeness of two fingerprints estimates the Jaccard index of their span
-sets from those.
+found by binary search: so the query tells how many code points a text shares
+with its edit and with the next text before they differ. A document's
+fingerprint is its length, the hash of the whole text and the smallest hashes
+of its spans; the likeness of two fingerprints estimates the Jaccard index of
+their span sets from those.
+
+Spans have ``SPAN`` code points, in texts of fewer than four spans the largest
+power of two of which there are four (one code point at least). Texts of fewer
+than eight spans also keep the smaller powers, and two texts are compared at
+the span length of the shorter one, so that an unchanged half of a short text
+is seen. Two texts without a common span length (one has fewer than 64, the
+other 128 code points or more) have likeness 0.
 """
 
 from __future__ import annotations
@@ -25,7 +33,7 @@ PRIME = np.uint64(2**31 - 1)
 BASES = (1_103_515_245, 48_271 * 40_692 % (2**31 - 1))
 SPAN = 16
 SKETCH = 24
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 19
 
 _powers: dict[int, np.ndarray] = {}
 
@@ -93,35 +101,63 @@ def _smallest(values: np.ndarray, k: int) -> np.ndarray:
     return np.unique(values)[:k]
 
 
-def sketches(texts: list[str]) -> list[tuple[int, int, np.ndarray]]:
-    """(code points, hash of the whole text, smallest span hashes) of each."""
-    codes = [_codes(t) for t in texts]
-    ends = np.cumsum([len(c) for c in codes])
-    hashes = PrefixHashes(np.concatenate(codes) if codes else np.zeros(0, np.uint32))
-    every = hashes.span(np.arange(max(0, hashes.n - SPAN + 1)), np.arange(SPAN, hashes.n + 1)) if hashes.n >= SPAN else None
-    out = []
-    for c, end in zip(codes, ends):
-        start, n = int(end) - len(c), len(c)
-        whole = int(hashes.span(start, end))
-        spans = (np.zeros(0, np.uint64) if not n else np.array([whole], np.uint64) if n < SPAN
-                 else every[start:start + n - SPAN + 1])
-        out.append((n, whole, _smallest(spans, SKETCH)))
-    return out
+def spans_of(n: int) -> list[int]:
+    """Span lengths that a text of ``n`` code points is sketched at, its own first."""
+    if n >= 8 * SPAN:
+        return [SPAN]
+    own = min(SPAN, 1 << max(0, (n // 4).bit_length() - 1))
+    return [1 << k for k in reversed(range(own.bit_length()))]
 
 
-def fingerprint(sketch: tuple[int, int, np.ndarray]) -> str:
-    n, whole, smallest = sketch
-    return f"{n:08x}{whole:016x}" + "".join(f"{v:016x}" for v in smallest.tolist())
+class Texts:
+    """Prefix hashes of several texts, one after the other."""
 
+    def __init__(self, texts: list[str]):
+        codes = [_codes(t) for t in texts]
+        self.size = np.array([len(c) for c in codes], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.hashes = PrefixHashes(np.concatenate(codes) if codes else np.zeros(0, np.uint32))
 
-def likeness(a: tuple[int, int, np.ndarray], b: tuple[int, int, np.ndarray]) -> float:
+    def sketches(self) -> list[tuple[int, int, dict[int, np.ndarray]]]:
+        """(code points, hash of the whole text, by span length the smallest
+        span hashes) of each."""
+        whole = self.hashes.span(self.begin, self.begin + self.size).tolist() if len(self.size) else []
+        n = self.hashes.n
+        every = self.hashes.span(np.arange(max(0, n - SPAN + 1)), np.arange(SPAN, n + 1)) if n >= SPAN else None
+        out = []
+        for start, size, value in zip(self.begin.tolist(), self.size.tolist(), whole):
+            kept = {}
+            for k in spans_of(size) if size else []:
+                spans = every[start:start + size - k + 1] if k == SPAN else self.hashes.span(
+                    np.arange(start, start + size - k + 1), np.arange(start + k, start + size + 1))
+                kept[k] = _smallest(spans, SKETCH)
+            out.append((size, value, kept))
+        return out
+
+    def common_prefix(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Code points that texts ``i`` and ``j`` share before they differ."""
+        return self.hashes.common_extension(self.begin[i], self.begin[j], np.minimum(self.size[i], self.size[j]))
+
+
+def sketches(texts: list[str]) -> list[tuple[int, int, dict[int, np.ndarray]]]:
+    return Texts(texts).sketches()
+
+
+def fingerprint(sketch: tuple[int, int, dict[int, np.ndarray]]) -> str:
+    n, whole, kept = sketch
+    return f"{n:08x}{whole:016x}" + "".join("".join(f"{v:016x}" for v in kept[k].tolist()) for k in sorted(kept, reverse=True))
+
+
+def likeness(a: tuple[int, int, dict[int, np.ndarray]], b: tuple[int, int, dict[int, np.ndarray]]) -> float:
     """Estimated Jaccard index of the two texts' spans, 1 for equal texts."""
     if a[:2] == b[:2]:
         return 1.0
-    if not len(a[2]) or not len(b[2]):
+    common = a[2].keys() & b[2].keys()
+    if not common:
         return 0.0
-    some = np.union1d(a[2], b[2])[:SKETCH]
-    return float(np.isin(some, np.intersect1d(a[2], b[2])).mean())
+    k = max(common)
+    some = np.union1d(a[2][k], b[2][k])[:SKETCH]
+    return float(np.isin(some, np.intersect1d(a[2][k], b[2][k])).mean())
 
 
 def edited(text: str, following: str) -> str:
@@ -132,17 +168,19 @@ def edited(text: str, following: str) -> str:
 
 
 SCHEMA = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
-          "edited_fingerprint string, near_edited double, near_next double")
+          "edited_fingerprint string, near_edited double, near_next double, prefix_edited bigint, prefix_next bigint")
 
 
 def _rows(run: list[tuple[int | None, str, bool]]) -> pa.RecordBatch:
     """Results for a run of neighbours (id, text, is it only a neighbour's
     end); the last entry only serves as the following text."""
     texts = [text for _, text, _ in run]
-    plain = sketches(texts)
     at = [i for i, (_, _, end) in enumerate(run[:-1]) if not end]
     changed = [edited(texts[i], texts[i + 1]) for i in at]
-    other = sketches(changed)
+    both = Texts(texts + changed)
+    found = both.sketches()
+    plain, other = found[:len(texts)], found[len(texts):]
+    own = np.array(at, np.int64)
     return pa.RecordBatch.from_arrays([
         pa.array([run[i][0] for i in at], pa.int64()),
         pa.array([plain[i][0] for i in at], pa.int64()),
@@ -151,6 +189,8 @@ def _rows(run: list[tuple[int | None, str, bool]]) -> pa.RecordBatch:
         pa.array([fingerprint(s) for s in other], pa.string()),
         pa.array([likeness(plain[i], s) for i, s in zip(at, other)], pa.float64()),
         pa.array([likeness(plain[i], plain[i + 1]) for i in at], pa.float64()),
+        pa.array(both.common_prefix(own, len(texts) + np.arange(len(at))), pa.int64()),
+        pa.array(both.common_prefix(own, own + 1), pa.int64()),
     ], names=[part.split()[0] for part in SCHEMA.split(", ")])
 
 
@@ -170,7 +210,10 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def document_fingerprints(docs: DataFrame, buckets: int | None = None) -> DataFrame:
-    """Fingerprints of every text and of its edit with the next document.
+    """Fingerprints of every text and of its edit with the next document, their
+    likeness, and how many code points the text shares with its edit
+    (``prefix_edited``) and with the next text (``prefix_next``) before they
+    differ.
 
     Documents are in ascending doc_id order (null first; repeated ids by
     text), the first follows the last. Null text counts as empty; other

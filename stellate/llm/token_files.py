@@ -33,7 +33,11 @@ from pyspark.sql import functions as F
 from .bpe import Words
 from .common import partitions, range_bounds, range_bucket, run_folder, text_list, text_slices
 
-MAGIC = b"TKIX0001"
+MAGIC = b"TKIX0002"
+SHARD_BYTES = 256 << 20    # of ids, after which a shard ends
+RANGE_BYTES = 1 << 30      # of text, in a range of doc_id
+PIECES = 4_096             # shard numbers of a range
+SEEDS = 16
 CACHED_WORDS = 300_000
 
 
@@ -45,9 +49,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def key_hash(keys: np.ndarray, nulls: np.ndarray, ordinals: np.ndarray) -> np.ndarray:
-    return _mix(_mix(keys.astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-                + ordinals.astype(np.uint64) * np.uint64(2) + nulls.astype(np.uint64))
+def key_hash(keys: np.ndarray, nulls: np.ndarray, ordinals: np.ndarray, seed: int = 0) -> np.ndarray:
+    start = np.uint64((seed + 1) * 0x9E3779B97F4A7C15 % 2**64)
+    return _mix(_mix(keys.astype(np.int64).view(np.uint64) + start) + ordinals.astype(np.uint64) * np.uint64(2) + nulls.astype(np.uint64))
+
+
+def distinct_hashes(keys: np.ndarray, nulls: np.ndarray, ordinals: np.ndarray) -> tuple[int, np.ndarray]:
+    """The first seed under which all keys have hashes of their own, and these."""
+    for seed in range(SEEDS):
+        hashes = key_hash(keys, nulls, ordinals, seed)
+        if len(np.unique(hashes)) == len(hashes):
+            return seed, hashes
+    raise ValueError(f"two keys have the same 64-bit hash under {SEEDS} seeds")
 
 
 def _at_level(hashes: np.ndarray, level: int, bits: int) -> np.ndarray:
@@ -65,8 +78,6 @@ class KeyIndex:
 
     @classmethod
     def build(cls, hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> KeyIndex:
-        if len(np.unique(hashes)) < len(hashes):
-            raise ValueError("two keys have the same 64-bit hash")
         levels, tables, rest = [], [], hashes
         while len(rest):
             bits = max(64, 2 * len(rest))
@@ -132,19 +143,43 @@ def _get(uri: str) -> bytes:
         return f.read()
 
 
-def write_shard(folder: str, shard: int, rows: list[tuple[int | None, int]], payload: list[bytes], id_bytes: int) -> None:
-    """``rows``: (key, number of ids) in document order."""
-    keys = np.array([k or 0 for k, _ in rows], np.int64)
-    nulls = np.array([k is None for k, _ in rows], bool)
-    sizes = np.array([n for _, n in rows], np.uint64)
-    same = np.concatenate([[False], (keys[1:] == keys[:-1]) & (nulls[1:] == nulls[:-1])])[:len(rows)]
-    run = np.arange(len(rows))
-    ordinals = (run - np.maximum.accumulate(np.where(same, 0, run))).astype(np.uint32)
-    index = KeyIndex.build(key_hash(keys, nulls, ordinals), np.cumsum(sizes) - sizes, sizes)
-    head = np.array([len(rows), len(index.levels), id_bytes, *index.levels], "<u8")
-    _put(f"{folder}/shard-{shard:06d}.ids", payload)
-    _put(f"{folder}/shard-{shard:06d}.idx", [MAGIC, head.tobytes(), *(a.tobytes() for a in (
-        index.words, index.before, index.marks, index.starts, index.sizes, keys, nulls.astype(np.uint8), ordinals))])
+class ShardWriter:
+    """One shard: ids go to its payload file as they come; what is held is a
+    key and a size a document. The file is written under a name of this
+    attempt's own and renamed at the end."""
+
+    def __init__(self, folder: str, shard: int, id_bytes: int):
+        self.folder, self.shard, self.id_bytes = folder, shard, id_bytes
+        self.keys: list[int] = []
+        self.nulls: list[bool] = []
+        self.sizes: list[int] = []
+        self.bytes = 0
+        self._store, self._path = _open(f"{folder}/shard-{shard:06d}.ids")
+        self._own = f"{self._path}.{uuid.uuid4().hex}"
+        self._out = self._store.open_output_stream(self._own)
+
+    def add(self, key: int | None, ids: bytes) -> None:
+        """The next document, in document order."""
+        self._out.write(ids)
+        self.keys.append(key or 0)
+        self.nulls.append(key is None)
+        self.sizes.append(len(ids) // self.id_bytes)
+        self.bytes += len(ids)
+
+    def close(self) -> tuple[int, int]:
+        """Writes the index; documents and ids of the shard."""
+        self._out.close()
+        self._store.move(self._own, self._path)
+        keys, nulls, sizes = np.array(self.keys, np.int64), np.array(self.nulls, bool), np.array(self.sizes, np.uint64)
+        same = np.concatenate([[False], (keys[1:] == keys[:-1]) & (nulls[1:] == nulls[:-1])])[:len(keys)]
+        run = np.arange(len(keys))
+        ordinals = (run - np.maximum.accumulate(np.where(same, 0, run))).astype(np.uint32)
+        seed, hashes = distinct_hashes(keys, nulls, ordinals)
+        index = KeyIndex.build(hashes, np.cumsum(sizes) - sizes, sizes)
+        head = np.array([len(keys), len(index.levels), self.id_bytes, seed, *index.levels], "<u8")
+        _put(f"{self.folder}/shard-{self.shard:06d}.idx", [MAGIC, head.tobytes(), *(a.tobytes() for a in (
+            index.words, index.before, index.marks, index.starts, index.sizes, keys, nulls.astype(np.uint8), ordinals))])
+        return len(keys), int(sizes.sum())
 
 
 class Shard:
@@ -154,8 +189,8 @@ class Shard:
         raw = _get(f"{folder}/shard-{shard:06d}.idx")
         if raw[:8] != MAGIC:
             raise ValueError(f"not an index of token ids: {folder}, shard {shard}")
-        n, levels, id_bytes = map(int, np.frombuffer(raw, "<u8", 3, 8))
-        at = 32
+        n, levels, id_bytes, self.seed = map(int, np.frombuffer(raw, "<u8", 4, 8))
+        at = 40
 
         def take(kind: str, count: int) -> np.ndarray:
             nonlocal at
@@ -170,7 +205,7 @@ class Shard:
         self.ids = np.frombuffer(_get(f"{folder}/shard-{shard:06d}.ids"), f"<u{id_bytes}")
 
     def lookup(self, keys: np.ndarray, nulls: np.ndarray, ordinals: np.ndarray) -> tuple[np.ndarray, ...]:
-        return self.index.find(key_hash(keys, nulls, ordinals))
+        return self.index.find(key_hash(keys, nulls, ordinals, self.seed))
 
     def get(self, key: int | None, ordinal: int = 0) -> np.ndarray | None:
         """Ids of one document, or None if the shard hasn't the key."""
@@ -243,17 +278,26 @@ _loaded: dict[str, LibraryEncoder] = {}
 
 
 def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 2,
-                      shards: int | None = None) -> DataFrame:
+                      ranges: int | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Encode, append ``end_id`` to each document and write one payload and
     one index file a shard. Returns the manifest (shard, n_docs, n_ids) as
     written beside them.
 
+    Ranges of doc_id, about ``RANGE_BYTES`` of text each, are written by a task
+    each, which streams the ids and ends a shard after ``shard_bytes`` of them
+    (and begins the next), so that neither a task nor a reader holds more,
+    whatever a key's share of the rows. A key's copies are numbered in each
+    shard anew.
+
     Null text is empty (just the end id); a null doc_id comes first; rows of
     a repeated doc_id stay in an order fixed by their ids. Ids, not texts,
     are shuffled, once. An empty table gives an empty manifest.
     """
     spark = docs.sparkSession
-    bounds, _, _ = range_bounds(docs, "doc_id", shards or partitions(spark))
+    if ranges is None:
+        text = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        ranges = max(partitions(spark), -(-text // RANGE_BYTES))
+    bounds, _, _ = range_bounds(docs, "doc_id", ranges)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _loaded:
@@ -268,23 +312,24 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 2,
                      pa.array([len(end)] * len(ids), pa.int32())], names=["doc_id", "shard", "ids", "id_bytes"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, rows, payload, width = None, [], [], 2
+        out, own, piece = None, None, 0
 
         def done() -> pa.RecordBatch:
-            write_shard(folder, shard, rows, payload, width)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int32()), pa.array([len(rows)], pa.int64()),
-                 pa.array([sum(n for _, n in rows)], pa.int64())], names=["shard", "n_docs", "n_ids"])
+            n_docs, n_ids = out.close()
+            return pa.RecordBatch.from_arrays([pa.array([out.shard], pa.int32()), pa.array([n_docs], pa.int64()), pa.array([n_ids], pa.int64())],
+                                              names=["shard", "n_docs", "n_ids"])
 
         for batch in batches:
-            for key, own, ids, size in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "shard", "ids", "id_bytes"))):
-                if own != shard:
-                    if rows:
-                        yield done()
-                    shard, rows, payload, width = own, [], [], size
-                rows.append((key, len(ids) // size))
-                payload.append(ids)
-        if rows:
+            for key, at, ids, size in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "shard", "ids", "id_bytes"))):
+                if out is not None and (at != own or out.bytes >= shard_bytes and piece + 1 < PIECES):
+                    yield done()
+                    out = None
+                if out is None:
+                    piece = piece + 1 if at == own else 0
+                    own = at
+                    out = ShardWriter(folder, at * PIECES + piece, size)
+                out.add(key, ids)
+        if out is not None:
             yield done()
 
     store, at = _open(folder)

@@ -169,6 +169,35 @@ def test_token_files(spark, library, tmp_path):
     assert sum(s.get(9, 1) is not None for s in shards_of) == 1   # the second row of a repeated id
 
 
+def test_shards_end_after_some_bytes(spark, library, tmp_path):
+    """One id holds a third of all rows: its range makes several shards."""
+    folder = f"file://{tmp_path}/tokens"
+    pairs = [(i, f"text number {i}") for i in range(400)] + [(7, f"another text {i} of the same id") for i in range(200)]
+    manifest = token_files.write_token_files(frame(spark, pairs), folder, WORD_BPE, ranges=3, shard_bytes=300).collect()
+    assert len(manifest) > 12 and sum(m.n_docs for m in manifest) == 600 and max(m.n_docs for m in manifest) < 60
+    rows = token_files.read_token_files(spark, folder).collect()
+    want, start = [], 0
+    for d, ids in sorted(((d, library.encode(t, add_special_tokens=False).ids + [2]) for d, t in pairs), key=lambda x: (x[0], np.array(x[1], "<u2").tobytes())):
+        want.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, rows)) == sorted(want)
+
+
+def test_another_seed_where_hashes_are_equal(monkeypatch):
+    keys = np.arange(5)
+    real, seeds = token_files.key_hash, []
+
+    def hashes(k, n, o, seed=0):
+        seeds.append(seed)
+        return np.zeros(len(k), np.uint64) if seed < 2 else real(k, n, o, seed)
+
+    monkeypatch.setattr(token_files, "key_hash", hashes)
+    assert token_files.distinct_hashes(keys, np.zeros(5, bool), np.zeros(5, np.uint32))[0] == 2 and seeds == [0, 1, 2]
+    monkeypatch.setattr(token_files, "key_hash", lambda k, n, o, seed=0: np.zeros(len(k), np.uint64))
+    with pytest.raises(ValueError):
+        token_files.distinct_hashes(keys, np.zeros(5, bool), np.zeros(5, np.uint32))
+
+
 def test_perfect_hash_is_minimal():
     keys = np.arange(5000) * 7919
     hashes = token_files.key_hash(keys, np.zeros(5000, bool), np.zeros(5000))
@@ -415,6 +444,53 @@ def test_fingerprints(spark, small):
     assert len(one) == 1 and one[0].near_next == 1.0 and one[0].edited_sha256 == sha("alonealone")
 
 
+def plain_sketch(text):
+    """Fingerprint parts by definition: polynomial hashes of all spans."""
+    def value(span):
+        parts = [sum((ord(c) + 1) * pow(b, k, 2 ** 31 - 1) for k, c in enumerate(span)) % (2 ** 31 - 1) for b in fingerprints.BASES]
+        return parts[0] << 31 | parts[1]
+
+    n, own = len(text), 16
+    while own > 1 and n < 4 * own:
+        own //= 2
+    lengths = [16] if n >= 128 else [k for k in (16, 8, 4, 2, 1) if k <= own]
+    return n, value(text), {k: sorted({value(text[i:i + k]) for i in range(n - k + 1)})[:24] for k in lengths if n}
+
+
+def plain_likeness(a, b):
+    if a[:2] == b[:2]:
+        return 1.0
+    common = a[2].keys() & b[2].keys()
+    if not common:
+        return 0.0
+    x, y = a[2][max(common)], b[2][max(common)]
+    some = sorted({*x, *y})[:24]
+    return sum(v in x and v in y for v in some) / len(some)
+
+
+def common_prefix(a, b):
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return n
+
+
+def test_fingerprints_by_definition(spark, small):
+    pairs = [(d, (t or "")[:400]) for d, t in AWKWARD if d is not None] + [(100 + i, "xyz abc"[:i]) for i in range(8)] + [
+        (200 + i, f"{'a short text of this many letters, and then some more of them to follow'[:3 * i]}") for i in range(24)] + [(d + 1000, t[:700]) for d, t in small[:20]]
+    rows = fingerprints.document_fingerprints(frame(spark, pairs), buckets=3).collect()
+    docs = sorted((d, t) for d, t in pairs)
+    want = []
+    for (d, t), (_, following) in zip(docs, docs[1:] + docs[:1]):
+        changed = t[:len(t) - len(t) // 2] + following[:len(t) // 2]
+        own, other, after = plain_sketch(t), plain_sketch(changed), plain_sketch(following)
+        line = f"{own[0]:08x}{own[1]:016x}" + "".join(f"{v:016x}" for k in sorted(own[2], reverse=True) for v in own[2][k])
+        want.append((d, line, round(plain_likeness(own, other), 9), round(plain_likeness(own, after), 9), common_prefix(t, changed), common_prefix(t, following)))
+    assert sorted((r.doc_id, r.fingerprint, round(r.near_edited, 9), round(r.near_next, 9), r.prefix_edited, r.prefix_next) for r in rows) == sorted(want)
+    # an unchanged half leaves common spans, however short the text
+    assert all(r.near_edited > 0 for r in rows if r.n_chars)
+
+
 def test_prefix_hashes_answer_spans():
     rng = random.Random(6)
     codes = np.array([rng.choice([97, 98, 0x1F600]) for _ in range(400)] * 2, np.uint32)
