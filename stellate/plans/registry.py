@@ -408,7 +408,7 @@ def profile_decimal_cols(spark, sf_dir):
     return agg.unpivot([], cols, "column_name", "non_null")
 
 
-def _lake(spark, sf_dir) -> dict[str, DataFrame]:
+def stored_lake(spark, sf_dir) -> dict[str, DataFrame]:
     """The 11 tables, written as a lake and read back."""
     fm = fire_model(spark, raw_fires(spark, sf_dir))
     wm = weather_model(spark, _weather_raw(spark, sf_dir), FX_WEATHER_LOWER_BOUND, dates=fm.dates)
@@ -434,7 +434,10 @@ def _number(key: str) -> str:
     f"SELECT '{t}' AS table_name, count(*) FILTER (WHERE {_number(k)} % 17 = 3) AS null_keys FROM {t}"
     for t, k in KEYS.items())))
 def dq_null_keys(spark, sf_dir):
-    lake = _lake(spark, sf_dir)
+    return null_keys_of(stored_lake(spark, sf_dir))
+
+
+def null_keys_of(lake: dict[str, DataFrame]) -> DataFrame:
     return null_key_report({t: (lake[t].withColumn(k, F.expr(f"CASE WHEN {_number(k)} % 17 <> 3 THEN {k} END")), k)
                             for t, k in KEYS.items()})
 
@@ -443,14 +446,14 @@ def dq_null_keys(spark, sf_dir):
     f"SELECT '{t}' AS table_name, count(DISTINCT {k}) FILTER (WHERE {_number(k)} % 19 = 4) AS duplicate_keys FROM {t}"
     for t, k in KEYS.items())))
 def dq_duplicate_keys(spark, sf_dir):
-    lake = _lake(spark, sf_dir)
+    lake = stored_lake(spark, sf_dir)
     return duplicate_key_report({t: (lake[t].union(lake[t].where(f"{_number(k)} % 19 = 4")), k) for t, k in KEYS.items()})
 
 
 @query("dq_row_counts", _with_all(" UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in KEYS)))
 def dq_row_counts(spark, sf_dir):
-    lake = _lake(spark, sf_dir)
+    lake = stored_lake(spark, sf_dir)
     return row_count_report({t: lake[t] for t in KEYS})
 
 
@@ -463,7 +466,10 @@ _FIRE_FKS = {**{d.name: d.key for d in FIRE_DIMS}, **{f"dates_{r.key_out}": r.ke
 def dq_orphans(spark, sf_dir):
     """Every fifth member is taken out of its dimension; the fact is read once
     for all nine keys."""
-    lake = _lake(spark, sf_dir)
+    return orphans_of(stored_lake(spark, sf_dir))
+
+
+def orphans_of(lake: dict[str, DataFrame]) -> DataFrame:
     fks = foreign_keys(FIRES_FACT, lake)
     return orphan_report(lake["fires_fact"], {n: (dim.where(f"{key} % 5 <> 2"), key, fk) for n, (dim, key, fk) in fks.items()})
 
