@@ -1,115 +1,95 @@
 """Streams whose rows come repeatedly, late or out of order.
 
-A row id's newest version is known by an event time. State kept between the
-micro-batches (per id the newest time seen) tells rows that are newer from
-repeats and late ones; of several in one batch the newest counts. Newer rows
-go to the lake as a batch does; the others are counted in the lake, in the
-same commit. The watermark bounds the state: an id's time is forgotten once it
-is passed, and rows beyond it are dropped and counted by Spark.
+A row id's newest version is known by an event time. What is kept between the
+micro-batches is a table of the lake itself, the newest time of each id, in
+buckets of ids: a batch reads and writes it in the commit that takes its rows
+in, so state and facts never disagree, whatever is lost or sent again. It tells
+rows that are newer from repeats and late ones; of several in one batch the
+newest counts. The others are counted beside the fact. An id is forgotten once
+it lies ``delay`` behind the newest time of all, and rows that come later than
+that are old.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import BooleanType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from ..plans.upkeep import apply_staged
+from ..plans.upkeep import apply_staged, merge_fact
 from ..plans.versions import Change, Version, commit_with
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, fresh_path
 from .refresh import Feed
 
-OLD = "_is_old"
-DELAY = "30 days"
-LATE = "_late"             # after the fact's name
-
-
-def newest_rows(stream: DataFrame, row_id: str, event_time: str, delay: str = DELAY) -> DataFrame:
-    """The stream's rows with a flag: false for an id's row that is newer than
-    all before it (one a batch; of equal times the first in order of the
-    row's text), true for every other. Rows without an id or time are old.
-    ``event_time`` is a TIMESTAMP.
-
-    Only an id's newest time is kept, until the watermark (the newest time of
-    all rows less ``delay``) has passed it.
-    """
-    out = StructType([*stream.schema.fields, StructField(OLD, BooleanType())])
-
-    def judge(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        seen = state.get[0] if state.exists else None
-        # a batch's rows of one id: pieces are judged as they come, and the best one is held back
-        best = None
-        for frame in frames:
-            rows = frame[frame[event_time].notna()] if pd.notna(key[0]) else frame.iloc[:0]
-            if seen is not None:
-                rows = rows[rows[event_time].astype("int64") > seen]
-            if len(rows):
-                top = rows[rows[event_time] == rows[event_time].max()]
-                pick = top.loc[[min(top.index, key=lambda i: str(tuple(top.loc[i])))]]
-                rest = frame.drop(pick.index)
-                if best is None or pick[event_time].iloc[0] > best[event_time].iloc[0]:
-                    best, pick = pick, best
-                if pick is not None:
-                    yield pick.assign(**{OLD: True})
-            else:
-                rest = frame
-            if len(rest):
-                yield rest.assign(**{OLD: True})
-        if best is not None:
-            state.update((int(best[event_time].astype("int64").iloc[0]),))
-            yield best.assign(**{OLD: False})
-        if state.exists:
-            passed = state.getCurrentWatermarkMs()
-            state.setTimeoutTimestamp(max(state.get[0] // 1_000_000, passed) + 1)
-
-    return (stream.withWatermark(event_time, delay).groupBy(row_id)
-            .applyInPandasWithState(judge, out, StructType.fromDDL("newest bigint"), "append", GroupStateTimeout.EventTimeTimeout))
-
-
-def dropped_by_watermark(query) -> int:
-    """Rows that came later than the watermark allows, over the batches that
-    the query still reports."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
-
-
-def apply_newest(batch: DataFrame, root: str, feed: Feed, event_time: str, name: str) -> Version:
-    """Newer rows of a judged batch into the lake; how many were not, beside
-    them. A batch that is sent again is counted once."""
+DELAY_SECONDS = 30 * 86_400
+BUCKETS = 64
+NEWEST, LATE = "_newest", "_late"      # after the fact's name
+
+
+def newest_of(batch: DataFrame, row_id: str, event_time: str) -> DataFrame:
+    """Of each id's rows the newest, of equal times the last in order of the
+    row's columns; rows without an id or time are none. An id may be that of
+    very many rows: they are reduced before they are shuffled."""
+    known = batch.where(F.col(row_id).isNotNull() & F.col(event_time).isNotNull())
+    best = known.groupBy(F.col(row_id).alias("_id")).agg(F.max(F.struct(F.col(event_time).alias("_t"), F.struct(*batch.columns).alias("_row"))).alias("_best"))
+    return best.select("_best._row.*")
+
+
+def newer_rows(change: Change, batch: DataFrame, name: str, row_id: str, event_time: str, delay: int = DELAY_SECONDS) -> DataFrame:
+    """The rows of ``batch`` that are newer than all before them, one an id;
+    the table of newest times is brought up to date with them."""
+    held = change.read(name)
+    best = newest_of(batch, row_id, event_time)
+    if held is None:
+        newer = best
+    else:
+        top = held.agg(F.max("newest")).first()[0]
+        seen = held.select(F.col("id").alias("_seen"), F.col("newest").alias("_at"))
+        newer = best.join(seen, best[row_id] == seen["_seen"], "left").where(F.col("_at").isNull() | (F.col(event_time) > F.col("_at"))).drop("_seen", "_at")
+        if top is not None:
+            newer = newer.where(F.col(event_time) >= F.lit(top) - F.make_interval(secs=F.lit(delay)))
+    path = fresh_path(change.spark, "newer")
+    newer.write.parquet(path)
+    newer = change.spark.read.schema(batch.schema).parquet(path)
+    times = newer.select(F.col(row_id).alias("id"), F.col(event_time).alias("newest"), F.pmod(F.xxhash64(row_id), F.lit(BUCKETS)).cast("int").alias("bucket"))
+    merge_fact(change, times, name, "id", "bucket")
+    return newer
+
+
+def forget(change: Change, name: str, delay: int = DELAY_SECONDS) -> None:
+    """Drop the ids that lie ``delay`` seconds behind the newest time."""
+    held = change.read(name)
+    top = None if held is None else held.agg(F.max("newest")).first()[0]
+    if top is not None:
+        change.replace(name, held.where(F.col("newest") >= F.lit(top) - F.make_interval(secs=F.lit(delay))), "bucket")
+
+
+def apply_newest(batch: DataFrame, root: str, feed: Feed, row_id: str, event_time: str, name: str, delay: int = DELAY_SECONDS) -> Version:
+    """Newer rows of a batch into the lake, and how many were not, as one
+    version. A batch that is sent again changes nothing."""
     spark = batch.sparkSession
-    staged = feed.stage(batch.where(~F.col(OLD)).drop(OLD, event_time))
-    late = batch.where(OLD).agg(F.count(F.lit(1)).alias("n_old")).select(F.lit(name).alias("batch"), "n_old")
+    table = feed.fact.name
 
     def work(change: Change) -> None:
-        table = feed.fact.name + LATE
-        apply_staged(change, staged, feed.fact, name)
-        if table not in change or change.read(table).where(F.col("batch") == name).isEmpty():
-            change.append(table, late)
+        counts = change.read(table + LATE)
+        if counts is not None and not counts.where(F.col("batch") == name).isEmpty():
+            return
+        newer = newer_rows(change, batch, table + NEWEST, row_id, event_time, delay)
+        n_old = batch.count() - newer.count()
+        apply_staged(change, feed.stage(newer.drop(event_time)), feed.fact, name)
+        change.append(table + LATE, spark.createDataFrame([(name, n_old)], "batch string, n_old bigint"))
 
     return commit_with(spark, root, work)
 
 
 def start_newest(spark: SparkSession, feed: Feed, source_dir: str, schema: StructType, root: str, row_id: str, event_time: str,
-                 checkpoint_location: str | None = None, available_now: bool = True, delay: str = DELAY):
+                 checkpoint_location: str | None = None, available_now: bool = True, delay: int = DELAY_SECONDS):
     """Start a feed's stream over Parquet files landing in ``source_dir``,
-    each row with its event time; one batch at a time."""
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(source_dir)
+    each row with its event time. Batches are named by the checkpoint's
+    folder and their number."""
     location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/streams/{feed.name}-newest"
-
-    def each(df: DataFrame, n: int) -> None:
-        # the rows' state is asked once: what it says is read several times
-        held = df.persist()
-        try:
-            apply_newest(held, root, feed, event_time, f"{feed.name}-{n}")
-        finally:
-            held.unpersist()
-
-    writer = newest_rows(stream, row_id, event_time, delay).writeStream.foreachBatch(each).option("checkpointLocation", location)
+    stream = spark.readStream.schema(schema).parquet(source_dir)
+    writer = stream.writeStream.foreachBatch(
+        lambda df, n: apply_newest(df, root, feed, row_id, event_time, f"{location}-{n}", delay) and None).option("checkpointLocation", location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
