@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 BITS = 16
 INDEX = "-index"           # a folder beside that of the data
+MIN_TASKS = 256            # up to so many files, a task each
+ROWS_PER_TASK = 200_000    # beyond, a task writes so many rows, in several files
 
 
 def _number(column: str) -> Column:
@@ -38,7 +40,9 @@ def z_key(columns: Sequence[str], bounds: Mapping[str, tuple[float, float]]) ->
 
 def write_clustered(df: DataFrame, path: str, columns: Sequence[str], rows_per_file: int = 2_000_000) -> None:
     """Write ``df`` in files of about ``rows_per_file`` rows along the curve
-    over ``columns`` (three at most), and their index."""
+    over ``columns`` (three at most), and their index. Where files are small and
+    very many, a task writes several: what tasks report to the driver follows
+    the rows, not the files."""
     if not 1 <= len(columns) <= 63 // BITS:
         raise ValueError(f"from 1 to {63 // BITS} columns can be interleaved")
     edge = df.agg(F.count(F.lit(1)).alias("n"), *[f(_number(c)).alias(f"{n}{i}") for i, c in enumerate(columns) for f, n in ((F.min, "low"), (F.max, "high"))]).first()
@@ -46,8 +50,10 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], rows_per_f
     files = max(1, -(-edge.n // rows_per_file))
     # rows of one place are many: a hash of the row deals them out as well
     keyed = df.withColumn("_z", z_key(columns, bounds)).withColumn("_h", F.xxhash64(*df.columns))
-    dealt = keyed.repartitionByRange(files, "_z", "_h").sortWithinPartitions("_z", "_h").drop("_z", "_h")
-    dealt.write.parquet(path)
+    tasks = min(files, max(MIN_TASKS, -(-edge.n // max(rows_per_file, ROWS_PER_TASK))))
+    dealt = keyed.repartitionByRange(tasks, "_z", "_h").sortWithinPartitions("_z", "_h").drop("_z", "_h")
+    # as many files as tasks: ranges are even but for sampling, and none is cut
+    (dealt.write.option("maxRecordsPerFile", rows_per_file) if tasks < files else dealt.write).parquet(path)
     spark = df.sparkSession
     seen = spark.read.schema(df.schema).parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.count(F.lit(1)).alias("n"), *[f(_number(c)).alias(f"{n}_{c}") for c in columns for f, n in ((F.min, "low"), (F.max, "high"))])
