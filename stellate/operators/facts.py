@@ -54,7 +54,7 @@ def star_join(staged: DataFrame, spec: FactSpec, dims: Mapping[str, DataFrame],
             budget -= size if strat == "broadcast" else 0
         f = null_safe_join(f, dims[ds.name], ds.attrs, ds.key, strategy=strat,
                            salt_cols=list(spec.row_id) or None, stats=own,
-                           keep_right=True)
+                           keep_right=True, counted=staged)
     return f
 
 

@@ -82,13 +82,15 @@ def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
 
 def null_safe_join(fact: DataFrame, dim: DataFrame, attrs: Sequence[str], key: str,
                    strategy: str = "auto", salt_cols: Sequence[str] | None = None,
-                   extra: Sequence[str] = (), stats=None, keep_right: bool = False) -> DataFrame:
+                   extra: Sequence[str] = (), stats=None, keep_right: bool = False,
+                   counted: DataFrame | None = None) -> DataFrame:
     """Inner join of ``fact`` to ``dim`` on ``attrs`` with ``<=>``; adds
     ``key`` (and ``extra`` dimension columns) to the fact row. ``stats``
     (members, text bytes, fact rows) from the dimension build replaces the
     measuring job when given. ``keep_right`` leaves the dimension's renamed
     attribute columns in place for a caller that projects once at the end
-    (fewer plan nodes in a long star join)."""
+    (fewer plan nodes in a long star join). ``counted`` has the rows of
+    ``fact`` before other joins, for the list of hot members."""
     rnames = [f"_{key}_r{i}" for i in range(len(attrs))]
     has_rows = "_rows" in dim.columns
     right = dim.selectExpr(f"`{key}`", *[f"`{c}`" for c in extra],
@@ -100,7 +102,7 @@ def null_safe_join(fact: DataFrame, dim: DataFrame, attrs: Sequence[str], key: s
         strategy = "broadcast" if side_bytes(plain, stats) <= broadcast_bytes(plain) else "salted"
     if strategy == "salted":
         total = stats.weight if stats is not None else None
-        return _salted_join(fact, right, attrs, rnames, salt_cols or fact.columns, total)
+        return _salted_join(fact, right, attrs, rnames, salt_cols or fact.columns, total, fact if counted is None else counted)
     if has_rows:
         right = right.drop("_rows")
     if strategy == "broadcast":
@@ -111,7 +113,7 @@ def null_safe_join(fact: DataFrame, dim: DataFrame, attrs: Sequence[str], key: s
 
 
 def _salted_join(fact: DataFrame, right: DataFrame, attrs: Sequence[str], rnames: Sequence[str],
-                 salt_cols: Sequence[str], total: int | None = None) -> DataFrame:
+                 salt_cols: Sequence[str], total: int | None, counted: DataFrame) -> DataFrame:
     spark = fact.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hnames = [f"_h{i}" for i in range(len(attrs))]
@@ -120,9 +122,9 @@ def _salted_join(fact: DataFrame, right: DataFrame, attrs: Sequence[str], rnames
         right = right.drop("_rows")
         if total is None:
             total = counts.agg(F.sum("_rows")).first()[0]
-    else:                          # counted on the fact, combined per task first
-        counts = fact.groupBy(*[F.col(a).alias(h) for a, h in zip(attrs, hnames)]).agg(F.count(F.lit(1)).alias("_rows"))
-        total = fact.count()
+    else:                          # counted on the fact's rows, combined per task first
+        counts = counted.groupBy(*[F.col(a).alias(h) for a, h in zip(attrs, hnames)]).agg(F.count(F.lit(1)).alias("_rows"))
+        total = counted.count()
     per_task = max(1, (total or 0) // max(1, parts))
     # a member is hot when it alone fills more than an average task; fewer than
     # ``parts`` members can, so the list is small, and their copies add at most

@@ -90,7 +90,7 @@ def build_lake(spark: SparkSession, raw_fires: DataFrame, raw_weather: DataFrame
         for staged, spec in ((fires, FIRES_FACT), (weather, WEATHER_FACT)):
             if calendar_end is not None:
                 replay_quarantine(change, spec)
-            replace_years(change, staged, spec)
+            replace_years(change, staged, spec, is_stored=stage_root is not None)
 
     made = commit_with(spark, root, work)
     if database:

@@ -144,9 +144,10 @@ def merge_fact(change: Change, fact: DataFrame, name: str, row_id: str, partitio
     edge = ids.agg(F.min(row_id).alias("low"), F.max(row_id).alias("high")).first()
     touched = set(own_parts)
     named_ids = ids.where(F.col(row_id).isNotNull()).distinct()
-    if edge.low is not None:
+    others = change.tables[name].parts.keys() - own_parts
+    if edge.low is not None and others:
         # the bounds reach the scan; two columns are read
-        inside = change.read(name).where(F.col(row_id).between(edge.low, edge.high)).select(row_id, partition_of(partition_col).alias("_part"))
+        inside = change.read(name, others).where(F.col(row_id).between(edge.low, edge.high)).select(row_id, partition_of(partition_col).alias("_part"))
         touched |= {r[0] for r in inside.join(named_ids, row_id, "left_semi").select("_part").distinct().collect()}
     if not touched:
         return
@@ -155,8 +156,8 @@ def merge_fact(change: Change, fact: DataFrame, name: str, row_id: str, partitio
     if has_unnamed:
         copies = unnamed.distinct()
         kept = kept.join(copies, _same_row(kept, copies, fact.columns), "left_anti")
-    left = own_parts | {r[0] for r in kept.select(partition_of(partition_col)).distinct().collect()}
-    change.replace_parts(name, fact_for_write(kept.unionByName(batch), partition_col), partition_col, emptied=touched - left)
+    # of the partitions touched those that get no rows go
+    change.replace_parts(name, fact_for_write(kept.unionByName(batch), partition_col), partition_col, emptied=touched)
 
 
 # Quarantine ------------------------------------------------------------------
@@ -185,16 +186,19 @@ def _modelled(change: Change, staged: DataFrame, spec: FactSpec, batch: str) ->
 def apply_staged(change: Change, staged: DataFrame, spec: FactSpec, batch: str = "") -> None:
     """Staged rows into the lake, in place of those of the same id, which may
     be in the fact or in the quarantine beside it."""
+    staged = _held(change, staged, "staged")      # members, facts, misses and ids are read from it
     spec, fact, misses = _modelled(change, staged, spec, batch)
     id_staged, id_fact = spec.row_id[0], fact_column(spec, spec.row_id[0])
-    ids = _held(change, staged.select(id_staged), "ids")
+    ids = staged.select(id_staged)
     merge_fact(change, fact, spec.name, id_fact, spec.partition_col, ids.withColumnRenamed(id_staged, id_fact))
     merge_fact(change, misses, spec.name + QUARANTINE, id_staged, spec.partition_col, ids)
 
 
-def replace_years(change: Change, staged: DataFrame, spec: FactSpec, batch: str = "") -> None:
+def replace_years(change: Change, staged: DataFrame, spec: FactSpec, batch: str = "", is_stored: bool = False) -> None:
     """Staged rows into the lake, in place of all rows of their years (an
-    extract of whole years)."""
+    extract of whole years). ``is_stored``: they are read from files as they
+    are, and need not be written to be read several times."""
+    staged = staged if is_stored else _held(change, staged, "staged")
     spec, fact, misses = _modelled(change, staged, spec, batch)
     year = next(expr for expr, alias in spec.select if alias == spec.partition_col)
     given = {r[0] for r in staged.select(F.coalesce(F.expr(year).cast("string"), F.lit(NULL_PARTITION))).distinct().collect()}

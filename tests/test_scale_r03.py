@@ -1,9 +1,16 @@
-"""Steps whose cost is to follow the rows: small files."""
+"""Steps whose cost is to follow the rows: staging, small files."""
 
 import re
 
 from stellate.operators import layout as L
+from stellate.plans import upkeep as U
+from stellate.plans import versions as V
+from stellate.plans.fixtures import raw_fires
+from stellate.plans.stage import stage_fires
 from stellate.session import fresh_path
+from stellate.specs import FIRES_FACT
+
+from conftest import SF_SMOKE
 
 
 def test_many_small_files_need_few_tasks(spark, monkeypatch):
@@ -15,3 +22,17 @@ def test_many_small_files_need_few_tasks(spark, monkeypatch):
     assert sum(r.n for r in index) == 4000 and max(r.n for r in index) <= 50
     assert len({re.search(r"part-(\d+)", r.file).group(1) for r in index}) <= 4 < 80 <= len(index)
     assert L.read_clustered(spark, path, df.schema, {"x": (5, 9), "y": (None, 7)}).count() == df.where("x BETWEEN 5 AND 9 AND y <= 7").count()
+
+
+def test_rows_are_staged_once(spark, monkeypatch):
+    seen, modelled = [], U._modelled
+
+    def noted(change, staged, spec, batch):
+        seen.extend(staged.inputFiles())
+        return modelled(change, staged, spec, batch)
+
+    monkeypatch.setattr(U, "_modelled", noted)
+    staged = stage_fires(raw_fires(spark, SF_SMOKE))
+    for work in (U.apply_staged, U.replace_years):
+        V.commit_with(spark, fresh_path(spark, "lake"), lambda c, f=work: f(c, staged, FIRES_FACT))
+    assert seen and all("/staged-" in f for f in seen)
