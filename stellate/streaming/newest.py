@@ -26,36 +26,60 @@ BUCKETS = 64
 NEWEST, LATE = "_newest", "_late"      # after the fact's name
 
 
-def newest_of(batch: DataFrame, row_id: str, event_time: str) -> DataFrame:
-    """Of each id's rows the newest, of equal times the last in order of the
-    row's columns; rows without an id or time are none. An id may be that of
-    very many rows: they are reduced before they are shuffled."""
+def newest_times(batch: DataFrame, row_id: str, event_time: str) -> DataFrame:
+    """Of each id the newest time, ``newest``, and how many rows have it,
+    ``n``. Rows without an id or time are none. Only the two columns are
+    shuffled, and those of an id are counted before."""
     known = batch.where(F.col(row_id).isNotNull() & F.col(event_time).isNotNull())
-    best = known.groupBy(F.col(row_id).alias("_id")).agg(F.max(F.struct(F.col(event_time).alias("_t"), F.struct(*batch.columns).alias("_row"))).alias("_best"))
-    return best.select("_best._row.*")
+    times = known.groupBy(F.col(row_id).alias("id"), F.col(event_time).alias("newest")).agg(F.count(F.lit(1)).alias("n"))
+    return times.groupBy("id").agg(F.max_by("n", "newest").alias("n"), F.max("newest").alias("newest"))
 
 
-def newer_rows(change: Change, batch: DataFrame, name: str, row_id: str, event_time: str, delay: int = DELAY_SECONDS) -> DataFrame:
-    """The rows of ``batch`` that are newer than all before them, one an id;
-    the table of newest times is brought up to date with them."""
+def last_rows(rows: DataFrame, row_id: str) -> DataFrame:
+    """Of each id's rows, which have one time, the last in order of their
+    columns. An id may be that of very many: they are reduced before they are
+    shuffled."""
+    best = rows.groupBy(F.col(row_id).alias("_id")).agg(F.max(F.struct(*rows.columns)).alias("_row"))
+    return best.select("_row.*")
+
+
+def newer_times(change: Change, batch: DataFrame, name: str, row_id: str, event_time: str, delay: int = DELAY_SECONDS) -> DataFrame:
+    """``newest_times`` of the ids whose rows are newer than all before them,
+    written once; the table of newest times is brought up to date with them."""
     held = change.read(name)
-    best = newest_of(batch, row_id, event_time)
-    if held is None:
-        newer = best
-    else:
+    newer = newest_times(batch, row_id, event_time)
+    if held is not None:
         top = held.agg(F.max("newest")).first()[0]
         seen = held.select(F.col("id").alias("_seen"), F.col("newest").alias("_at"))
-        newer = best.join(seen, best[row_id] == seen["_seen"], "left").where(F.col("_at").isNull() | (F.col(event_time) > F.col("_at"))).drop("_seen", "_at")
+        newer = newer.join(seen, newer["id"] == seen["_seen"], "left").where(F.col("_at").isNull() | (F.col("newest") > F.col("_at"))).drop("_seen", "_at")
         if top is not None:
-            newer = newer.where(F.col(event_time) >= F.lit(top) - F.make_interval(secs=F.lit(delay)))
+            newer = newer.where(F.col("newest") >= F.lit(top) - F.make_interval(secs=F.lit(delay)))
     path = fresh_path(change.spark, "newer")
     newer.write.parquet(path)
-    newer = change.spark.read.schema(batch.schema).parquet(path)
-    times = newer.select(F.col(row_id).alias("id"), F.col(event_time).alias("newest"), F.pmod(F.xxhash64(row_id), F.lit(BUCKETS)).cast("int").alias("bucket"))
+    newer = change.spark.read.schema(newer.schema).parquet(path)
+    times = newer.select("id", "newest", F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int").alias("bucket"))
     merge_fact(change, times, name, "id", "bucket")
     return newer
 
 
+def newer_rows(batch: DataFrame, newer: DataFrame, feed: Feed, row_id: str, event_time: str) -> DataFrame:
+    """The staged rows of ``batch`` of the ids and times in ``newer``, one an
+    id. Rows are staged, and so narrow, when they are shuffled. Where several
+    rows of an id have its newest time the raw ones are compared."""
+    marked = batch.where(F.col(row_id).isNotNull() & F.col(event_time).isNotNull()).withColumns({"_id": F.col(row_id), "_at": F.col(event_time)})
+    alone = _at_times(feed.stage(marked.drop(event_time)), newer.where("n = 1"))
+    tied = newer.where("n > 1")
+    if tied.isEmpty():
+        return alone
+    return alone.unionByName(feed.stage(last_rows(_at_times(marked, tied), row_id).drop(event_time)))
+
+
+def _at_times(rows: DataFrame, times: DataFrame) -> DataFrame:
+    """The rows of the ids and times in ``times``."""
+    same = (F.col("_id") == F.col("_key")) & (F.col("_at") == F.col("_newest"))
+    return rows.join(times.select(F.col("id").alias("_key"), F.col("newest").alias("_newest")), same, "left_semi").drop("_id", "_at")
+
+
 def forget(change: Change, name: str, delay: int = DELAY_SECONDS) -> None:
     """Drop the ids that lie ``delay`` seconds behind the newest time."""
     held = change.read(name)
@@ -74,9 +98,9 @@ def apply_newest(batch: DataFrame, root: str, feed: Feed, row_id: str, event_tim
         counts = change.read(table + LATE)
         if counts is not None and not counts.where(F.col("batch") == name).isEmpty():
             return
-        newer = newer_rows(change, batch, table + NEWEST, row_id, event_time, delay)
+        newer = newer_times(change, batch, table + NEWEST, row_id, event_time, delay)
         n_old = batch.count() - newer.count()
-        apply_staged(change, feed.stage(newer.drop(event_time)), feed.fact, name)
+        apply_staged(change, newer_rows(batch, newer, feed, row_id, event_time), feed.fact, name)
         change.append(table + LATE, spark.createDataFrame([(name, n_old)], "batch string, n_old bigint"))
 
     return commit_with(spark, root, work)

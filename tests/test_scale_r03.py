@@ -1,7 +1,10 @@
-"""Steps whose cost is to follow the rows: staging, small files."""
+"""Steps whose cost is to follow the rows: staging, newest rows, small files."""
 
+import datetime as dt
 import re
 
+from pyspark.sql import functions as F
+
 from stellate.operators import layout as L
 from stellate.plans import upkeep as U
 from stellate.plans import versions as V
@@ -9,6 +12,8 @@ from stellate.plans.fixtures import raw_fires
 from stellate.plans.stage import stage_fires
 from stellate.session import fresh_path
 from stellate.specs import FIRES_FACT
+from stellate.streaming import FIRES
+from stellate.streaming import newest as N
 
 from conftest import SF_SMOKE
 
@@ -36,3 +41,22 @@ def test_rows_are_staged_once(spark, monkeypatch):
     for work in (U.apply_staged, U.replace_years):
         V.commit_with(spark, fresh_path(spark, "lake"), lambda c, f=work: f(c, staged, FIRES_FACT))
     assert seen and all("/staged-" in f for f in seen)
+
+
+def test_newest_rows_are_shuffled_as_staged_rows(spark):
+    raw = raw_fires(spark, SF_SMOKE).where("OBJECTID % 50 = 0")
+    kind = raw.schema["FIRE_SIZE"].dataType
+    at = lambda day, plus: raw.withColumn("FIRE_SIZE", (F.col("FIRE_SIZE") + plus).cast(kind)).withColumn("SEEN_AT", F.lit(dt.datetime(2020, 1, day)))
+    path, tied = fresh_path(spark, "src"), fresh_path(spark, "src")
+    at(1, 1).unionByName(at(2, 2)).write.parquet(path)
+    at(1, 1).unionByName(at(2, 2)).unionByName(at(2, 3)).unionByName(at(2, 3)).write.parquet(tied)
+    for folder, plus, n in ((path, 2, 1), (tied, 3, 3)):
+        batch = spark.read.parquet(folder)
+        newer = N.newer_times(V.Change(spark, fresh_path(spark, "lake")), batch, "t", "OBJECTID", "SEEN_AT")
+        assert {(r.newest.day, r.n) for r in newer.collect()} == {(2, n)}
+        rows = N.newer_rows(batch, newer, FIRES, "OBJECTID", "SEEN_AT")
+        if n == 1:
+            assert "SortAggregate" not in rows._jdf.queryExecution().executedPlan().toString()
+        want = stage_fires(raw.withColumn("FIRE_SIZE", (F.col("FIRE_SIZE") + plus).cast(kind)))
+        assert rows.columns == want.columns
+        assert sorted(map(repr, rows.collect())) == sorted(map(repr, want.collect()))
